@@ -80,29 +80,51 @@ def euclidean(x, y, a, b) -> Column:
 _LITERAL_CENTRE_LIMIT = 64
 
 
-def _candidate(x, y, cid, cx, cy) -> Column:
-    return F.struct(euclidean(x, y, cx, cy).alias("dist"), cid.alias("id"),
-                    cx.alias("cx"), cy.alias("cy"))
+def _num(v: float) -> str:
+    """Exact SQL text for a double (shortest round-trip repr, parsed as DOUBLE)."""
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
 
 
-def nearest_centre(x, y, centres: Sequence[tuple[int, float, float]]) -> Column:
-    """struct(dist, id, cx, cy) of the nearest centre; lowest id on
-    ties.
+def _dist_sql(x: str, y: str, cx: str, cy: str) -> str:
+    return f"sqrt(({x} - {cx}) * ({x} - {cx}) + ({y} - {cy}) * ({y} - {cy}))"
 
-    ``centres`` is the (small, driver-known) centroid list. Comparing
-    ``struct(dist, id, ...)`` orders by distance then id (ids are unique, so
-    the position fields never decide), which is exactly the "first index
-    wins with strict <" rule when ids are seed positions. Raises on an empty
-    list (no centre means no assignment).
+
+def nearest_centre_id(x: str, y: str, centres: Sequence[tuple[int, float, float]]) -> Column:
+    """Id of the nearest centre, lowest id on ties.
+
+    ``centres`` is the (small, driver-known) centroid list. For up to 64
+    centres the expression is ``CASE WHEN d0 = least(d0, ..) THEN id0 WHEN d1
+    = .. END`` over literal centres: plain double arithmetic that whole-stage
+    codegen compiles (each distance is computed once thanks to common
+    subexpression elimination), and the first match in ascending id order is
+    the "first index wins with strict <" rule. Above that an array of centres
+    with ``transform`` / ``array_min`` over (dist, id) structs keeps the code
+    size flat. Emitted as one SQL text: one parse instead of many client
+    round trips per k-means step. Raises on an empty list.
     """
     if not centres:
-        raise ValueError("nearest_centre needs at least one centre")
-    x, y = _c(x), _c(y)
+        raise ValueError("nearest_centre_id needs at least one centre")
     ordered = sorted(centres, key=lambda t: t[0])
-    lits = [(F.lit(int(cid)), F.lit(float(cx)), F.lit(float(cy))) for cid, cx, cy in ordered]
+    xs, ys = f"`{x}`", f"`{y}`"
     if len(ordered) == 1:
-        return _candidate(x, y, *lits[0])
+        return F.lit(int(ordered[0][0]))
     if len(ordered) <= _LITERAL_CENTRE_LIMIT:
-        return F.least(*[_candidate(x, y, *t) for t in lits])
-    arr = F.array(*[F.struct(i.alias("id"), a.alias("x"), b.alias("y")) for i, a, b in lits])
-    return F.array_min(F.transform(arr, lambda c: _candidate(x, y, c["id"], c["x"], c["y"])))
+        dists = [_dist_sql(xs, ys, _num(cx), _num(cy)) for _, cx, cy in ordered]
+        low = f"least({', '.join(dists)})"
+        whens = " ".join(f"WHEN {d} = {low} THEN {int(c[0])}" for d, c in zip(dists, ordered))
+        return F.expr(f"CASE {whens} END")
+    arr = ", ".join(f"named_struct('id', {int(cid)}, 'x', {_num(cx)}, 'y', {_num(cy)})"
+                    for cid, cx, cy in ordered)
+    cand = f"named_struct('dist', {_dist_sql(xs, ys, 'c.x', 'c.y')}, 'id', c.id)"
+    return F.expr(f"array_min(transform(array({arr}), c -> {cand})).id")
+
+
+def centre_coordinate(cid, centres: Sequence[tuple[int, float, float]], axis: str) -> Column:
+    """x or y of the centre with id ``cid`` (k literal branches)."""
+    pos = 1 if axis == "x" else 2
+    expr = None
+    for c in sorted(centres, key=lambda t: t[0]):
+        branch = F.when(_c(cid) == F.lit(int(c[0])), F.lit(float(c[pos])))
+        expr = branch if expr is None else expr.when(_c(cid) == F.lit(int(c[0])),
+                                                     F.lit(float(c[pos])))
+    return expr

@@ -69,27 +69,43 @@ def prepare_points(points: DataFrame, collapse: bool = True,
     if not checkpoint:
         return pts
     ensure_checkpoint_dir(points.sparkSession)
+    # The loop re-reads these rows every step: make sure every core has a
+    # slice. Only a small input has fewer partitions than cores, so this
+    # round-robin shuffle never applies to a large one.
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    if pts.rdd.getNumPartitions() < cores:
+        pts = pts.repartition(cores)
     pts = pts.persist()
     return pts.checkpoint(eager=True)
 
 
+def _step_sums(wpoints: DataFrame, centres: Centres) -> DataFrame:
+    """Per nearest centre: weighted coordinate sums and point count
+    (id, sx, sy, n) -- one projection and one partially aggregated
+    ``groupBy``."""
+    near = X.nearest_centre_id("x", "y", centres)
+    return wpoints.select(near.alias("id"), "x", "y", "w").groupBy("id").agg(
+        F.sum(F.col("x") * F.col("w")).alias("sx"),
+        F.sum(F.col("y") * F.col("w")).alias("sy"),
+        F.sum("w").alias("n"))
+
+
 def step_frame(wpoints: DataFrame, centres: Centres) -> DataFrame:
     """One assignment + mean step as a DataFrame (id, x, y, n)."""
-    near = X.nearest_centre("x", "y", centres)
-    assigned = wpoints.select(near["id"].alias("id"),
-                              (F.col("x") * F.col("w")).alias("_sx"),
-                              (F.col("y") * F.col("w")).alias("_sy"), "w")
-    agg = assigned.groupBy("id").agg(F.sum("_sx").alias("_sx"), F.sum("_sy").alias("_sy"),
-                                     F.sum("w").alias("n"))
-    return agg.select(F.col("id").cast("int").alias("id"),
-                      (F.col("_sx").cast("double") / F.col("n").cast("double")).alias("x"),
-                      (F.col("_sy").cast("double") / F.col("n").cast("double")).alias("y"),
-                      F.col("n").cast("bigint").alias("n"))
+    return _step_sums(wpoints, centres).select(
+        F.col("id").cast("int").alias("id"),
+        (F.col("sx").cast("double") / F.col("n").cast("double")).alias("x"),
+        (F.col("sy").cast("double") / F.col("n").cast("double")).alias("y"),
+        F.col("n").cast("bigint").alias("n"))
 
 
 def _step(wpoints: DataFrame, centres: Centres, empty: str) -> list:
-    rows = step_frame(wpoints, centres).collect()  # at most k rows
-    new = {int(r["id"]): (int(r["id"]), float(r["x"]), float(r["y"]), int(r["n"])) for r in rows}
+    """Run one step; the k result rows come to the driver, where the means
+    are the same IEEE divisions Spark would do (float(sum) / float(n))."""
+    new = {}
+    for r in _step_sums(wpoints, centres).collect():  # at most k rows
+        cid, n = int(r["id"]), int(r["n"])
+        new[cid] = (cid, float(r["sx"]) / float(n), float(r["sy"]) / float(n), n)
     if empty == "keep":
         for cid, cx, cy in centres:
             new.setdefault(cid, (cid, cx, cy, 0))
@@ -209,9 +225,12 @@ def kmeans_history(points: DataFrame, seeds: DataFrame, max_steps: int,
 def kmeans_assignments(points: DataFrame, centres: DataFrame) -> DataFrame:
     """M6: every point (duplicates kept) with its nearest centre: x, y, id,
     cx, cy. Map-only: the centres are k literals in the projection."""
-    near = X.nearest_centre("x", "y", centres_of(centres))
-    return points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select("x", "y", near["id"].alias("id"),
-                         near["cx"].alias("cx"), near["cy"].alias("cy"))
+    cs = centres_of(centres)
+    assigned = (points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+                .select("x", "y", X.nearest_centre_id("x", "y", cs).alias("id")))
+    return assigned.select("x", "y", "id",
+                           X.centre_coordinate("id", cs, "x").alias("cx"),
+                           X.centre_coordinate("id", cs, "y").alias("cy"))
 
 
 def centroid_shift(old: DataFrame, new: DataFrame, tol: float = DEFAULT_TOL) -> DataFrame:
