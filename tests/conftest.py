@@ -35,4 +35,5 @@ def tmp_dir():
 def rows(df, *cols):
     """Sorted list of tuples (order-insensitive comparison helper)."""
     cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    out = [tuple(r[c] for c in cols) for r in df.collect()]
+    return sorted(out, key=lambda t: tuple((v is not None, v) for v in t))
