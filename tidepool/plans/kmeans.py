@@ -10,9 +10,10 @@ centres travel to the driver between steps.
 
 Points are prepared once: optionally collapsed to distinct (x, y) with a
 multiplicity ``w`` (integer coordinates repeat heavily, so this shrinks the
-data the loop re-reads), then persisted and checkpointed into the shared
-checkpoint folder so that a lost executor recomputes from the checkpoint,
-not from the source scan.
+data the loop re-reads) and persisted; the collapsed table is also
+checkpointed into the shared checkpoint folder (``spark.checkpoint.dir``)
+so a lost executor re-reads it instead of re-running the collapsing
+shuffle. Raw points are not copied there: their lineage is just the scan.
 
 Rules (fixed by the reference's intent):
 * centre ids are the seed positions and stay stable across steps;
@@ -59,24 +60,41 @@ def centres_frame(spark: SparkSession, centres, with_n: bool = False) -> DataFra
 
 
 def prepare_points(points: DataFrame, collapse: bool = True,
-                   checkpoint: bool = True) -> DataFrame:
-    """Points (x, y) -> (x, y, w) ready for repeated steps."""
+                   checkpoint: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    """Points (x, y) -> (x, y, w) ready for repeated steps.
+
+    Returns ``(frame, cached)``: the frame to read in the loop and the
+    persisted frame to ``unpersist`` when done.
+
+    ``collapse`` groups duplicate points into a weight (one shuffle, after
+    which the loop reads far fewer rows when coordinates repeat). The
+    collapsed table is persisted and, by default, checkpointed to the shared
+    checkpoint folder: its lineage contains a shuffle, and the checkpoint
+    lets a lost executor's slice be re-read instead of re-running that
+    shuffle. Uncollapsed points are only persisted: their lineage is a scan
+    and a projection, so a lost block is recomputed from the source file,
+    and copying the whole input into the checkpoint folder would double the
+    I/O for nothing.
+    """
     pts = points.select("x", "y").where(F.col("x").isNotNull() & F.col("y").isNotNull())
     if collapse:
         pts = pts.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
     else:
         pts = pts.withColumn("w", F.lit(1).cast("bigint"))
-    if not checkpoint:
-        return pts
-    ensure_checkpoint_dir(points.sparkSession)
+    if checkpoint is None:
+        checkpoint = collapse
     # The loop re-reads these rows every step: make sure every core has a
     # slice. Only a small input has fewer partitions than cores, so this
     # round-robin shuffle never applies to a large one.
     cores = points.sparkSession.sparkContext.defaultParallelism
     if pts.rdd.getNumPartitions() < cores:
         pts = pts.repartition(cores)
-    pts = pts.persist()
-    return pts.checkpoint(eager=True)
+    cached = pts.persist()
+    if checkpoint:
+        ensure_checkpoint_dir(points.sparkSession)
+        return cached.checkpoint(eager=True), cached
+    cached.count()  # materialise the cache once, before the loop
+    return cached, cached
 
 
 def _step_sums(wpoints: DataFrame, centres: Centres) -> DataFrame:
@@ -141,12 +159,12 @@ class KMeansResult:
 
 def run_kmeans(points: DataFrame, seeds: DataFrame, max_steps: int,
                tol: float | None = DEFAULT_TOL, empty: str = "drop",
-               collapse: bool = True, checkpoint: bool = True) -> KMeansResult:
+               collapse: bool = True, checkpoint: bool | None = None) -> KMeansResult:
     """Driver loop shared by M2-M5. ``tol=None`` runs exactly ``max_steps``."""
     if empty not in ("drop", "keep"):
         raise ValueError("empty must be 'drop' or 'keep'")
     cur = centres_of(seeds)
-    wp = prepare_points(points, collapse=collapse, checkpoint=checkpoint)
+    wp, cached = prepare_points(points, collapse=collapse, checkpoint=checkpoint)
     history, converged, steps = [], False, 0
     try:
         for i in range(int(max_steps)):
@@ -161,7 +179,7 @@ def run_kmeans(points: DataFrame, seeds: DataFrame, max_steps: int,
             if not cur:
                 break
     finally:
-        wp.unpersist()
+        cached.unpersist()
     return KMeansResult(cur, steps, converged, history)
 
 
@@ -171,8 +189,8 @@ def kmeans_step(points: DataFrame, seeds: DataFrame) -> DataFrame:
     """M1: one step from the seeds: new centres (id, x, y, n); a seed that
     attracts no point is absent. Fully lazy (the seeds are k rows); a single
     pass, so points are not collapsed first (that would add a shuffle)."""
-    wp = prepare_points(points, collapse=False, checkpoint=False)
-    return step_frame(wp, centres_of(seeds))
+    pts = points.select("x", "y").where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    return step_frame(pts.withColumn("w", F.lit(1).cast("bigint")), centres_of(seeds))
 
 
 def kmeans_iterate(points: DataFrame, seeds: DataFrame, steps: int,
