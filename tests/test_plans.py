@@ -1,0 +1,57 @@
+"""Plan-shape checks: everything stays JVM-side, the intended join kinds are
+used, and nothing relies on cross joins."""
+
+import pytest
+
+import __spark_entry__ as E
+from conftest import SF_SMALL
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                "PythonUDF", "MapPartitions")
+CROSS_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    return {name: plan_of(fn(spark, SF_SMALL)) for name, fn in E.queries().items()}
+
+
+def test_no_python_and_no_cross_join(plans):
+    for name, plan in plans.items():
+        for node in PYTHON_NODES + CROSS_NODES:
+            assert node not in plan, (name, node)
+
+
+@pytest.mark.parametrize("name,node", [
+    ("top_pages", "TakeOrderedAndProject"),
+    ("friends_never_accessed", "LeftAnti"),
+    ("isolated_inactive_people", "LeftAnti"),
+    ("people_ignoring_a_friend", "LeftSemi"),
+    ("matching_people", "LeftSemi"),
+    ("healthy_at_sick_table", "LeftSemi"),
+    ("healthy_at_risk", "LeftAnti"),
+    ("healthy_at_risk", "LeftSemi"),
+    ("table_health", "partial_min"),
+    ("access_profile", "partial_count"),
+    ("connectedness", "partial_sum"),
+    ("kmeans_step", "partial_sum"),
+    ("popular_people", "Subquery"),
+    ("disconnected_users", "Subquery"),
+])
+def test_intended_operators(plans, name, node):
+    assert node in plans[name]
+
+
+def test_top_k_side_is_broadcast(plans):
+    assert "BroadcastExchange" in plans["top_pages_details"]
+
+
+def test_filters_and_pruning_reach_the_scan(plans):
+    plan = plans["people_by_nationality"]
+    assert "PushedFilters: [IsNotNull(n_name), EqualTo(n_name,NATION_7)" in plan \
+        or "EqualTo(n_name,NATION_7)" in plan
+    assert "ReadSchema: struct<c_name:string,c_nationkey:int,c_mktsegment:string>" in plan

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The jobs this library re-creates are all batch jobs over files; none reads
+an unbounded source, keeps state across batches or handles late data, so
+there is no streaming operator to build (adding one would be a feature the
+original work does not have). Every job is a pure DataFrame -> DataFrame
+function, so a user who receives the inputs as a stream can still apply
+any of them per micro-batch inside ``writeStream.foreachBatch``.
+"""
