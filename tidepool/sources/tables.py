@@ -18,6 +18,8 @@ columns a job does not use and pushes its filters into the scan.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +30,26 @@ SICK_EVENT_TYPE = "error"
 SICK_VALUE_ABOVE = 200.0
 
 
+_SCHEMAS: dict[tuple, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table. Its schema is read from the parquet footer once per
+    file version and then passed explicitly, so later reads skip footer
+    inference (each read still builds a fresh relation, so a view may be
+    used twice in one plan without ambiguous self-joins)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        st = os.stat(path)
+        key = (path, st.st_mtime_ns, st.st_size)
+    except OSError:  # not a local path: let Spark infer every time
+        return spark.read.parquet(path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
