@@ -64,7 +64,9 @@ def prepare_points(points: DataFrame, collapse: bool = True,
     """Points (x, y) -> (x, y, w) ready for repeated steps.
 
     Returns ``(frame, cached)``: the frame to read in the loop and the
-    persisted frame to ``unpersist`` when done.
+    persisted frame to ``unpersist`` when done (None when nothing was
+    cached: raw points whose estimated size exceeds
+    ``RAW_PERSIST_LIMIT_BYTES`` are re-read from the source each step).
 
     ``collapse`` groups duplicate points into a weight (one shuffle, after
     which the loop reads far fewer rows when coordinates repeat). The
@@ -89,6 +91,10 @@ def prepare_points(points: DataFrame, collapse: bool = True,
     cores = points.sparkSession.sparkContext.defaultParallelism
     if pts.rdd.getNumPartitions() < cores:
         pts = pts.repartition(cores)
+    if not collapse and _estimated_bytes(pts) > RAW_PERSIST_LIMIT_BYTES:
+        # Too large to be worth caching: each step re-reads the two pruned
+        # columns from the source files instead.
+        return pts, None
     cached = pts.persist()
     if checkpoint:
         ensure_checkpoint_dir(points.sparkSession)
@@ -97,6 +103,18 @@ def prepare_points(points: DataFrame, collapse: bool = True,
     return cached, cached
 
 
+# Raw (uncollapsed) points above this estimated size are not cached.
+RAW_PERSIST_LIMIT_BYTES = 256 * 1024 ** 3
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """Optimizer's size estimate of a plan (no job is run)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable: assume small
+        return 0
+
+
 def _step_sums(wpoints: DataFrame, centres: Centres) -> DataFrame:
     """Per nearest centre: weighted coordinate sums and point count
     (id, sx, sy, n) -- one projection and one partially aggregated
@@ -179,7 +197,8 @@ def run_kmeans(points: DataFrame, seeds: DataFrame, max_steps: int,
             if not cur:
                 break
     finally:
-        cached.unpersist()
+        if cached is not None:
+            cached.unpersist()
     return KMeansResult(cur, steps, converged, history)
 
 
