@@ -9,7 +9,7 @@ is in choosing the shape Catalyst plans well at scale:
 * set difference / membership use ``left_anti`` / ``left_semi`` joins on
   de-duplicated keys, never a per-key collection of values;
 * a broadcast hint is only placed on a side whose row count is bounded by
-  construction (a top-k, a one-row aggregate, k centroids). Everything else
+  construction (the k rows of a top-k). Everything else
   is left to AQE, which measures the materialised shuffle at run time,
   converts to a broadcast join only below its threshold, and otherwise splits
   skewed partitions of a sort-merge join.
@@ -83,21 +83,24 @@ def distinct_minus(left: DataFrame, left_keys: Sequence[str],
     return l.join(r, cond, "left_anti")
 
 
+def _key_set(ids: DataFrame, ids_key: str) -> DataFrame:
+    """Distinct non-null keys. Membership only needs existence, and the
+    partial aggregation collapses a hot key to one row per map task before
+    anything is shuffled, so a key holding a third of the rows cannot make
+    one join task heavy; AQE may then broadcast the reduced set."""
+    return ids.select(F.col(ids_key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
+
+
 def keep_matching(df: DataFrame, key: str, ids: DataFrame, ids_key: str,
                   row_bound: int | None = None) -> DataFrame:
     """Rows of ``df`` whose key appears in ``ids`` (semi join; a
     row is kept once however many matches it has)."""
-    k = ids.select(F.col(ids_key).alias("_k"))
+    k = _key_set(ids, ids_key)
     return df.join(broadcast_bounded(k, row_bound), df[key] == F.col("_k"), "left_semi")
 
 
 def drop_matching(df: DataFrame, key: str, ids: DataFrame, ids_key: str,
                   row_bound: int | None = None) -> DataFrame:
     """Rows of ``df`` whose key does not appear in ``ids``."""
-    k = ids.select(F.col(ids_key).alias("_k"))
+    k = _key_set(ids, ids_key)
     return df.join(broadcast_bounded(k, row_bound), df[key] == F.col("_k"), "left_anti")
-
-
-def with_scalar(df: DataFrame, scalar: DataFrame) -> Column:
-    """A one-row, one-column DataFrame as a scalar subquery column."""
-    return scalar.scalar()
