@@ -50,3 +50,13 @@ def test_distance_and_nearest(spark):
         "x", "id", X.centre_coordinate("id", cs, "x").alias("cx")).orderBy("x").collect()]
     # x=5 ties between id 0 (0,0) and ids 1/2 (10,0): lowest id wins
     assert got == [(1, 0, 0.0), (5, 0, 0.0), (9, 1, 10.0)]
+
+
+def test_json_int_field_matches_json_parse(spark):
+    df = spark.createDataFrame([('{"k": 5}',), ('{"a": {"k": 1}, "k": 7}',), ('{ "k" : -3 }',),
+                                ('{"k": "9"}',), ('{"k": 5.5}',), ('{"kk": 4}',), ('junk',),
+                                (None,)], "props STRING")
+    got = df.select(X.json_int_field("props", "k").alias("h"),
+                    F.get_json_object("props", "$.k").try_cast("bigint").alias("g")).collect()
+    assert [r["h"] for r in got] == [r["g"] for r in got]
+    assert [r["h"] for r in got][:4] == [5, 7, -3, 9]

@@ -23,6 +23,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.functions import expressions as X
+
 # Fixed values of the adapter definitions.
 URGENT_PRIORITY = "1-URGENT"
 SICK, NOT_SICK = "sick", "not-sick"
@@ -83,7 +85,7 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("event_id").cast("bigint").alias("access_id"),
         F.col("user_id").cast("bigint").alias("by_who"),
-        F.get_json_object("props", "$.k").try_cast("bigint").alias("what_page"),
+        X.json_int_field("props", "k").alias("what_page"),
         F.col("event_type").alias("type_of_access"),
         F.col("ts").alias("access_time"))
 
