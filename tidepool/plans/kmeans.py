@@ -31,6 +31,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.functions import expressions as X
 from tidepool.session import ensure_checkpoint_dir
@@ -59,7 +60,7 @@ def centres_frame(spark: SparkSession, centres, with_n: bool = False) -> DataFra
                                  "id INT, x DOUBLE, y DOUBLE")
 
 
-def prepare_points(points: DataFrame, collapse: bool = True,
+def prepare_points(points: DataFrame, collapse: bool | None = None,
                    checkpoint: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """Points (x, y) -> (x, y, w) ready for repeated steps.
 
@@ -69,7 +70,10 @@ def prepare_points(points: DataFrame, collapse: bool = True,
     ``RAW_PERSIST_LIMIT_BYTES`` are re-read from the source each step).
 
     ``collapse`` groups duplicate points into a weight (one shuffle, after
-    which the loop reads far fewer rows when coordinates repeat). The
+    which the loop reads far fewer rows when coordinates repeat). By default
+    (None) it is used for integer coordinates, whose distinct count is
+    bounded by the value domain, and not for real-valued ones, where it would
+    shuffle (and checkpoint) the whole input for little reduction. The
     collapsed table is persisted and, by default, checkpointed to the shared
     checkpoint folder: its lineage contains a shuffle, and the checkpoint
     lets a lost executor's slice be re-read instead of re-running that
@@ -79,6 +83,8 @@ def prepare_points(points: DataFrame, collapse: bool = True,
     I/O for nothing.
     """
     pts = points.select("x", "y").where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    if collapse is None:
+        collapse = _integral_coordinates(points)
     if collapse:
         pts = pts.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
     else:
@@ -103,6 +109,11 @@ def prepare_points(points: DataFrame, collapse: bool = True,
     return cached, cached
 
 
+def _integral_coordinates(points: DataFrame) -> bool:
+    types = {f.name: f.dataType for f in points.schema.fields}
+    return all(isinstance(types.get(c), T.IntegralType) for c in ("x", "y"))
+
+
 def _default_parallelism(spark: SparkSession) -> int | None:
     """Cores available to the session, or None when the session exposes no
     SparkContext (a remote client); the small-input re-slicing is skipped then."""
@@ -186,7 +197,7 @@ class KMeansResult:
 
 def run_kmeans(points: DataFrame, seeds: DataFrame, max_steps: int,
                tol: float | None = DEFAULT_TOL, empty: str = "drop",
-               collapse: bool = True, checkpoint: bool | None = None) -> KMeansResult:
+               collapse: bool | None = None, checkpoint: bool | None = None) -> KMeansResult:
     """Driver loop shared by M2-M5. ``tol=None`` runs exactly ``max_steps``."""
     if empty not in ("drop", "keep"):
         raise ValueError("empty must be 'drop' or 'keep'")
