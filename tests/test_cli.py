@@ -84,3 +84,15 @@ def test_cli_kmeans_report(spark, tmp_dir):
     lines = [r[0] for r in spark.read.text(out).collect()]
     assert lines[-1] in ("Convergence: yes", "Convergence: no")
     assert [ln.split("\t")[0] for ln in lines[:-1]] == ["0", "1"]
+
+
+def test_cli_parquet_in_and_out(spark, tmp_dir):
+    people = V.people(spark, SF_SMALL)
+    src = os.path.join(tmp_dir, "people_pq")
+    people.write.parquet(src)
+    out = os.path.join(tmp_dir, "by_nat")
+    cli.run(spark, cli._parser().parse_args(
+        ["people_per_nationality", "--people", src, "--input-format", "parquet",
+         "--output-format", "parquet", "--out", out]))
+    from tidepool.plans import social as D
+    assert rows(spark.read.parquet(out)) == rows(D.people_per_nationality(people))

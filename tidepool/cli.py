@@ -4,10 +4,11 @@
     spark-submit tidepool/cli.py JOB --out DIR [inputs] [options]
 
 Inputs are CSV files or folders with a header line (``--no-header`` for
-headerless files): ``--people``, ``--friends``, ``--access-log``,
-``--attendees``, ``--no-disclosure``, ``--reports``, ``--points``,
-``--seeds``. Output is CSV with a header; the folder must not exist unless
-``--overwrite`` is given. k-means jobs take ``--steps`` and ``--tol``; the
+headerless files) or, with ``--input-format parquet``, parquet tables with
+the library's column names: ``--people``, ``--friends``, ``--access-log``,
+``--attendees``, ``--no-disclosure``, ``--reports``; k-means reads
+``--points`` and ``--seeds`` text. Output is CSV with a header (or parquet);
+the folder must not exist unless ``--overwrite`` is given. k-means jobs take ``--steps`` and ``--tol``; the
 ``kmeans_centers_report`` job writes the text report with its
 ``Convergence:`` trailer.
 """
@@ -17,10 +18,13 @@ from __future__ import annotations
 import argparse
 import os
 
+from pyspark.sql import functions as F
+
 from tidepool.plans import health as H
 from tidepool.plans import kmeans as M
 from tidepool.plans import social as D
 from tidepool.sources import readers as Rd
+from tidepool.sources import schemas as S
 from tidepool.sources import sinks as K
 
 SOCIAL_INPUTS = {
@@ -64,6 +68,9 @@ def _parser() -> argparse.ArgumentParser:
                  "points", "seeds"):
         p.add_argument(f"--{name}")
     p.add_argument("--no-header", action="store_true")
+    p.add_argument("--input-format", choices=("csv", "parquet"), default="csv",
+                   help="parquet inputs must carry the library's column names")
+    p.add_argument("--output-format", choices=("csv", "parquet"), default="csv")
     p.add_argument("--overwrite", action="store_true")
     p.add_argument("--single-file", action="store_true",
                    help="one output file (only for small results)")
@@ -82,6 +89,12 @@ def _load(spark, a, name: str):
     path = getattr(a, name)
     if not path:
         raise SystemExit(f"--{name.replace('_', '-')} is required for {a.job}")
+    if a.input_format == "parquet":
+        schema = {"people": S.PEOPLE, "friends": S.FRIENDS, "access_log": S.ACCESS_LOG,
+                  "attendees": S.ATTENDEES, "no_disclosure": S.ATTENDEES_NO_DISCLOSURE,
+                  "reports": S.REPORTS}[name]
+        df = spark.read.parquet(path)
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     header = not a.no_header
     reader = {
         "people": Rd.read_people, "friends": Rd.read_friends, "access_log": Rd.read_access_log,
@@ -96,8 +109,7 @@ def run(spark, a) -> None:
     if a.job in SOCIAL_INPUTS or a.job in HEALTH_INPUTS:
         names = SOCIAL_INPUTS.get(a.job) or HEALTH_INPUTS[a.job]
         t = {n: _load(spark, a, n) for n in names}
-        out = _social_or_health(a, t)
-        K.write_csv(out, a.out, header=True, mode=mode, single_file=a.single_file)
+        _write(_social_or_health(a, t), a, mode)
         return
     points = Rd.read_points(spark, a.points)
     seeds = Rd.read_seeds(spark, a.seeds)
@@ -118,7 +130,14 @@ def run(spark, a) -> None:
         report = M.kmeans_centers_report(points, seeds, a.steps, a.tol, a.empty)
         K.write_lines(K.report_lines(report), a.out, mode=mode, single_file=True)
         return
-    K.write_csv(out, a.out, header=True, mode=mode, single_file=a.single_file)
+    _write(out, a, mode)
+
+
+def _write(out, a, mode: str) -> None:
+    if a.output_format == "parquet":
+        (out.coalesce(1) if a.single_file else out).write.mode(mode).parquet(a.out)
+    else:
+        K.write_csv(out, a.out, header=True, mode=mode, single_file=a.single_file)
 
 
 def _social_or_health(a, t):
