@@ -134,3 +134,13 @@ def test_friend_counts_from_adjacency(spark):
     lines = spark.createDataFrame([("1,2,3",), ("2,1",), ("3",)], "value STRING")
     got = rows(D.friend_counts_from_adjacency(lines))
     assert got == [(1, 2), (2, 1)]
+
+
+def test_outer_details_one_line_per_page_with_duplicate_ids(spark):
+    dup = people(spark).unionByName(spark.createDataFrame(
+        [(1, "Zed", "Zambia", 9, "Ski")], PEOPLE))
+    got = rows(D.top_pages_details_outer(log(spark), dup, 3))
+    assert [r[0] for r in got] == [1, 2, 77]
+    assert (1, " Ann ", "Armenia") in got
+    inner = rows(D.top_pages_details(log(spark), dup, 3))
+    assert len([r for r in inner if r[0] == 1]) == 2  # the inner version keeps both

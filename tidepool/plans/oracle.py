@@ -79,9 +79,10 @@ def social_sql() -> dict[str, str]:
     q["top_pages_details"] = with_views(["people", "access_log"], top, body=(
         "SELECT t.page_id, p.name, p.nationality FROM top t JOIN people p ON p.person_id = t.page_id"))
     q["top_pages_details_outer"] = with_views(["people", "access_log"], top, body=(
-        "SELECT t.page_id, coalesce(p.name, 'Unknown') AS name, "
-        "coalesce(p.nationality, 'Unknown') AS nationality "
-        "FROM top t LEFT JOIN people p ON p.person_id = t.page_id"))
+        "SELECT t.page_id, coalesce(struct_extract(q.o, 'name'), 'Unknown') AS name, "
+        "coalesce(struct_extract(q.o, 'nationality'), 'Unknown') AS nationality "
+        "FROM top t LEFT JOIN (SELECT person_id, min({'name': name, 'nationality': nationality}) AS o "
+        "FROM people GROUP BY person_id) q ON q.person_id = t.page_id"))
     q["people_per_country_code"] = with_views(["people"], body=(
         "SELECT country_code, count(*) AS n FROM people "
         "WHERE country_code BETWEEN 1 AND 50 GROUP BY country_code"))

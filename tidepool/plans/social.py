@@ -53,18 +53,22 @@ def top_pages_details(access_log: DataFrame, people: DataFrame, k: int = 10) ->
 
 
 def top_pages_details_outer(access_log: DataFrame, people: DataFrame, k: int = 10) -> DataFrame:
-    """Every top page with owner details, 'Unknown' when the page has no
-    people row.
+    """Every top page, once, with owner details; 'Unknown' when the page
+    has no people row.
 
     people is first reduced by a semi join against the k top ids (broadcast,
     bounded by k); the outer join then only involves those few rows.
     """
     top = top_pages(access_log, k)
-    owners = R.keep_matching(people, "person_id", top, "page_id", row_bound=k)
+    matched = R.keep_matching(people, "person_id", top, "page_id", row_bound=k)
+    # One line per page even if an id occurs twice in people: keep the
+    # smallest (name, nationality) pair, deterministically.
+    owners = matched.groupBy("person_id").agg(
+        F.min(F.struct("name", "nationality")).alias("_o"))
     joined = top.join(owners, top.page_id == owners.person_id, "left")
     return joined.select("page_id",
-                         X.default("name", UNKNOWN).alias("name"),
-                         X.default("nationality", UNKNOWN).alias("nationality"))
+                         X.default(F.col("_o.name"), UNKNOWN).alias("name"),
+                         X.default(F.col("_o.nationality"), UNKNOWN).alias("nationality"))
 
 
 # --- D5 / D6 -------------------------------------------------------------------
