@@ -28,7 +28,7 @@ def test_no_python_and_no_cross_join(plans):
 
 @pytest.mark.parametrize("name,node", [
     ("top_pages", "TakeOrderedAndProject"),
-    ("friends_never_accessed", "LeftAnti"),
+    ("friends_never_accessed", "partial_max"),
     ("isolated_inactive_people", "LeftAnti"),
     ("people_ignoring_a_friend", "LeftSemi"),
     ("matching_people", "LeftSemi"),
@@ -55,3 +55,9 @@ def test_filters_and_pruning_reach_the_scan(plans):
     assert "PushedFilters: [IsNotNull(n_name), EqualTo(n_name,NATION_7)" in plan \
         or "EqualTo(n_name,NATION_7)" in plan
     assert "ReadSchema: struct<c_name:string,c_nationkey:int,c_mktsegment:string>" in plan
+
+
+def test_set_difference_is_one_cogroup_shuffle(plans):
+    plan = plans["friends_never_accessed"]
+    assert "LeftAnti" not in plan and "Union" in plan
+    assert plan.count("Exchange hashpartitioning(_k0") == 1
