@@ -6,8 +6,10 @@ is in choosing the shape Catalyst plans well at scale:
 * aggregations are written so partial (map-side) aggregation applies, which
   also defuses hot keys: a key holding a third of the rows leaves each map
   task as one partial row;
-* set difference / membership use ``left_anti`` / ``left_semi`` joins on
-  de-duplicated keys, never a per-key collection of values;
+* membership filters use ``left_semi`` / ``left_anti`` joins against the
+  de-duplicated key set, and a set difference of two key sets is a
+  co-group (tag, union, one partially aggregated ``groupBy``) -- never a
+  per-key collection of values;
 * a broadcast hint is only placed on a side whose row count is bounded by
   construction (the k rows of a top-k). Everything else
   is left to AQE, which measures the materialised shuffle at run time,
