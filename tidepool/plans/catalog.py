@@ -1,7 +1,12 @@
-"""Registry of the data jobs as (spark, sf_dir) -> DataFrame callables.
-
-Every entry reads the driver's parquet tables through the views of
-``tidepool.sources.tables`` and runs over the whole tables.
+"""Registry of the data jobs.
+
+Each job is written once against a table accessor ``t(name)`` that returns
+a fresh DataFrame for one of the logical tables (people, friends,
+access_log, attendees, no_disclosure, reports, points, seeds).
+``queries()`` binds the accessor to the views of the driver's parquet tables
+(``tidepool.sources.tables``), so every registered query reads and runs
+over the whole driver tables; ``bind`` binds it to any other tables with the
+library's columns.
 """
 
 from __future__ import annotations
@@ -9,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidepool.plans import health as H
 from tidepool.plans import kmeans as M
@@ -18,105 +22,95 @@ from tidepool.plans import social as D
 from tidepool.sources import tables as V
 
 Query = Callable[[SparkSession, str], DataFrame]
+Tables = Callable[[str], DataFrame]
+Job = Callable[[Tables], DataFrame]
+
+
+def _assignments(t: Tables) -> DataFrame:
+    final = M.kmeans_partial_agg(t("points"), t("seeds"), P.KMEANS_MAX_STEPS, P.KMEANS_TOL)
+    return M.kmeans_assignments(t("points"), final)
+
+
+def _shift(t: Tables) -> DataFrame:
+    step = M.kmeans_step(t("points"), t("seeds")).select("id", "x", "y")
+    return M.centroid_shift(t("seeds"), step, P.KMEANS_TOL)
+
+
+SOCIAL: dict[str, Job] = {
+    "people_by_nationality": lambda t: D.people_by_nationality(t("people"), P.NATIONALITY),
+    "top_pages": lambda t: D.top_pages(t("access_log"), P.TOP_K),
+    "top_pages_details": lambda t: D.top_pages_details(t("access_log"), t("people"), P.TOP_K),
+    "top_pages_details_outer": lambda t: D.top_pages_details_outer(
+        t("access_log"), t("people"), P.TOP_K),
+    "people_per_country_code": lambda t: D.people_per_country_code(t("people")),
+    "people_per_nationality": lambda t: D.people_per_nationality(t("people")),
+    "connectedness": lambda t: D.connectedness(t("people"), t("friends")),
+    "connectedness_named": lambda t: D.connectedness_named(t("people"), t("friends")),
+    "access_profile": lambda t: D.access_profile(t("access_log")),
+    "access_profile_named": lambda t: D.access_profile_named(t("access_log"), t("people")),
+    "friends_never_accessed": lambda t: D.friends_never_accessed(t("friends"), t("access_log")),
+    "people_ignoring_a_friend": lambda t: D.people_ignoring_a_friend(
+        t("friends"), t("access_log"), t("people")),
+    "disconnected_users": lambda t: D.disconnected_users(t("access_log"), days=P.INACTIVE_DAYS),
+    "matching_people": lambda t: D.matching_people(
+        t("people"), D.disconnected_users(t("access_log"), days=P.INACTIVE_DAYS)),
+    "isolated_inactive_people": lambda t: D.isolated_inactive_people(
+        t("people"), t("friends"), t("access_log"), days=P.INACTIVE_DAYS),
+    "friend_counts": lambda t: D.friend_counts(t("friends")),
+    "friend_count_report": lambda t: D.friend_count_report(t("friends")),
+    "popular_people": lambda t: D.popular_people(t("friends"), t("people")),
+}
 
+HEALTH: dict[str, Job] = {
+    "sick_attendees": lambda t: H.sick_attendees(t("attendees")),
+    "sick_attendee_tables": lambda t: H.sick_attendee_tables(t("no_disclosure"), t("reports")),
+    "healthy_at_sick_table": lambda t: H.healthy_at_sick_table(t("attendees")),
+    "table_health": lambda t: H.table_health(t("attendees")),
+    "healthy_at_risk": lambda t: H.healthy_at_risk(t("no_disclosure"), t("reports")),
+}
 
-def _people(s, d):
-    return V.people(s, d)
-
-
-def _friends(s, d):
-    return V.friends(s, d)
-
-
-def _log(s, d):
-    return V.access_log(s, d)
-
-
-def _att(s, d):
-    return V.attendees(s, d)
-
-
-def _nd(s, d):
-    return V.attendees_no_disclosure(s, d)
-
-
-def _rep(s, d):
-    return V.reports(s, d)
-
-
-def _pts(s, d):
-    return V.points(s, d)
-
-
-def _seeds(s):
-    return V.seeds(s, P.SEEDS)
-
+KMEANS: dict[str, Job] = {
+    "kmeans_step": lambda t: M.kmeans_step(t("points"), t("seeds")),
+    "kmeans_iterate": lambda t: M.kmeans_iterate(t("points"), t("seeds"), P.KMEANS_STEPS),
+    "kmeans_early_stop": lambda t: M.kmeans_early_stop(
+        t("points"), t("seeds"), P.KMEANS_MAX_STEPS, P.KMEANS_TOL),
+    "kmeans_partial_agg": lambda t: M.kmeans_partial_agg(
+        t("points"), t("seeds"), P.KMEANS_MAX_STEPS, P.KMEANS_TOL),
+    "kmeans_centers_report": lambda t: M.kmeans_centers_report(
+        t("points"), t("seeds"), P.KMEANS_MAX_STEPS, P.KMEANS_TOL),
+    "kmeans_history": lambda t: M.kmeans_history(
+        t("points"), t("seeds"), P.KMEANS_MAX_STEPS, P.KMEANS_TOL),
+    "kmeans_assignments": _assignments,
+    "centroid_shift": _shift,
+}
 
-def _assignments(s, d):
-    final = M.kmeans_partial_agg(_pts(s, d), _seeds(s), P.KMEANS_MAX_STEPS, P.KMEANS_TOL)
-    return M.kmeans_assignments(_pts(s, d), final)
+JOBS: dict[str, Job] = {**SOCIAL, **HEALTH, **KMEANS}
 
 
-def _shift(s, d):
-    step = M.kmeans_step(_pts(s, d), _seeds(s)).select("id", "x", "y")
-    return M.centroid_shift(_seeds(s), step, P.KMEANS_TOL)
+def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    loaders = {
+        "people": lambda: V.people(spark, sf_dir),
+        "friends": lambda: V.friends(spark, sf_dir),
+        "access_log": lambda: V.access_log(spark, sf_dir),
+        "attendees": lambda: V.attendees(spark, sf_dir),
+        "no_disclosure": lambda: V.attendees_no_disclosure(spark, sf_dir),
+        "reports": lambda: V.reports(spark, sf_dir),
+        "points": lambda: V.points(spark, sf_dir),
+        "seeds": lambda: V.seeds(spark, P.SEEDS),
+    }
+    return lambda name: loaders[name]()
 
 
-SOCIAL: dict[str, Query] = {
-    "people_by_nationality": lambda s, d: D.people_by_nationality(_people(s, d), P.NATIONALITY),
-    "top_pages": lambda s, d: D.top_pages(_log(s, d), P.TOP_K),
-    "top_pages_details": lambda s, d: D.top_pages_details(_log(s, d), _people(s, d), P.TOP_K),
-    "top_pages_details_outer": lambda s, d: D.top_pages_details_outer(
-        _log(s, d), _people(s, d), P.TOP_K),
-    "people_per_country_code": lambda s, d: D.people_per_country_code(_people(s, d)),
-    "people_per_nationality": lambda s, d: D.people_per_nationality(_people(s, d)),
-    "connectedness": lambda s, d: D.connectedness(_people(s, d), _friends(s, d)),
-    "connectedness_named": lambda s, d: D.connectedness_named(_people(s, d), _friends(s, d)),
-    "access_profile": lambda s, d: D.access_profile(_log(s, d)),
-    "access_profile_named": lambda s, d: D.access_profile_named(_log(s, d), _people(s, d)),
-    "friends_never_accessed": lambda s, d: D.friends_never_accessed(_friends(s, d), _log(s, d)),
-    "people_ignoring_a_friend": lambda s, d: D.people_ignoring_a_friend(
-        _friends(s, d), _log(s, d), _people(s, d)),
-    "disconnected_users": lambda s, d: D.disconnected_users(_log(s, d), days=P.INACTIVE_DAYS),
-    "matching_people": lambda s, d: D.matching_people(
-        _people(s, d), D.disconnected_users(_log(s, d), days=P.INACTIVE_DAYS)),
-    "isolated_inactive_people": lambda s, d: D.isolated_inactive_people(
-        _people(s, d), _friends(s, d), _log(s, d), days=P.INACTIVE_DAYS),
-    "friend_counts": lambda s, d: D.friend_counts(_friends(s, d)),
-    "friend_count_report": lambda s, d: D.friend_count_report(_friends(s, d)),
-    "popular_people": lambda s, d: D.popular_people(_friends(s, d), _people(s, d)),
-}
+def bind(job: Job, tables: Tables) -> DataFrame:
+    return job(tables)
 
-HEALTH: dict[str, Query] = {
-    "sick_attendees": lambda s, d: H.sick_attendees(_att(s, d)),
-    "sick_attendee_tables": lambda s, d: H.sick_attendee_tables(_nd(s, d), _rep(s, d)),
-    "healthy_at_sick_table": lambda s, d: H.healthy_at_sick_table(_att(s, d)),
-    "table_health": lambda s, d: H.table_health(_att(s, d)),
-    "healthy_at_risk": lambda s, d: H.healthy_at_risk(_nd(s, d), _rep(s, d)),
-}
 
-KMEANS: dict[str, Query] = {
-    "kmeans_step": lambda s, d: M.kmeans_step(_pts(s, d), _seeds(s)),
-    "kmeans_iterate": lambda s, d: M.kmeans_iterate(_pts(s, d), _seeds(s), P.KMEANS_STEPS),
-    "kmeans_early_stop": lambda s, d: M.kmeans_early_stop(
-        _pts(s, d), _seeds(s), P.KMEANS_MAX_STEPS, P.KMEANS_TOL),
-    "kmeans_partial_agg": lambda s, d: M.kmeans_partial_agg(
-        _pts(s, d), _seeds(s), P.KMEANS_MAX_STEPS, P.KMEANS_TOL),
-    "kmeans_centers_report": lambda s, d: M.kmeans_centers_report(
-        _pts(s, d), _seeds(s), P.KMEANS_MAX_STEPS, P.KMEANS_TOL),
-    "kmeans_history": lambda s, d: M.kmeans_history(
-        _pts(s, d), _seeds(s), P.KMEANS_MAX_STEPS, P.KMEANS_TOL),
-    "kmeans_assignments": _assignments,
-    "centroid_shift": _shift,
-}
+def _query(job: Job) -> Query:
+    return lambda spark, sf_dir: job(driver_tables(spark, sf_dir))
 
 
 def queries() -> dict[str, Query]:
-    out: dict[str, Query] = {}
-    out.update(SOCIAL)
-    out.update(HEALTH)
-    out.update(KMEANS)
-    return out
+    return {name: _query(job) for name, job in JOBS.items()}
 
 
 FLAGSHIP = "top_pages_details"

@@ -41,8 +41,8 @@ VIEWS = {
 }
 
 
-def with_views(names: list[str], *ctes: str, body: str) -> str:
-    parts = [VIEWS[n] for n in names] + list(ctes)
+def with_views(views: dict[str, str], names: list[str], *ctes: str, body: str) -> str:
+    parts = [views[n] for n in names] + list(ctes)
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
@@ -69,63 +69,63 @@ DISCONNECTED = """disc AS (
      OR last_time < (SELECT max(access_time) FROM access_log) - INTERVAL {days} DAY)"""
 
 
-def social_sql() -> dict[str, str]:
+def social_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
     k = P.TOP_K
     top = TOP.format(k=k)
     q = {}
-    q["people_by_nationality"] = with_views(["people"], body=(
+    q["people_by_nationality"] = with_views(views, ["people"], body=(
         f"SELECT name, hobby FROM people WHERE nationality = '{P.NATIONALITY}'"))
-    q["top_pages"] = with_views(["access_log"], top, body="SELECT page_id, access_count FROM top")
-    q["top_pages_details"] = with_views(["people", "access_log"], top, body=(
+    q["top_pages"] = with_views(views, ["access_log"], top, body="SELECT page_id, access_count FROM top")
+    q["top_pages_details"] = with_views(views, ["people", "access_log"], top, body=(
         "SELECT t.page_id, p.name, p.nationality FROM top t JOIN people p ON p.person_id = t.page_id"))
-    q["top_pages_details_outer"] = with_views(["people", "access_log"], top, body=(
+    q["top_pages_details_outer"] = with_views(views, ["people", "access_log"], top, body=(
         "SELECT t.page_id, coalesce(struct_extract(q.o, 'name'), 'Unknown') AS name, "
         "coalesce(struct_extract(q.o, 'nationality'), 'Unknown') AS nationality "
         "FROM top t LEFT JOIN (SELECT person_id, min({'name': name, 'nationality': nationality}) AS o "
         "FROM people GROUP BY person_id) q ON q.person_id = t.page_id"))
-    q["people_per_country_code"] = with_views(["people"], body=(
+    q["people_per_country_code"] = with_views(views, ["people"], body=(
         "SELECT country_code, count(*) AS n FROM people "
         "WHERE country_code BETWEEN 1 AND 50 GROUP BY country_code"))
-    q["people_per_nationality"] = with_views(["people"], body=(
+    q["people_per_nationality"] = with_views(views, ["people"], body=(
         "SELECT nationality, count(*) AS n FROM people GROUP BY nationality"))
-    q["connectedness"] = with_views(["people", "friends"], body=(
+    q["connectedness"] = with_views(views, ["people", "friends"], body=(
         "SELECT person_id, CAST(sum(one) AS BIGINT) AS factor FROM ("
         "SELECT person_id, 0 AS one FROM people UNION ALL "
         "SELECT my_friend AS person_id, 1 AS one FROM friends) u "
         "WHERE person_id IS NOT NULL GROUP BY person_id"))
-    q["connectedness_named"] = with_views(["people", "friends"], body=(
+    q["connectedness_named"] = with_views(views, ["people", "friends"], body=(
         "SELECT p.name, CAST(coalesce(c.n, 0) AS BIGINT) AS factor FROM people p LEFT JOIN "
         "(SELECT my_friend, count(*) AS n FROM friends WHERE my_friend IS NOT NULL "
         "GROUP BY my_friend) c ON p.person_id = c.my_friend"))
-    q["access_profile"] = with_views(["access_log"], body=(
+    q["access_profile"] = with_views(views, ["access_log"], body=(
         "SELECT by_who, count(*) AS total, count(DISTINCT what_page) AS distinct_pages "
         "FROM access_log WHERE by_who IS NOT NULL GROUP BY by_who"))
-    q["access_profile_named"] = with_views(["people", "access_log"], body=(
+    q["access_profile_named"] = with_views(views, ["people", "access_log"], body=(
         "SELECT p.name, a.total, a.distinct_pages FROM "
         "(SELECT by_who, count(*) AS total, count(DISTINCT what_page) AS distinct_pages "
         "FROM access_log WHERE by_who IS NOT NULL GROUP BY by_who) a "
         "JOIN people p ON a.by_who = p.person_id"))
-    q["friends_never_accessed"] = with_views(["friends", "access_log"], NEVER, body=(
+    q["friends_never_accessed"] = with_views(views, ["friends", "access_log"], NEVER, body=(
         "SELECT person_id, friend_id, message FROM never"))
-    q["people_ignoring_a_friend"] = with_views(["people", "friends", "access_log"], NEVER, body=(
+    q["people_ignoring_a_friend"] = with_views(views, ["people", "friends", "access_log"], NEVER, body=(
         "SELECT p.person_id, p.name FROM people p "
         "WHERE p.person_id IN (SELECT person_id FROM never)"))
     disc = DISCONNECTED.format(days=P.INACTIVE_DAYS)
-    q["disconnected_users"] = with_views(["access_log"], disc, body="SELECT by_who FROM disc")
-    q["matching_people"] = with_views(["people", "access_log"], disc, body=(
+    q["disconnected_users"] = with_views(views, ["access_log"], disc, body="SELECT by_who FROM disc")
+    q["matching_people"] = with_views(views, ["people", "access_log"], disc, body=(
         "SELECT p.person_id, p.name FROM people p WHERE p.person_id IN (SELECT by_who FROM disc)"))
-    q["isolated_inactive_people"] = with_views(["people", "friends", "access_log"], body=(
+    q["isolated_inactive_people"] = with_views(views, ["people", "friends", "access_log"], body=(
         "SELECT p.person_id, p.name FROM people p "
         "WHERE p.person_id IS NOT NULL "
         "AND NOT EXISTS (SELECT 1 FROM friends f WHERE f.person_id = p.person_id) "
         "AND NOT EXISTS (SELECT 1 FROM access_log a WHERE a.by_who = p.person_id AND "
         f"a.access_time > (SELECT max(access_time) FROM access_log) - INTERVAL {P.INACTIVE_DAYS} DAY)"))
-    q["friend_counts"] = with_views(["friends"], FC, body="SELECT person_id, num_friends FROM fc")
-    q["friend_count_report"] = with_views(["friends"], FC, body=(
+    q["friend_counts"] = with_views(views, ["friends"], FC, body="SELECT person_id, num_friends FROM fc")
+    q["friend_count_report"] = with_views(views, ["friends"], FC, body=(
         "SELECT 'USER_' || CAST(person_id AS VARCHAR) AS label, num_friends AS value FROM fc "
         "UNION ALL SELECT 'Average Friendships' AS label, "
         "CAST(coalesce(sum(num_friends) // count(*), 0) AS BIGINT) AS value FROM fc"))
-    q["popular_people"] = with_views(["people", "friends"], FC, body=(
+    q["popular_people"] = with_views(views, ["people", "friends"], FC, body=(
         "SELECT trim(p.name) AS name, fc.num_friends AS friend_count FROM fc "
         "JOIN people p ON fc.person_id = p.person_id "
         "WHERE CAST(fc.num_friends AS DOUBLE) > "
@@ -133,22 +133,22 @@ def social_sql() -> dict[str, str]:
     return q
 
 
-def health_sql() -> dict[str, str]:
+def health_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
     q = {}
-    q["sick_attendees"] = with_views(["attendees"], body=(
+    q["sick_attendees"] = with_views(views, ["attendees"], body=(
         "SELECT id, name, \"table\", test FROM attendees WHERE test = 'sick'"))
-    q["sick_attendee_tables"] = with_views(["attendees", "reports"], body=(
+    q["sick_attendee_tables"] = with_views(views, ["attendees", "reports"], body=(
         "SELECT a.id, a.\"table\" FROM attendees a JOIN reports r ON a.id = r.id "
         "WHERE r.test = 'sick'"))
-    q["healthy_at_sick_table"] = with_views(["attendees"], body=(
+    q["healthy_at_sick_table"] = with_views(views, ["attendees"], body=(
         "SELECT id, name FROM attendees WHERE test = 'not-sick' AND \"table\" IN "
         "(SELECT \"table\" FROM attendees WHERE test = 'sick')"))
-    q["table_health"] = with_views(["attendees"], body=(
+    q["table_health"] = with_views(views, ["attendees"], body=(
         "SELECT \"table\", count(*) AS n, CASE WHEN bool_and(lower(trim(test)) = 'not-sick') "
         "THEN 'healthy' ELSE 'concern' END AS flag FROM attendees "
         "WHERE \"table\" IS NOT NULL AND test IS NOT NULL AND trim(test) <> '' "
         "GROUP BY \"table\""))
-    q["healthy_at_risk"] = with_views(["attendees", "reports"], body=(
+    q["healthy_at_risk"] = with_views(views, ["attendees", "reports"], body=(
         "SELECT a.id, a.name, a.\"table\" FROM attendees a "
         "WHERE a.\"table\" IN (SELECT b.\"table\" FROM attendees b "
         "WHERE b.id IN (SELECT id FROM reports WHERE id IS NOT NULL)) "
@@ -203,29 +203,29 @@ def _kmeans_ctes(seeds, steps: int, tol: float | None) -> list[str]:
     return ctes
 
 
-def kmeans_sql() -> dict[str, str]:
+def kmeans_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
     seeds = P.SEEDS
     q = {}
-    q["kmeans_step"] = with_views(["points"], *_kmeans_ctes(seeds, 1, None),
+    q["kmeans_step"] = with_views(views, ["points"], *_kmeans_ctes(seeds, 1, None),
                                   body="SELECT id, x, y, n FROM c1")
-    q["kmeans_iterate"] = with_views(["points"], *_kmeans_ctes(seeds, P.KMEANS_STEPS, None),
+    q["kmeans_iterate"] = with_views(views, ["points"], *_kmeans_ctes(seeds, P.KMEANS_STEPS, None),
                                      body="SELECT id, x, y FROM fin")
     early = _kmeans_ctes(seeds, P.KMEANS_MAX_STEPS, P.KMEANS_TOL)
     body = "SELECT id, x, y, iterations, converged FROM fin"
-    q["kmeans_early_stop"] = with_views(["points"], *early, body=body)
-    q["kmeans_partial_agg"] = with_views(["points"], *early, body=body)
-    q["kmeans_centers_report"] = with_views(["points"], *early,
+    q["kmeans_early_stop"] = with_views(views, ["points"], *early, body=body)
+    q["kmeans_partial_agg"] = with_views(views, ["points"], *early, body=body)
+    q["kmeans_centers_report"] = with_views(views, ["points"], *early,
                                             body="SELECT id, x, y, converged FROM fin")
-    q["kmeans_history"] = with_views(["points"], *early, body=(
+    q["kmeans_history"] = with_views(views, ["points"], *early, body=(
         "SELECT CAST(a.i - 1 AS INTEGER) AS iteration, a.id, a.x, a.y, a.n "
         f"FROM allc a CROSS JOIN stop s WHERE a.i >= 1 AND a.i <= coalesce(s.j, {P.KMEANS_MAX_STEPS})"))
-    q["kmeans_assignments"] = with_views(["points"], *early, (
+    q["kmeans_assignments"] = with_views(views, ["points"], *early, (
         "asg AS (SELECT x, y, id, cx, cy FROM (SELECT p.x, p.y, c.id, c.x AS cx, c.y AS cy, "
         f"row_number() OVER (PARTITION BY p.x, p.y ORDER BY {_dist('p.x', 'p.y', 'c.x', 'c.y')}, c.id) "
         "AS rn FROM pts p CROSS JOIN fin c) t WHERE rn = 1)"), body=(
         "SELECT r.x, r.y, a.id, a.cx, a.cy FROM points r JOIN asg a ON r.x = a.x AND r.y = a.y"))
     step1 = _kmeans_ctes(seeds, 1, None)
-    q["centroid_shift"] = with_views(["points"], *step1, (
+    q["centroid_shift"] = with_views(views, ["points"], *step1, (
         "sh AS (SELECT CAST(coalesce(o.id, n.id) AS INTEGER) AS id, "
         f"{_dist('o.x', 'o.y', 'n.x', 'n.y')} AS shift FROM c0 o FULL OUTER JOIN c1 n ON o.id = n.id)"),
         body=(f"SELECT id, shift, (SELECT coalesce(bool_and(coalesce(shift <= {P.KMEANS_TOL!r}, false)), "
@@ -233,9 +233,11 @@ def kmeans_sql() -> dict[str, str]:
     return q
 
 
-def all_sql() -> dict[str, str]:
+def all_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
+    """Every statement; ``views`` may replace the table definitions (e.g. to
+    run the same statements over other tables with the library's columns)."""
     out = {}
-    out.update(social_sql())
-    out.update(health_sql())
-    out.update(kmeans_sql())
+    out.update(social_sql(views))
+    out.update(health_sql(views))
+    out.update(kmeans_sql(views))
     return out
