@@ -91,12 +91,6 @@ def prepare_points(points: DataFrame, collapse: bool | None = None,
         pts = pts.withColumn("w", F.lit(1).cast("bigint"))
     if checkpoint is None:
         checkpoint = collapse
-    # The loop re-reads these rows every step: make sure every core has a
-    # slice. Only a small input has fewer partitions than cores, so this
-    # round-robin shuffle never applies to a large one.
-    cores = _default_parallelism(points.sparkSession)
-    if cores and pts.rdd.getNumPartitions() < cores:
-        pts = pts.repartition(cores)
     if not collapse and _estimated_bytes(pts) > RAW_PERSIST_LIMIT_BYTES:
         # Too large to be worth caching: each step re-reads the two pruned
         # columns from the source files instead.
@@ -114,15 +108,6 @@ def _integral_coordinates(points: DataFrame) -> bool:
     return all(isinstance(types.get(c), T.IntegralType) for c in ("x", "y"))
 
 
-def _default_parallelism(spark: SparkSession) -> int | None:
-    """Cores available to the session, or None when the session exposes no
-    SparkContext (a remote client); the small-input re-slicing is skipped then."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return None
-
-
 # Raw (uncollapsed) points above this estimated size are not cached.
 RAW_PERSIST_LIMIT_BYTES = 256 * 1024 ** 3
 
