@@ -55,7 +55,8 @@ def test_distance_and_nearest(spark):
 def test_json_int_field_matches_json_parse(spark):
     df = spark.createDataFrame([('{"k": 5}',), ('{"a": {"k": 1}, "k": 7}',), ('{ "k" : -3 }',),
                                 ('{"k": "9"}',), ('{"k": 5.5}',), ('{"kk": 4}',), ('junk',),
-                                (None,)], "props STRING")
+                                ('{"k": 007}',), ('{"k":\f5}',), ('{"k":\n-0}',),
+                                ('{"k": 99999999999999999999}',), (None,)], "props STRING")
     got = df.select(X.json_int_field("props", "k").alias("h"),
                     F.get_json_object("props", "$.k").try_cast("bigint").alias("g")).collect()
     assert [r["h"] for r in got] == [r["g"] for r in got]

@@ -77,7 +77,9 @@ def json_int_field(c, key: str) -> Column:
     """
     import re
     k = re.escape(key)
-    fast = F.regexp_extract(_c(c), rf'^\{{\s*"{k}"\s*:\s*(-?[0-9]+)\s*\}}$', 1)
+    ws = "[ \\t\\n\\r]*"  # JSON whitespace only
+    number = "(-?(?:0|[1-9][0-9]*))"  # JSON integer: no leading zeros
+    fast = F.regexp_extract(_c(c), f'^\\{{{ws}"{k}"{ws}:{ws}{number}{ws}\\}}$', 1)
     slow = F.get_json_object(_c(c), f"$.{key}")
     return F.when(fast != F.lit(""), fast).otherwise(slow).try_cast("bigint")
 
