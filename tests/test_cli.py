@@ -96,3 +96,21 @@ def test_cli_parquet_in_and_out(spark, tmp_dir):
          "--output-format", "parquet", "--out", out]))
     from tidepool.plans import social as D
     assert rows(spark.read.parquet(out)) == rows(D.people_per_nationality(people))
+
+
+def test_cli_clean_rows(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "pages.csv")
+    with open(src, "w") as f:
+        f.write("PersonID,Name,Nationality,Country Code,Hobby\n"
+                "1,Ann,Armenia,7,Chess\n"
+                "x2,Bob,Armenia,7,Golf\n"
+                "3,Cid\n"
+                "4,Dee,Chile,5,Judo\n")
+    out = os.path.join(tmp_dir, "clean")
+    cli.run(spark, cli._parser().parse_args(
+        ["clean_rows", "--table", "people", "--input", src, "--out", out]))
+    both = spark.read.option("header", True).csv(out)
+    clean = both.where("status = 'clean'")
+    rejected = both.where("status = 'rejected'")
+    assert sorted(r["person_id"] for r in clean.collect()) == ["1", "4"]
+    assert sorted(r["raw_line"] for r in rejected.collect()) == ["3,Cid", "x2,Bob,Armenia,7,Golf"]

@@ -10,7 +10,9 @@ the library's column names: ``--people``, ``--friends``, ``--access-log``,
 ``--points`` and ``--seeds`` text. Output is CSV with a header (or parquet);
 the folder must not exist unless ``--overwrite`` is given. k-means jobs take ``--steps`` and ``--tol``; the
 ``kmeans_centers_report`` job writes the text report with its
-``Convergence:`` trailer.
+``Convergence:`` trailer. ``clean_rows --table T --input F`` writes every
+row of a text file once, split into ``--out/status=clean`` and
+``--out/status=rejected`` (with the raw line).
 """
 
 from __future__ import annotations
@@ -56,7 +58,7 @@ HEALTH_INPUTS = {
 }
 KMEANS_JOBS = ("kmeans_step", "kmeans_iterate", "kmeans_early_stop", "kmeans_partial_agg",
                "kmeans_centers_report", "kmeans_history", "kmeans_assignments")
-JOBS = tuple(SOCIAL_INPUTS) + tuple(HEALTH_INPUTS) + KMEANS_JOBS
+JOBS = tuple(SOCIAL_INPUTS) + tuple(HEALTH_INPUTS) + KMEANS_JOBS + ("clean_rows",)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -81,6 +83,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--steps", type=int, default=10)
     p.add_argument("--tol", type=float, default=M.DEFAULT_TOL)
     p.add_argument("--empty", choices=("drop", "keep"), default="drop")
+    p.add_argument("--table", choices=tuple(Rd.REQUIRED),
+                   help="clean_rows: which layout the --input file has")
+    p.add_argument("--input", help="clean_rows: the text file or folder to check")
     p.add_argument("--master", default=None)
     return p
 
@@ -106,6 +111,16 @@ def _load(spark, a, name: str):
 
 def run(spark, a) -> None:
     mode = "overwrite" if a.overwrite else "errorifexists"
+    if a.job == "clean_rows":
+        if not (a.table and a.input):
+            raise SystemExit("clean_rows needs --table and --input")
+        rows = Rd.classify_rows(spark, a.input, a.table, header=not a.no_header)
+        w = rows.write.mode(mode).partitionBy("status")
+        if a.output_format == "parquet":
+            w.parquet(a.out)
+        else:
+            w.option("header", True).csv(a.out)
+        return
     if a.job in SOCIAL_INPUTS or a.job in HEALTH_INPUTS:
         names = SOCIAL_INPUTS.get(a.job) or HEALTH_INPUTS[a.job]
         t = {n: _load(spark, a, n) for n in names}

@@ -132,6 +132,49 @@ def reject_count(df: DataFrame, required: Iterable[str]) -> DataFrame:
     return rejected_rows(df, required).agg(F.count(F.lit(1)).alias("rejected"))
 
 
+# Key columns a row must type correctly to be usable, per logical table.
+REQUIRED = {
+    "people": ["person_id"],
+    "friends": ["person_id", "my_friend"],
+    "access_log": ["by_who", "what_page"],
+    "attendees": ["id", "table"],
+    "no_disclosure": ["id", "table"],
+    "reports": ["id"],
+}
+TEXT_SCHEMAS = {
+    "people": S.PEOPLE, "friends": S.FRIENDS, "access_log": S.ACCESS_LOG,
+    "attendees": S.ATTENDEES, "no_disclosure": S.ATTENDEES_NO_DISCLOSURE,
+    "reports": S.REPORTS,
+}
+
+
+def classify_rows(spark: SparkSession, path: str, table: str, header: bool = True,
+                  sep: str = ",") -> DataFrame:
+    """S9 as a job: every line of ``table``'s text layout, typed, with
+    ``status`` = 'clean' or 'rejected' and, for rejected rows, ``raw_line``
+    (the parser's record for malformed lines, else the fields joined).
+
+    One scan classifies every row; write it once with
+    ``partitionBy("status")`` so both outputs come from the same pass (two
+    separate queries could classify differently, because the CSV parser only
+    checks the columns a query reads).
+    """
+    schema = TEXT_SCHEMAS[table]
+    raw = (spark.read.schema(S.as_text(schema).add(T.StructField(CORRUPT, T.StringType())))
+           .option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    typed = raw.select(
+        *[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields],
+        F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *[F.coalesce(F.col(f.name), F.lit(""))
+                                                      for f in schema.fields])).alias("_raw"),
+        F.col(CORRUPT).isNotNull().alias("_malformed"))
+    ok = required_present(REQUIRED[table]) & ~F.col("_malformed")
+    return typed.select(
+        *[f.name for f in schema.fields],
+        F.when(ok, F.lit(None).cast("string")).otherwise(F.col("_raw")).alias("raw_line"),
+        F.when(ok, F.lit("clean")).otherwise(F.lit("rejected")).alias("status"))
+
+
 # --- convenience loaders for the reference's text layouts -------------------
 
 def read_people(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
