@@ -170,3 +170,10 @@ def test_step_plan_is_partial_aggregate_without_python(spark):
     plan = M.kmeans_step(df, seeds_df(spark))._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan
     assert "Python" not in plan and "Join" not in plan
+
+
+def test_centre_set_size_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(M, "MAX_CENTRES", 3)
+    df = spark.createDataFrame([(1, 1)], PTS)
+    with pytest.raises(ValueError):
+        M.kmeans_step(df, seeds_df(spark, [(i, float(i), 0.0) for i in range(5)]))

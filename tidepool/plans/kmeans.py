@@ -41,11 +41,18 @@ DEFAULT_TOL = 0.001
 Centres = list  # list[tuple[int, float, float]]
 
 
+# Largest centre set brought to the driver (k is a cluster count, not data).
+MAX_CENTRES = 100_000
+
+
 def centres_of(df: DataFrame) -> Centres:
-    """Collect a centre DataFrame (id, x, y): k rows, bounded by the cluster
-    count. Raises when there is no centre."""
-    rows = df.select(F.col("id").cast("int"), F.col("x").cast("double"),
-                     F.col("y").cast("double")).collect()
+    """Collect a centre DataFrame (id, x, y): k rows. At most
+    ``MAX_CENTRES + 1`` rows are ever fetched, so a wrong input cannot flood
+    the driver. Raises when there is no centre or too many."""
+    rows = (df.select(F.col("id").cast("int"), F.col("x").cast("double"),
+                      F.col("y").cast("double")).limit(MAX_CENTRES + 1).collect())
+    if len(rows) > MAX_CENTRES:
+        raise ValueError(f"more than {MAX_CENTRES} centres: not a k-means seed set")
     out = sorted((int(r[0]), float(r[1]), float(r[2])) for r in rows)
     if not out:
         raise ValueError("k-means needs at least one seed")
