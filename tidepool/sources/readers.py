@@ -207,6 +207,9 @@ def read_points(spark: SparkSession, path: str, header: bool = False) -> DataFra
     return clean_rows(read_text_table(spark, path, S.POINTS, header=header), ["x", "y"])
 
 
+MAX_SEED_LINES = 100_000
+
+
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     """Seeds in either layout: ``x,y`` or ``id<TAB>x,y`` (the centroid state).
 
@@ -226,5 +229,8 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
         F.trim(F.get(parts, 0)).try_cast("double").alias("x"),
         F.trim(F.get(parts, 1)).try_cast("double").alias("y"),
     ).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    # A seed file has k lines; cap what the single-partition numbering can
+    # see (the k-means jobs refuse more than MAX_SEED_LINES centres anyway).
+    with_pos = with_pos.orderBy("_pos").limit(MAX_SEED_LINES + 1)
     pos = (F.row_number().over(Window.orderBy("_pos")) - 1).cast("int")
     return with_pos.select(F.coalesce(F.col("_id"), pos).alias("id"), "x", "y")
