@@ -103,11 +103,19 @@ def prepare_points(points: DataFrame, collapse: bool | None = None,
         # columns from the source files instead.
         return pts, None
     cached = pts.persist()
+    frame = cached
     if checkpoint:
         ensure_checkpoint_dir(points.sparkSession)
-        return cached.checkpoint(eager=True), cached
-    cached.count()  # materialise the cache once, before the loop
-    return cached, cached
+        frame = cached.checkpoint(eager=True)
+    rows = frame.count()  # materialises the cache before the loop
+    # Every step re-reads this table: size its slices by rows so a small
+    # table is not spread over many near-empty tasks (a narrow coalesce; it
+    # never adds partitions, so a large table keeps its parallelism).
+    return frame.coalesce(max(1, -(-rows // ROWS_PER_TASK))), cached
+
+
+# Rows of (x, y, w) per task in the k-means loop (about 48 MB of longs).
+ROWS_PER_TASK = 2_000_000
 
 
 def _integral_coordinates(points: DataFrame) -> bool:
