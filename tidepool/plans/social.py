@@ -57,7 +57,8 @@ def top_pages_details_outer(access_log: DataFrame, people: DataFrame, k: int = 1
     has no people row.
 
     people is first reduced by a semi join against the k top ids (broadcast,
-    bounded by k); the outer join then only involves those few rows.
+    bounded by k) and grouped to one row per id (so at most k rows), which
+    is then broadcast into the outer join.
     """
     top = top_pages(access_log, k)
     matched = R.keep_matching(people, "person_id", top, "page_id", row_bound=k)
@@ -65,6 +66,9 @@ def top_pages_details_outer(access_log: DataFrame, people: DataFrame, k: int = 1
     # smallest (name, nationality) pair, deterministically.
     owners = matched.groupBy("person_id").agg(
         F.min(F.struct("name", "nationality")).alias("_o"))
+    # One row per matched top id: at most k rows, so it is the broadcast
+    # build side of the outer join (no sort-merge join, no shuffle of top).
+    owners = R.broadcast_bounded(owners, k)
     joined = top.join(owners, top.page_id == owners.person_id, "left")
     return joined.select("page_id",
                          X.default(F.col("_o.name"), UNKNOWN).alias("name"),
