@@ -111,3 +111,14 @@ def test_split_fields_java_semantics(spark):
     spark_like = Rd.split_fields(lines).collect()[0]["fields"]
     java_like = Rd.split_fields(lines, drop_trailing_empty=True).collect()[0]["fields"]
     assert spark_like == ["a", "b", "", ""] and java_like == ["a", "b"]
+
+
+def test_empty_and_non_ascii_pages_are_not_counted(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "access_logs.csv"),
+               "AccessID,ByWho,WhatPage,TypeOfAccess,AccessTime\n"
+               "1,1,2,Viewed Profile,2024-01-30 10:00:00\n"
+               "2,1,,Viewed Profile,2024-01-30 10:00:00\n"
+               "3,1,é7,Viewed Profile,2024-01-30 10:00:00\n"
+               "4,1,７,Viewed Profile,2024-01-30 10:00:00\n")
+    log = Rd.read_access_log(spark, p)
+    assert rows(D.top_pages(log)) == [(2, 1)]

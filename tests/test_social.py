@@ -144,3 +144,15 @@ def test_outer_details_one_line_per_page_with_duplicate_ids(spark):
     assert (1, " Ann ", "Armenia") in got
     inner = rows(D.top_pages_details(log(spark), dup, 3))
     assert len([r for r in inner if r[0] == 1]) == 2  # the inner version keeps both
+
+
+def test_tie_exactly_at_rank_ten_goes_to_lowest_ids(spark):
+    # pages 100..111 each accessed 3 times, page 1 five times: 13 candidates
+    rows_ = [(i, 1, 1, "V", T("2024-01-01 00:00:00")) for i in range(5)]
+    n = 5
+    for page in range(100, 112):
+        for _ in range(3):
+            rows_.append((n, 2, page, "V", T("2024-01-01 00:00:00")))
+            n += 1
+    top = rows(D.top_pages(spark.createDataFrame(rows_, LOG), 10))
+    assert [p for p, _ in top] == [1] + list(range(100, 109))
