@@ -35,6 +35,15 @@ def non_empty(c) -> Column:
     return _c(c).isNotNull() & (_c(c) != F.lit(""))
 
 
+def all_present(cols) -> Column:
+    """True when every named column is not NULL (a key that failed to type
+    is NULL)."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & _c(c).isNotNull()
+    return cond
+
+
 def default(c, value) -> Column:
     """NULL -> default."""
     return F.coalesce(_c(c), F.lit(value))

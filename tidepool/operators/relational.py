@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.functions import expressions as X
+
 # Largest row count we accept as a broadcast build side on a known bound.
 BROADCAST_MAX_ROWS = 1_000_000
 
@@ -93,20 +95,13 @@ def distinct_minus(left: DataFrame, left_keys: Sequence[str],
                     F.lit(True).alias("_l"), F.lit(False).alias("_r"))
     r_keys = [F.col(k).alias(n) for k, n in zip(right_keys, names)]
     r = right.select(*r_keys, F.lit(False).alias("_l"), F.lit(True).alias("_r"))
-    r = r.where(required_non_null(names))
+    r = r.where(X.all_present(names))
     tagged = l.unionByName(r).groupBy(*names).agg(F.bool_or("_l").alias("_l"),
                                                  F.bool_or("_r").alias("_r"))
     return (tagged.where(F.col("_l") & ~F.col("_r"))
             .select(*[F.col(n).alias(k) for n, k in zip(names, left_keys)]))
 
 
-def required_non_null(cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    return cond
-
-
 def _key_set(ids: DataFrame, ids_key: str) -> DataFrame:
     """Distinct non-null keys. Membership only needs existence, and the
     partial aggregation collapses a hot key to one row per map task before

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.functions import expressions as X
 from tidepool.sources import schemas as S
 
 CORRUPT = "_corrupt_record"
@@ -110,10 +111,7 @@ def split_fields(lines: DataFrame, sep: str = ",", limit: int = -1,
 def required_present(schema_or_cols: T.StructType | Iterable[str]) -> Column:
     names = ([f.name for f in schema_or_cols.fields]
              if isinstance(schema_or_cols, T.StructType) else list(schema_or_cols))
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & F.col(n).isNotNull()
-    return cond
+    return X.all_present(names)
 
 
 def clean_rows(df: DataFrame, required: Iterable[str]) -> DataFrame:
