@@ -114,3 +114,18 @@ def test_cli_clean_rows(spark, tmp_dir):
     rejected = both.where("status = 'rejected'")
     assert sorted(r["person_id"] for r in clean.collect()) == ["1", "4"]
     assert sorted(r["raw_line"] for r in rejected.collect()) == ["3,Cid", "x2,Bob,Armenia,7,Golf"]
+
+
+def test_cli_centroid_shift(spark, tmp_dir):
+    old = os.path.join(tmp_dir, "old.csv")
+    new = os.path.join(tmp_dir, "new.txt")
+    with open(old, "w") as f:
+        f.write("0,0\n5,5\n")
+    with open(new, "w") as f:
+        f.write("0\t3.0,4.0\n1\t5.0,5.0\n")
+    out = os.path.join(tmp_dir, "shift")
+    cli.run(spark, cli._parser().parse_args(
+        ["centroid_shift", "--seeds", old, "--centres", new, "--out", out]))
+    got = sorted((r["id"], r["shift"], r["converged"])
+                 for r in spark.read.option("header", True).csv(out).collect())
+    assert got == [("0", "5.0", "false"), ("1", "0.0", "false")]

@@ -58,7 +58,7 @@ HEALTH_INPUTS = {
 }
 KMEANS_JOBS = ("kmeans_step", "kmeans_iterate", "kmeans_early_stop", "kmeans_partial_agg",
                "kmeans_centers_report", "kmeans_history", "kmeans_assignments")
-JOBS = tuple(SOCIAL_INPUTS) + tuple(HEALTH_INPUTS) + KMEANS_JOBS + ("clean_rows",)
+JOBS = tuple(SOCIAL_INPUTS) + tuple(HEALTH_INPUTS) + KMEANS_JOBS + ("centroid_shift", "clean_rows")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -83,6 +83,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--steps", type=int, default=10)
     p.add_argument("--tol", type=float, default=M.DEFAULT_TOL)
     p.add_argument("--empty", choices=("drop", "keep"), default="drop")
+    p.add_argument("--centres", help="centroid_shift: the newer centre file (--seeds is the older)")
     p.add_argument("--table", choices=tuple(Rd.REQUIRED),
                    help="clean_rows: which layout the --input file has")
     p.add_argument("--input", help="clean_rows: the text file or folder to check")
@@ -126,6 +127,13 @@ def run(spark, a) -> None:
         t = {n: _load(spark, a, n) for n in names}
         _write(_social_or_health(a, t), a, mode)
         return
+    if a.job == "centroid_shift":
+        if not (a.seeds and a.centres):
+            raise SystemExit("centroid_shift needs --seeds (older) and --centres (newer)")
+        out = M.centroid_shift(Rd.read_seeds(spark, a.seeds), Rd.read_seeds(spark, a.centres),
+                               a.tol)
+        _write(out, a, mode)
+        return
     points = Rd.read_points(spark, a.points)
     seeds = Rd.read_seeds(spark, a.seeds)
     if a.job == "kmeans_step":
