@@ -1,0 +1,116 @@
+import random
+
+import pytest
+import xxhash
+
+from tidepool.llm import simhash
+from tidepool.llm.components import components
+from tidepool.llm.store import Scratch
+
+
+def brute_fingerprint(text):
+    words = [w for w in _split(text or "")]
+    if not words:
+        return 0
+    sh = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))]
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def _split(text):
+    import re
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    return re.findall("[^\x20\x09-\x0D]+", low)
+
+
+def brute_components(fps, radius):
+    parent = list(range(len(fps)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= radius:
+                parent[find(i)] = find(j)
+    return [find(i) for i in range(len(fps))]
+
+
+@pytest.mark.parametrize("radius", [1, 2, 4])
+def test_masks_cover_every_difference(radius):
+    masks = simhash.covering_masks(list(range(64)), radius)
+    rnd = random.Random(radius)
+    for _ in range(2000):
+        diff = sum(1 << p for p in rnd.sample(range(64), radius))
+        assert any(m & diff == 0 for m in masks)
+    assert min(m.bit_count() for m in masks) >= 30
+
+
+def test_fingerprint_matches_plain_statement():
+    texts = [None, "", " \n", "One", "a b c", "a b c d", "É a B x y z w", "x " * 5000, "long" * 9000 + " b c d e"]
+    rnd = random.Random(3)
+    texts += [" ".join(rnd.choice(["ab", "Cd", "ée", "x,"]) for _ in range(rnd.randint(0, 60))) for _ in range(30)]
+    for t in texts:
+        assert simhash.fingerprint(t) == brute_fingerprint(t)
+
+
+def test_groups_equal_brute_force(spark):
+    rnd = random.Random(5)
+    fps = {0}
+    for _ in range(12):  # clouds at several widths, some chained, some not linked
+        centre, spread = rnd.getrandbits(64), rnd.choice([1, 2, 3, 5, 7])
+        fps |= {centre ^ sum({1 << rnd.randrange(64) for _ in range(rnd.randint(0, spread))}) for _ in range(40)}
+    fps |= {rnd.getrandbits(64) for _ in range(100)}
+    fps = sorted(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    expect = {}
+    for s, root in zip(signed, brute_components(fps, 4)):
+        expect.setdefault(root, set()).add(s)
+    for split_above in (2, 64):
+        df = spark.createDataFrame([(s,) for s in signed], "fp bigint")
+        got = {s: s for s in signed} | {r.fp: r.root for r in simhash.groups(Scratch(spark, "t"), df, 4, split_above).collect()}
+        classes = {}
+        for s, root in got.items():
+            classes.setdefault(root, set()).add(s)
+        assert sorted(map(sorted, classes.values())) == sorted(map(sorted, expect.values()))
+        assert all(root == min(c) for root, c in classes.items())
+
+
+def test_components_chain_and_star(spark):
+    links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (None, 3), (1, 0)]
+    got = components(Scratch(spark, "t"), spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    assert {r.v: r.root for r in got} == {i: 0 for i in range(1, 61)} | {100 + i: 100 for i in range(1, 50)}
+    assert components(Scratch(spark, "t"), spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_edge_rows(spark):
+    base = " ".join(f"w{i}" for i in range(300))
+    rows = [(5, base, "x"), (3, base.upper(), "y"), (3, base.upper(), "y"), (None, base, None), (9, None, "z"),
+            (8, "", "z"), (7, " \n\t", "z"), (None, "only null here", "z"), (11, base + " tail", "z")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, fingerprint string").selectExpr("*", "1 as fp", "2 as root")
+    got = simhash.near_duplicates(df).collect()
+    assert len(got) == len(rows) and got[0].asDict().keys() == {"doc_id", "fingerprint", "component_id"}
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, set()).add((r.fingerprint, r.component_id))
+    assert {c for _, c in by[5] | by[3] | by[11]} == {3}
+    assert by[9] == by[8] == by[7] == {("0" * 16, 7)}
+    assert {c for _, c in by[None]} == {3, None}
+    empty = simhash.near_duplicates(df.where("doc_id = -1"))
+    assert empty.count() == 0
+
+
+def test_sf_table_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    fps = [brute_fingerprint(t) for _, t in rows]
+    root = brute_components(fps, 4)
+    least = {}
+    for (i, _), r in zip(rows, root):
+        least[r] = min(i, least.get(r, i))
+    expect = {i: (f"{f:016x}", least[r]) for (i, _), f, r in zip(rows, fps, root)}
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert got == expect

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.llm import packing as packing_
+from tidepool.llm import simhash as simhash_
 from tidepool.llm import token_counts as token_counts_
 from tidepool.llm.store import table
 
@@ -22,7 +23,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts_.token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_packing, op4_token_counts]
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_packing, op4_token_counts, op9_simhash_near_dedup]
 ORACLES: dict[str, str] = {}
 
 
