@@ -8,7 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidepool.llm import line_dedup as line_dedup_
 from tidepool.llm import packing as packing_
 from tidepool.llm import simhash as simhash_
 from tidepool.llm import token_counts as token_counts_
@@ -19,6 +21,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup_.dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts_.token_counts(table(spark, sf_dir, "documents"))
 
@@ -27,8 +35,22 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_packing, op4_token_counts, op9_simhash_near_dedup]
-ORACLES: dict[str, str] = {}
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_packing, op2_line_dedup, op4_token_counts, op9_simhash_near_dedup]
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": r"""
+WITH l AS (
+  SELECT doc_id, i, line, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i
+        FROM documents)),
+f AS (SELECT key FROM l WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+m AS (SELECT l.*, f.key IS NOT NULL AS gone FROM l LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+""",
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
