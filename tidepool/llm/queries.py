@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidepool.llm import line_dedup as line_dedup_
 from tidepool.llm import packing as packing_
+from tidepool.llm import quality_rules as quality_rules_
 from tidepool.llm import simhash as simhash_
 from tidepool.llm import token_counts as token_counts_
 from tidepool.llm.store import table
@@ -31,11 +32,17 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts_.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules_.judge(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_packing, op2_line_dedup, op4_token_counts, op9_simhash_near_dedup]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    op1_packing, op2_line_dedup, op4_token_counts, op8_quality_rules,
+    op9_simhash_near_dedup]
 ORACLES: dict[str, str] = {
     "op2_line_dedup": r"""
 WITH l AS (
