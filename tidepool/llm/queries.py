@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.llm import language_id as language_id_
 from tidepool.llm import line_dedup as line_dedup_
 from tidepool.llm import packing as packing_
 from tidepool.llm import quality_rules as quality_rules_
@@ -32,6 +33,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts_.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id_.predict_languages(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules_.judge(table(spark, sf_dir, "documents"))
 
@@ -41,7 +46,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
-    op1_packing, op2_line_dedup, op4_token_counts, op8_quality_rules,
+    op1_packing, op2_line_dedup, op4_token_counts, op7_language_id, op8_quality_rules,
     op9_simhash_near_dedup]
 ORACLES: dict[str, str] = {
     "op2_line_dedup": r"""
