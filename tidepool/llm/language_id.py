@@ -44,16 +44,14 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
 def text_buckets(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a whole text's n-grams and their counts."""
     points = ngrams.code_points(" " + " ".join(text.lower().split()) + " ")
-    counts = None
-    overlap = max(SIZES) - 1
-    for lo in range(0, max(1, len(points) - overlap), _SLICE):
-        found = ngrams.buckets(points[lo:lo + _SLICE + overlap], SIZES, bits)
-        part = np.bincount(found, minlength=1 << bits) if len(points) > 4096 else found
-        counts = part if counts is None else counts + part
-    if len(points) > 4096:
-        at = np.flatnonzero(counts)
-        return at, counts[at]
-    return np.unique(counts, return_counts=True)
+    if len(points) <= 4096:
+        return np.unique(ngrams.buckets(points, SIZES, bits), return_counts=True)
+    counts = np.zeros(1 << bits, np.int64)
+    for lo in range(0, len(points), _SLICE):  # the n-grams that start in the slice
+        for n in SIZES:
+            counts += np.bincount(ngrams.buckets(points[lo:lo + _SLICE + n - 1], (n,), bits), minlength=1 << bits)
+    at = np.flatnonzero(counts)
+    return at, counts[at]
 
 
 def learn(docs: DataFrame, bits: int = 14, sample: int = 20_000, max_langs: int = 256, block: int = 1024,
