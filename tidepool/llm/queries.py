@@ -16,6 +16,7 @@ from tidepool.llm import packing as packing_
 from tidepool.llm import quality_rules as quality_rules_
 from tidepool.llm import simhash as simhash_
 from tidepool.llm import token_counts as token_counts_
+from tidepool.llm import url_filter as url_filter_
 from tidepool.llm.store import table
 
 
@@ -29,6 +30,15 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+#: The rules of the registered URL filter.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter_.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts_.token_counts(table(spark, sf_dir, "documents"))
 
@@ -46,7 +56,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
-    op1_packing, op2_line_dedup, op4_token_counts, op7_language_id, op8_quality_rules,
+    op1_packing, op2_line_dedup, op3_url_filters, op4_token_counts, op7_language_id, op8_quality_rules,
     op9_simhash_near_dedup]
 ORACLES: dict[str, str] = {
     "op2_line_dedup": r"""
