@@ -102,7 +102,8 @@ def groups(scratch: Scratch, distinct: DataFrame, max_bits: int, split_above: in
     bucket = ["mask", "key"]
     shared = scratch.write(keyed.groupBy(*bucket).agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"))
                            .where("lo < hi"), "buckets")
-    members = scratch.write(keyed.join(shared, bucket), "members")
+    # Both grow with the documents: a merge join at every size.
+    members = scratch.write(keyed.join(shared.hint("merge"), bucket), "members")
     ends = (members.where(_near("fp", "lo", max_bits)).select(F.col("fp").alias("a"), F.col("lo").alias("b"))
             .union(members.where(_near("fp", "hi", max_bits)).select("fp", "hi")))
     first = components(scratch, ends)
