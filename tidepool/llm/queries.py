@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidepool.llm import language_id as language_id_
 from tidepool.llm import line_dedup as line_dedup_
 from tidepool.llm import packing as packing_
+from tidepool.llm import quality_classifier as quality_classifier_
 from tidepool.llm import quality_rules as quality_rules_
 from tidepool.llm import simhash as simhash_
 from tidepool.llm import token_counts as token_counts_
@@ -43,6 +44,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts_.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_classifier_.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "p_low", "p_toxic", "kept")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id_.predict_languages(table(spark, sf_dir, "documents"))
 
@@ -56,7 +62,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
-    op1_packing, op2_line_dedup, op3_url_filters, op4_token_counts, op7_language_id, op8_quality_rules,
+    op1_packing, op2_line_dedup, op3_url_filters, op4_token_counts, op6_quality_classifier, op7_language_id, op8_quality_rules,
     op9_simhash_near_dedup]
 ORACLES: dict[str, str] = {
     "op2_line_dedup": r"""
