@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.llm import decontamination as decontamination_
 from tidepool.llm import language_id as language_id_
 from tidepool.llm import line_dedup as line_dedup_
 from tidepool.llm import packing as packing_
@@ -61,9 +62,15 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontamination_.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "contaminated", "items", "agreement")
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_packing, op2_line_dedup, op3_url_filters, op4_token_counts, op6_quality_classifier, op7_language_id, op8_quality_rules,
-    op9_simhash_near_dedup]
+    op9_simhash_near_dedup,
+    op10_benchmark_decontamination]
 ORACLES: dict[str, str] = {
     "op2_line_dedup": r"""
 WITH l AS (
