@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidepool.llm import decontamination as decontamination_
 from tidepool.llm import language_id as language_id_
+from tidepool.llm import license_scan as license_scan_
 from tidepool.llm import line_dedup as line_dedup_
 from tidepool.llm import packing as packing_
 from tidepool.llm import quality_classifier as quality_classifier_
@@ -45,6 +46,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts_.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan_.scan(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "licenses", "containment")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_classifier_.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "p_low", "p_toxic", "kept")
@@ -68,9 +74,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
-    op1_packing, op2_line_dedup, op3_url_filters, op4_token_counts, op6_quality_classifier, op7_language_id, op8_quality_rules,
+    op1_packing, op2_line_dedup, op3_url_filters, op4_token_counts, op5_license_scans, op6_quality_classifier, op7_language_id, op8_quality_rules,
     op9_simhash_near_dedup,
     op10_benchmark_decontamination]
+_WORDINGS = ",\n         ".join(f"('{name}', '{text}')" for name, texts in license_scan_.TEMPLATES.items() for text in texts)
 ORACLES: dict[str, str] = {
     "op2_line_dedup": r"""
 WITH l AS (
@@ -84,6 +91,20 @@ m AS (SELECT l.*, f.key IS NOT NULL AS gone FROM l LEFT JOIN f USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
+""",
+    "op5_license_scans": rf"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (SELECT doc_id, list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS sh FROM w),
+v(name, text) AS (
+  VALUES {_WORDINGS}),
+t AS (SELECT name, list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS sh
+      FROM (SELECT name, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM v)),
+c AS (SELECT doc_id, name, max(len(list_intersect(s.sh, t.sh)) / len(t.sh)) AS c FROM s, t GROUP BY doc_id, name)
+SELECT doc_id, coalesce(list_sort(list(name) FILTER (WHERE c >= 0.8)), []::VARCHAR[]) AS licenses,
+       CASE WHEN max(c) >= 0.8 THEN max(c) END AS containment
+FROM c GROUP BY doc_id
 """,
 }
 
