@@ -92,7 +92,7 @@ def test_edge_rows(spark):
             (8, "", "z"), (7, " \n\t", "z"), (None, "only null here", "z"), (11, base + " tail", "z")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, fingerprint string").selectExpr("*", "1 as fp", "2 as root")
     got = simhash.near_duplicates(df).collect()
-    assert len(got) == len(rows) and got[0].asDict().keys() == {"doc_id", "fingerprint", "component_id"}
+    assert len(got) == len(rows) and got[0].asDict().keys() == {"doc_id", "fingerprint", "component_id", "root"}
     by = {}
     for r in got:
         by.setdefault(r.doc_id, set()).add((r.fingerprint, r.component_id))

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidepool.llm import decontamination as decontamination_
 from tidepool.llm import language_id as language_id_
 from tidepool.llm import license_scan as license_scan_
@@ -65,7 +66,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    out = simhash_.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return out.select("doc_id", "fingerprint", "component_id")
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,10 +75,14 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return out.select("doc_id", "contaminated", "items", "agreement")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_packing, op2_line_dedup, op3_url_filters, op4_token_counts, op5_license_scans, op6_quality_classifier, op7_language_id, op8_quality_rules,
     op9_simhash_near_dedup,
-    op10_benchmark_decontamination]
+    op10_benchmark_decontamination, pipeline]
 _WORDINGS = ",\n         ".join(f"('{name}', '{text}')" for name, texts in license_scan_.TEMPLATES.items() for text in texts)
 ORACLES: dict[str, str] = {
     "op2_line_dedup": r"""

@@ -67,15 +67,22 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): fp is the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text",
+                 carry: dict[str, Column] | None = None) -> DataFrame:
+    """(id, fp, carried columns): fp is the fingerprint as a signed 64-bit integer."""
+    carry = carry or {}
+    names = list(carry)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column("text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fp)], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fp), *[b.column(c) for c in names]],
+                                             names=["id", "fp", *names])
 
-    src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, "id bigint, fp bigint")
+    src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"),
+                      *[c.alias(k) for k, c in carry.items()])
+    kinds = dict(src.dtypes)
+    return src.mapInArrow(run, ", ".join(["id bigint, fp bigint", *[f"{c} {kinds[c]}" for c in carry]]))
 
 
 def covering_masks(positions: list[int], radius: int) -> list[int]:
@@ -138,16 +145,18 @@ def groups(scratch: Scratch, distinct: DataFrame, max_bits: int, split_above: in
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, split_above: int = 64,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, fingerprint (16 hex digits) and component_id, per row."""
+                    id_col: str = "doc_id", text_col: str = "text", carry: dict[str, Column] | None = None) -> DataFrame:
+    """id, fingerprint (16 hex digits) and component_id, per row, with the
+    component's smallest fingerprint as root (signed) and carried columns."""
     scratch = Scratch(docs.sparkSession, "simhash")
-    rows = scratch.write(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    rows = scratch.write(fingerprints(docs, shingle, id_col, text_col, carry), "fingerprints")
     distinct = scratch.write(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
     linked = groups(scratch, distinct.select("fp"), max_bits, split_above)
     rooted = scratch.write(distinct.join(linked, "fp", "left")
                            .select("fp", F.coalesce("root", "fp").alias("root"), "first"), "rooted")
     smallest = scratch.write(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
-    named = scratch.write(rooted.join(smallest, "root").select("fp", "component_id"), "components")
+    named = scratch.write(rooted.join(smallest, "root").select("fp", "root", "component_id"), "components")
     scratch.drop(distinct, linked, rooted, smallest)
     return rows.join(named, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+        "root", *(carry or {}))
