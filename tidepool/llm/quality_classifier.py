@@ -34,7 +34,10 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -42,11 +45,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.llm.store import Scratch
+
 HEADS = ("low", "toxic")
 _WORD = re.compile(r"^\W*(.*?)(\W*)$", re.S)
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>!@^~=+_{}[]\\")] = True
 _REACHED = (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8)
+_EVERY = -1  # a feature of every document, whose count is the number of documents
 #: Bound on memory, not on results: words remembered by one Python worker.
 MEMO_WORDS = 500_000
 
@@ -66,46 +72,49 @@ def word_features(token: str, lang: str) -> list[int]:
     return [_hash(n) for n in names]
 
 
-def text_features(text: str, tokens: list[str], distinct: set[str]) -> list[int]:
+def token_shape(token: str) -> tuple[bool, bool]:
+    """Whether a token is upper-case throughout, and without letter or digit."""
+    return len(token) > 1 and token.isupper(), not (token.isalnum() or any(map(str.isalnum, token)))
+
+
+def text_features(text: str, tokens: list[str], distinct: int, upper: int, bare: int) -> list[int]:
     """Ratios of the whole text, as the thresholds they reach."""
     if not tokens:
         return [_hash("empty")]
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     n = len(tokens)
-    ratios = {"upper": sum(len(t) > 1 and t.isupper() for t in tokens) / n,
-              "symbol": _SYMBOL[raw].mean(),
-              "bare": sum(not any(map(str.isalnum, t)) for t in tokens) / n,
-              "same": sum(a == b for a, b in zip(tokens, tokens[1:])) / n}
+    ratios = {"upper": upper / n, "symbol": _SYMBOL[raw].mean(), "bare": bare / n,
+              "same": sum(map(eq, tokens, islice(tokens, 1, None))) / n}
     out = [f"{k}:{t}" for k, r in ratios.items() for t in _REACHED if r >= t]
-    out += [f"few:{t}:{int(math.log2(n) / 2)}" for t in _REACHED if len(distinct) < t * n]
+    out += [f"few:{t}:{int(math.log2(n) / 2)}" for t in _REACHED if distinct < t * n]
     return [_hash(x) for x in out]
 
 
 def _features(text: str | None, lang: str | None) -> np.ndarray:
     tokens = (text or "").split()
-    distinct = set(tokens)
-    found = set(text_features(text or "", tokens, distinct))
-    for t in distinct:
+    counts = Counter(tokens)
+    shapes = {t: token_shape(t) for t in counts}
+    found = set(text_features(text or "", tokens, len(counts), *(
+        sum(n for t, n in counts.items() if shapes[t][i]) for i in (0, 1))))
+    for t in counts:
         found.update(word_features(t, lang or ""))
     return np.fromiter(found, np.int64, len(found))
 
 
-def labelled_counts(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_col: str,
+def labelled_counts(scratch: Scratch, docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_col: str,
                     lang_col: str) -> tuple[DataFrame, dict[str, list[int]]]:
-    """(feature, counts per class) of sampled labelled documents, and each
-    head's [bad, good] number of documents. A document is of a class per head."""
-    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                        F.col(lang_col).alias("lang")).join(
-        labels.select(F.col("doc_id").alias("id"), (F.col("quality") == 0).cast("int").alias("low"),
-                      F.col("toxic").cast("int").alias("toxic")).na.drop(), "id")
-    # Samples by class of both heads together, sized after a count over the labels.
-    sizes = labels.groupBy((F.col("quality") == 0).cast("int").alias("low"), F.col("toxic").cast("int").alias("toxic")).count().collect()
+    """(feature, n, count per head) of sampled labelled documents, for
+    features that some head's bad class has more than four times, and each
+    head's [bad, good] number of documents."""
+    classes = labels.select(F.col("doc_id").alias("id"), (F.col("quality") == 0).cast("int").alias("low"),
+                            F.col("toxic").cast("int").alias("toxic")).na.drop().distinct()
     share = F.lit(0.0)
-    for r in sizes:  # at most a handful of classes
-        if r.low is not None and r.toxic is not None:
-            share = F.when((F.col("low") == r.low) & (F.col("toxic") == r.toxic), F.lit(min(1.0, sample / r["count"]))).otherwise(share)
+    for r in classes.groupBy("low", "toxic").count().collect():  # at most four classes
+        share = F.when((F.col("low") == r.low) & (F.col("toxic") == r.toxic), F.lit(sample / r["count"])).otherwise(share)
     unit = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    known = known.where(unit < share)
+    # About 4 * sample ids of 16 bytes: bounded by the parameter, so broadcast.
+    chosen = F.broadcast(classes.where(unit < share))
+    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).join(chosen, "id")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -113,16 +122,17 @@ def labelled_counts(docs: DataFrame, labels: DataFrame, sample: int, id_col: str
             for text, lang, low, toxic in zip(b["text"], b["lang"], b["low"], b["toxic"]):
                 tokens = (text or "").lower().split()
                 least = min((_hash(" ".join(tokens[i:i + 5])) for i in range(max(1, len(tokens) - 4))))
-                rows.append((least, low, toxic, _features(text, lang)))
+                rows.append((least, low, toxic, np.append(_features(text, lang), _EVERY)))
             yield pd.DataFrame(rows, columns=["least", "low", "toxic", "features"])
 
     one = (known.mapInPandas(extract, "least bigint, low int, toxic int, features array<bigint>")
-           .groupBy("least", "low", "toxic").agg(F.first("features").alias("features")))
-    n = one.groupBy("low", "toxic").count().collect()
-    total = {h: [sum(r["count"] for r in n if r[h] == v) for v in (1, 0)] for h in HEADS}
-    counts = one.select("low", "toxic", F.explode("features").alias("feature")).groupBy("feature").agg(
-        F.count("*").alias("n"), *[F.sum(h).alias(h) for h in HEADS])
-    return counts, total
+           .groupBy("least", "low", "toxic").agg(F.min_by("features", F.xxhash64("features")).alias("features")))
+    counts = scratch.write(
+        one.select("low", "toxic", F.explode("features").alias("feature")).groupBy("feature")
+        .agg(F.count("*").alias("n"), *[F.sum(h).alias(h) for h in HEADS])
+        .where((F.greatest(*HEADS) > 4) | (F.col("feature") == _EVERY)), "counts")
+    every = counts.where(F.col("feature") == _EVERY).first()
+    return counts, {h: [every[h], every.n - every[h]] if every else [0, 0] for h in HEADS}
 
 
 class Evidence:
@@ -130,7 +140,7 @@ class Evidence:
 
     def __init__(self, weights: dict[str, dict[int, float]], none: dict[str, float]):
         self.weights, self.none = weights, none
-        self._known: dict[tuple[str, str], tuple] = {}
+        self._known: dict[str, dict[str, tuple]] = {}
 
     def __getstate__(self):
         return {"weights": self.weights, "none": self.none, "_known": {}}
@@ -141,17 +151,25 @@ class Evidence:
 
     def __call__(self, text: str | None, lang: str | None) -> tuple[float, ...]:
         tokens = (text or "").split()
-        distinct = set(tokens)
-        best = self._best(text_features(text or "", tokens, distinct))
-        known = self._known
+        counts = Counter(tokens)
+        known = self._known.setdefault(lang or "", {})
         if len(known) > MEMO_WORDS:
             known.clear()
-        for t in distinct:
-            w = known.get((lang, t))
-            if w is None:
-                w = known[lang, t] = self._best(word_features(t, lang or ""))
-            if w[0] > best[0] or w[1] > best[1]:
-                best = tuple(map(max, best, w))
+        low = toxic = -math.inf
+        upper = bare = 0
+        for t, n in counts.items():
+            k = known.get(t)
+            if k is None:
+                k = known[t] = (*self._best(word_features(t, lang or "")), *token_shape(t))
+            if k[0] > low:
+                low = k[0]
+            if k[1] > toxic:
+                toxic = k[1]
+            if k[2]:
+                upper += n
+            if k[3]:
+                bare += n
+        best = map(max, (low, toxic), self._best(text_features(text or "", tokens, len(counts), upper, bare)))
         return tuple(b if b > -math.inf else self.none[h] for b, h in zip(best, HEADS))
 
 
@@ -159,8 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, max_features: in
         caution: float = 2.0, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> tuple[Evidence, dict[str, float]]:
     """The document classifier and each head's global rate among the labels."""
-    counts, total = labelled_counts(docs, labels, sample, id_col, text_col, lang_col)
-    counts = counts.persist()
+    scratch = Scratch(docs.sparkSession, "quality")
+    counts, total = labelled_counts(scratch, docs, labels, sample, id_col, text_col, lang_col)
     weights, none = {}, {}
     for h in HEADS:
         bad, good = total[h]
@@ -170,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, max_features: in
                 .orderBy(F.desc("r"), "feature").limit(max_features).collect()) if bad and good else []
         weights[h] = {r.feature: math.log(r.r) for r in kept}
         none[h] = -3.0 if kept else -math.inf
-    counts.unpersist()
+    scratch.drop(counts)
     rates = labels.agg(F.avg((F.col("quality") == 0).cast("int")).alias("low"), F.avg("toxic").alias("toxic")).first()
     return Evidence(weights, none), {h: min(max(rates[h] or 0.0, 1e-4), 0.5) for h in HEADS}
 
@@ -208,10 +226,10 @@ def _strength(rates: DataFrame, rate: str, above: str, n: str) -> float:
     return min(max(row.scale / row.n / between - 1, 1.0), 1e6) if between else 1e6
 
 
-def site_rates(scored: DataFrame, rates: dict[str, float]) -> DataFrame:
+def site_rates(scratch: Scratch, scored: DataFrame, rates: dict[str, float]) -> DataFrame:
     """(host, path, prior_low, prior_toxic) from scored (host, path, low, toxic)."""
-    paths = scored.groupBy("host", "path").agg(
-        F.count("*").alias("n"), *[F.sum(_posterior(F.col(h), F.lit(rates[h]))).alias(f"k_{h}") for h in HEADS]).persist()
+    paths = scratch.write(scored.groupBy("host", "path").agg(
+        F.count("*").alias("n"), *[F.sum(_posterior(F.col(h), F.lit(rates[h]))).alias(f"k_{h}") for h in HEADS]), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), *[F.sum(f"k_{h}").alias(f"host_k_{h}") for h in HEADS])
     whole = paths.agg(F.sum("n").alias("n"), *[F.sum(f"k_{h}").alias(h) for h in HEADS]).first()
     out = paths.join(hosts, "host")
@@ -223,7 +241,7 @@ def site_rates(scored: DataFrame, rates: dict[str, float]) -> DataFrame:
         out = out.withColumn("host_rate", host)
         m2 = _strength(out.select((F.col(f"k_{h}") / F.col("n")).alias("r"), F.col("host_rate").alias("m"), "n"), "r", "m", "n")
         out = out.withColumn(f"prior_{h}", (F.col(f"k_{h}") + m2 * F.col("host_rate")) / (F.col("n") + m2))
-    return out.select("host", "path", *[F.least(F.greatest(F.col(f"prior_{h}"), F.lit(1e-4)), F.lit(0.9)).alias(f"prior_{h}") for h in HEADS])
+    return scratch.write(out.select("host", "path", *[F.least(F.greatest(F.col(f"prior_{h}"), F.lit(1e-4)), F.lit(0.9)).alias(f"prior_{h}") for h in HEADS]), "sites")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample: int = 4000, max_features: int = 20_000,
@@ -235,7 +253,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample:
         F.struct("*").alias("row"), F.substring_index(source, "/", 1).alias("host"),
         F.concat(source, F.lit("\t"), F.coalesce(F.col(lang_col), F.lit(""))).alias("path"),
         evidence_column(model, text_col, lang_col).alias("e")).select("row", "host", "path", *[F.col(f"e.{h}").alias(h) for h in HEADS])
-    sites = site_rates(scored.select("host", "path", *HEADS), rates)
+    sites = site_rates(Scratch(docs.sparkSession, "sites"), scored.select("host", "path", *HEADS), rates)
     out = scored.join(sites, ["host", "path"], "left").select(
         "row", F.struct(*[_posterior(F.col(h), F.coalesce(F.col(f"prior_{h}"), F.lit(rates[h]))).alias(h) for h in HEADS]).alias("p"))
     out = out.select("row.*", F.col("p").alias("__p"))
