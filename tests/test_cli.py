@@ -105,15 +105,31 @@ def test_cli_clean_rows(spark, tmp_dir):
                 "1,Ann,Armenia,7,Chess\n"
                 "x2,Bob,Armenia,7,Golf\n"
                 "3,Cid\n"
-                "4,Dee,Chile,5,Judo\n")
+                "4,Dee,Chile,5,Judo\n"
+                "y5,\"Roe, Al\",Chile,3,Go,extra\n"
+                "6,\"Poe, Bo\",Chile,3,Go,extra\n")
     out = os.path.join(tmp_dir, "clean")
     cli.run(spark, cli._parser().parse_args(
         ["clean_rows", "--table", "people", "--input", src, "--out", out]))
     both = spark.read.option("header", True).csv(out)
     clean = both.where("status = 'clean'")
     rejected = both.where("status = 'rejected'")
-    assert sorted(r["person_id"] for r in clean.collect()) == ["1", "4"]
-    assert sorted(r["raw_line"] for r in rejected.collect()) == ["3,Cid", "x2,Bob,Armenia,7,Golf"]
+    assert sorted(r["person_id"] for r in clean.collect()) == ["1", "3", "4", "6"]
+    from tidepool.sources import readers as Rd
+    direct = Rd.clean_rows(Rd.read_people(spark, src), Rd.REQUIRED["people"])  # the same verdicts
+    assert sorted(str(r["person_id"]) for r in direct.collect()) == ["1", "3", "4", "6"]
+    rejected = Rd.classify_rows(spark, src, "people").where("status = 'rejected'")
+    assert sorted(r["raw_line"] for r in rejected.collect()) == ["x2,Bob,Armenia,7,Golf", 'y5,"Roe, Al",Chile,3,Go,extra']
+
+
+def test_cli_friend_count_report_from_adjacency(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "adjacency.txt")
+    with open(src, "w") as f:
+        f.write("1,2,3\n2,1\n3\nx,1,2\n4,1,2,3\n")
+    out = os.path.join(tmp_dir, "report")
+    cli.run(spark, cli._parser().parse_args(["friend_count_report", "--adjacency", src, "--out", out]))
+    got = sorted((r["label"], r["value"]) for r in spark.read.option("header", True).csv(out).collect())
+    assert got == [("Average Friendships", "2"), ("USER_1", "2"), ("USER_2", "1"), ("USER_4", "3")]
 
 
 def test_cli_centroid_shift(spark, tmp_dir):

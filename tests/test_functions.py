@@ -24,13 +24,11 @@ def test_text_checks(spark):
     assert got["ok fine"] == (True, False, True)
 
 
-def test_defaults_prefix_ratio_truncation(spark):
+def test_defaults_prefix_ratio(spark):
     assert one(spark, X.default(F.lit(None).cast("string"), "Unknown")) == "Unknown"
     assert one(spark, X.prefixed("USER_", F.lit(42))) == "USER_42"
     assert one(spark, X.safe_ratio(F.lit(3), F.lit(2))) == 1.5
     assert one(spark, X.safe_ratio(F.lit(3), F.lit(0))) is None
-    assert one(spark, X.truncate_to_long(F.lit(2.9))) == 2
-    assert one(spark, X.truncate_to_long(F.lit(-2.9))) == -2
 
 
 def test_time_helpers(spark):
@@ -46,8 +44,8 @@ def test_distance_and_nearest(spark):
     cs = [(2, 10.0, 0.0), (0, 0.0, 0.0), (1, 10.0, 0.0)]
     df = spark.createDataFrame([(5, 0), (9, 0), (1, 0)], "x BIGINT, y BIGINT")
     got = [(r["x"], r["id"], r["cx"]) for r in df.select(
-        "x", X.nearest_centre_id("x", "y", cs).alias("id")).select(
-        "x", "id", X.centre_coordinate("id", cs, "x").alias("cx")).orderBy("x").collect()]
+        "x", X.nearest_centre("x", "y", cs).alias("c")).select("x", "c.id", F.col("c.x").alias("cx"))
+        .orderBy("x").collect()]
     # x=5 ties between id 0 (0,0) and ids 1/2 (10,0): lowest id wins
     assert got == [(1, 0, 0.0), (5, 0, 0.0), (9, 1, 10.0)]
 

@@ -42,12 +42,18 @@ def _tables(spark, base):
     loaders["no_disclosure"] = lambda: loaders["attendees"]().drop("test")
     loaders["reports"] = lambda: loaders["attendees"]().where(F.col("test") == "sick") \
         .select("id", "test")
+    loaders["access_log_text"] = lambda: loaders["access_log"]().select(F.col("what_page").cast("string").alias("what_page"))
+    loaders["access_log_unowned"] = lambda: loaders["access_log"]().withColumn(
+        "what_page", F.when(F.col("what_page") % 5 == 0, -F.col("what_page") - 1).otherwise(F.col("what_page")))
     loaders["seeds"] = lambda: V.seeds(spark, P.SEEDS)
     return lambda name: loaders[name]()
 
 
 def _views(base):
     views = {n: f"{n} AS (SELECT * FROM read_parquet('{base}/{n}/*.parquet'))" for n in NAMES}
+    views["access_log_text"] = "access_log_text AS (SELECT CAST(what_page AS VARCHAR) AS what_page " \
+        f"FROM read_parquet('{base}/access_log/*.parquet'))"
+    views["access_log_unowned"] = oracle.VIEWS["access_log_unowned"]
     views["reports"] = "reports AS (SELECT id, test FROM attendees WHERE test = 'sick')"
     return views
 

@@ -157,7 +157,7 @@ def test_seed_files_in_both_layouts(spark, tmp_dir):
     assert rows(readers.read_seeds(spark, tabbed)) == [(3, 1.5, 2.5), (7, 4.0, 5.0)]
 
 
-def test_many_centres_use_array_form(spark):
+def test_many_centres(spark):
     pts = fixture_points(200)
     df = spark.createDataFrame(pts, PTS)
     seeds = [(i, float(i % 9) * 7, float(i // 9) * 7) for i in range(81)]
@@ -172,8 +172,47 @@ def test_step_plan_is_partial_aggregate_without_python(spark):
     assert "Python" not in plan and "Join" not in plan
 
 
-def test_centre_set_size_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(M, "MAX_CENTRES", 3)
+def test_bad_centres_raise(spark):
     df = spark.createDataFrame([(1, 1)], PTS)
-    with pytest.raises(ValueError):
-        M.kmeans_step(df, seeds_df(spark, [(i, float(i), 0.0) for i in range(5)]))
+    for bad in ([(0, 0.0, 0.0), (0, 1.0, 1.0)], [(None, 0.0, 0.0)], [(0, None, 0.0)], [(0, float("nan"), 0.0)]):
+        with pytest.raises(ValueError):
+            M.kmeans_step(df, seeds_df(spark, bad))
+
+
+def test_nan_and_null_points_take_no_part(spark):
+    pts = [(1.0, 1.0), (float("nan"), 2.0), (3.0, float("nan")), (None, 1.0), (3.0, 3.0)]
+    df = spark.createDataFrame(pts, "x DOUBLE, y DOUBLE")
+    seeds = seeds_df(spark, [(0, 0.0, 0.0)])
+    assert rows(M.kmeans_step(df, seeds)) == [(0, 2.0, 2.0, 2)]
+    assert rows(M.kmeans_iterate(df, seeds, 2)) == [(0, 2.0, 2.0)]
+    assert M.kmeans_assignments(df, seeds).count() == 2
+
+
+def test_every_seed_line_counts(spark, tmp_dir):
+    import os
+    for name, last in (("old", "1,1"), ("new", "9,9")):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write("0,0\n" * 100_004 + last + "\n")
+    old = readers.read_seeds(spark, os.path.join(tmp_dir, "old"))
+    new = readers.read_seeds(spark, os.path.join(tmp_dir, "new"))
+    assert old.count() == 100_005 and old.agg({"id": "max"}).first()[0] == 100_004
+    assert M.centroid_shift(old, new, 0.5).where("converged").count() == 0
+
+
+def test_seed_folder_in_order_of_file_names(spark, tmp_dir):
+    import os
+    for name, line in (("part-0", "1,1"), ("part-1", "2,2\n3,3\n4,4"), ("part-2", "5,5")):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(line + "\n")
+    assert rows(readers.read_seeds(spark, tmp_dir)) == [(i, i + 1.0, i + 1.0) for i in range(5)]
+
+
+def test_collapse_gives_the_same_result_and_steps_read_the_cache(spark):
+    df = spark.createDataFrame(fixture_points(), PTS)
+    plain = M.run_kmeans(df, seeds_df(spark), 20)
+    assert M.run_kmeans(df, seeds_df(spark), 20, collapse=True) == plain and plain.converged
+    for collapse in (False, True):
+        wp = M.prepare_points(df, collapse)
+        plan = M.step_frame(wp, SEEDS)._jdf.queryExecution().executedPlan().toString()
+        wp.unpersist()
+        assert "InMemoryTableScan" in plan and "Coalesce" not in plan

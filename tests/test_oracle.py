@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tidepool.plans import catalog
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -41,7 +42,8 @@ def _digest(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) <= set(E.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
@@ -50,7 +52,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
@@ -59,3 +61,13 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in cur.description]
     assert len(got) == len(want)
     assert _digest(df.columns, got) == _digest(ocols, want)
+
+
+def test_the_harder_branches_are_reached(spark):
+    q = catalog.queries()
+    outer = q["top_pages_details_outer"](spark, SF_SMALL).collect()
+    assert {r["name"] == "Unknown" for r in outer} == {True, False}
+    from tidepool.sources import tables as V
+    assert V.reports(spark, SF_SMALL).select("test").distinct().count() == 2
+    assert q["healthy_at_risk"](spark, SF_SMALL).count() != q["healthy_at_sick_table"](spark, SF_SMALL).count()
+    assert all(r["converged"] for r in q["kmeans_early_stop"](spark, SF_SMALL).collect())

@@ -3,8 +3,8 @@ used, and nothing relies on cross joins."""
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from tidepool.plans import catalog
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF", "MapPartitions")
@@ -17,7 +17,7 @@ def plan_of(df):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan_of(fn(spark, SF_SMALL)) for name, fn in E.queries().items()}
+    return {name: plan_of(fn(spark, SF_SMALL)) for name, fn in catalog.queries().items()}
 
 
 def test_no_python_and_no_cross_join(plans):
@@ -61,3 +61,11 @@ def test_set_difference_is_one_cogroup_shuffle(plans):
     plan = plans["friends_never_accessed"]
     assert "LeftAnti" not in plan and "Union" in plan
     assert plan.count("Exchange hashpartitioning(_k0") == 1
+
+
+@pytest.mark.parametrize("name", ["disconnected_users", "matching_people", "isolated_inactive_people"])
+def test_the_log_is_read_once(spark, name):
+    df = catalog.queries()[name](spark, SF_SMALL)
+    df.collect()  # adaptive execution shows reuse in the plan that ran
+    plan = plan_of(df).split("Initial Plan")[0]
+    assert plan.count("events.parquet") == 1 or "ReusedExchange" in plan, plan

@@ -10,7 +10,6 @@ Layout:
   operators/  reusable relational building blocks (top-k, anti/semi joins,
               zero-filled counts, bounded broadcast)
   plans/      the data jobs (social, health, kmeans, synth) and the registry
-  streaming/  incremental variants of jobs whose state is a keyed aggregate
 """
 
 from tidepool.session import build_session, ensure_checkpoint_dir

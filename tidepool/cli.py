@@ -1,6 +1,6 @@
 """Run any job over delimited text files and write its result.
 
-    python -m tidepool.cli JOB --out DIR [inputs] [options]
+    python -m tidepool.cli JOB --out DIR --master 'local[*]' [inputs] [options]
     spark-submit tidepool/cli.py JOB --out DIR [inputs] [options]
 
 Inputs are CSV files or folders with a header line (``--no-header`` for
@@ -12,13 +12,13 @@ the folder must not exist unless ``--overwrite`` is given. k-means jobs take ``-
 ``kmeans_centers_report`` job writes the text report with its
 ``Convergence:`` trailer. ``clean_rows --table T --input F`` writes every
 row of a text file once, split into ``--out/status=clean`` and
-``--out/status=rejected`` (with the raw line).
+``--out/status=rejected`` (with the raw line). ``friend_count_report`` also
+takes ``--adjacency`` lines.
 """
 
 from __future__ import annotations
 
 import argparse
-import os
 
 from pyspark.sql import functions as F
 
@@ -87,6 +87,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--table", choices=tuple(Rd.REQUIRED),
                    help="clean_rows: which layout the --input file has")
     p.add_argument("--input", help="clean_rows: the text file or folder to check")
+    p.add_argument("--adjacency", help="friend_count_report: lines user,f1,f2,... instead of --friends")
+    p.add_argument("--collapse", action="store_true",
+                   help="k-means: combine equal points before the loop")
     p.add_argument("--master", default=None)
     return p
 
@@ -122,6 +125,10 @@ def run(spark, a) -> None:
         else:
             w.option("header", True).csv(a.out)
         return
+    if a.job == "friend_count_report" and a.adjacency:
+        counts = D.friend_counts_from_adjacency(Rd.read_lines(spark, a.adjacency))
+        _write(D.friend_count_report(counts=counts), a, mode)
+        return
     if a.job in SOCIAL_INPUTS or a.job in HEALTH_INPUTS:
         names = SOCIAL_INPUTS.get(a.job) or HEALTH_INPUTS[a.job]
         t = {n: _load(spark, a, n) for n in names}
@@ -143,7 +150,7 @@ def run(spark, a) -> None:
     elif a.job == "kmeans_early_stop":
         out = M.kmeans_early_stop(points, seeds, a.steps, a.tol, a.empty)
     elif a.job == "kmeans_partial_agg":
-        out = M.kmeans_partial_agg(points, seeds, a.steps, a.tol, a.empty)
+        out = M.kmeans_partial_agg(points, seeds, a.steps, a.tol, a.empty, a.collapse)
     elif a.job == "kmeans_history":
         out = M.kmeans_history(points, seeds, a.steps, a.tol, a.empty)
     elif a.job == "kmeans_assignments":
@@ -188,10 +195,8 @@ def _social_or_health(a, t):
 def main(argv=None) -> None:
     a = _parser().parse_args(argv)
     from tidepool.session import build_session
-    master = a.master
-    if master is None and not os.environ.get("SPARK_ENV_LOADED"):
-        master = "local[*]"  # plain `python -m`; spark-submit supplies its own master
-    spark = build_session(master, app_name=f"tidepool-{a.job}")
+    # Without --master the deployment decides (spark-submit, Spark's own defaults).
+    spark = build_session(a.master, app_name=f"tidepool-{a.job}")
     try:
         run(spark, a)
     finally:

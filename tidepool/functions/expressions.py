@@ -59,11 +59,6 @@ def safe_ratio(num, den) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-def truncate_to_long(c) -> Column:
-    """Double -> integer by truncation toward zero."""
-    return F.when(_c(c) >= 0, F.floor(_c(c))).otherwise(F.ceil(_c(c))).cast("bigint")
-
-
 def days_before(ts, days: int) -> Column:
     """Timestamp minus N whole days (works on TIMESTAMP_NTZ)."""
     return _c(ts) - F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(int(days)))
@@ -103,56 +98,29 @@ def euclidean(x, y, a, b) -> Column:
     return F.sqrt(squared_gap(x, a) + squared_gap(y, b))
 
 
-# Above this many centres the literal form would generate very large code;
-# switch to the array form (still JVM-side, interpreted per row).
-_LITERAL_CENTRE_LIMIT = 64
-
-
 def _num(v: float) -> str:
     """Exact SQL text for a double (shortest round-trip repr, parsed as DOUBLE)."""
     return f"CAST('{float(v)!r}' AS DOUBLE)"
 
 
-def _dist_sql(x: str, y: str, cx: str, cy: str) -> str:
-    return f"sqrt(({x} - {cx}) * ({x} - {cx}) + ({y} - {cy}) * ({y} - {cy}))"
-
+def nearest_centre(x: str, y: str, centres: Sequence[tuple[int, float, float]]) -> Column:
+    """The nearest centre as a struct (dist, id, x, y), lowest id on ties.
 
-def nearest_centre_id(x: str, y: str, centres: Sequence[tuple[int, float, float]]) -> Column:
-    """Id of the nearest centre, lowest id on ties.
-
-    ``centres`` is the (small, driver-known) centroid list. For up to 64
-    centres the expression is ``CASE WHEN d0 = least(d0, ..) THEN id0 WHEN d1
-    = .. END`` over literal centres: plain double arithmetic that whole-stage
-    codegen compiles (each distance is computed once thanks to common
-    subexpression elimination), and the first match in ascending id order is
-    the "first index wins with strict <" rule. Above that an array of centres
-    with ``transform`` / ``array_min`` over (dist, id) structs keeps the code
-    size flat. Emitted as one SQL text: one parse instead of many client
-    round trips per k-means step. Raises on an empty list.
+    ``centres`` is the (driver-known) centroid list, one constant array of the
+    plan; ``array_min`` over (dist, id, ..) structs takes the least distance
+    and then the least id, in one form for any number of centres. Emitted as
+    one SQL text: one parse instead of many client round trips per k-means
+    step. Raises on an empty list.
     """
     if not centres:
-        raise ValueError("nearest_centre_id needs at least one centre")
-    ordered = sorted(centres, key=lambda t: t[0])
-    xs, ys = f"`{x}`", f"`{y}`"
-    if len(ordered) == 1:
-        return F.lit(int(ordered[0][0]))
-    if len(ordered) <= _LITERAL_CENTRE_LIMIT:
-        dists = [_dist_sql(xs, ys, _num(cx), _num(cy)) for _, cx, cy in ordered]
-        low = f"least({', '.join(dists)})"
-        whens = " ".join(f"WHEN {d} = {low} THEN {int(c[0])}" for d, c in zip(dists, ordered))
-        return F.expr(f"CASE {whens} END")
+        raise ValueError("nearest_centre needs at least one centre")
     arr = ", ".join(f"named_struct('id', {int(cid)}, 'x', {_num(cx)}, 'y', {_num(cy)})"
-                    for cid, cx, cy in ordered)
-    cand = f"named_struct('dist', {_dist_sql(xs, ys, 'c.x', 'c.y')}, 'id', c.id)"
-    return F.expr(f"array_min(transform(array({arr}), c -> {cand})).id")
-
-
-def centre_coordinate(cid, centres: Sequence[tuple[int, float, float]], axis: str) -> Column:
-    """x or y of the centre with id ``cid`` (k literal branches)."""
-    pos = 1 if axis == "x" else 2
-    expr = None
-    for c in sorted(centres, key=lambda t: t[0]):
-        branch = F.when(_c(cid) == F.lit(int(c[0])), F.lit(float(c[pos])))
-        expr = branch if expr is None else expr.when(_c(cid) == F.lit(int(c[0])),
-                                                     F.lit(float(c[pos])))
-    return expr
+                    for cid, cx, cy in sorted(centres, key=lambda t: t[0]))
+    gap = f"(`{x}` - c.x) * (`{x}` - c.x) + (`{y}` - c.y) * (`{y}` - c.y)"
+    return F.expr(f"array_min(transform(array({arr}), "
+                  f"c -> named_struct('dist', sqrt({gap}), 'id', c.id, 'x', c.x, 'y', c.y)))")
+
+
+def nearest_centre_id(x: str, y: str, centres: Sequence[tuple[int, float, float]]) -> Column:
+    """Id of the nearest centre, lowest id on ties."""
+    return nearest_centre(x, y, centres)["id"]

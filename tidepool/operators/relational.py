@@ -10,11 +10,10 @@ is in choosing the shape Catalyst plans well at scale:
   de-duplicated key set, and a set difference of two key sets is a
   co-group (tag, union, one partially aggregated ``groupBy``) -- never a
   per-key collection of values;
-* a broadcast hint is only placed on a side whose row count is bounded by
-  construction (the k rows of a top-k). Everything else
-  is left to AQE, which measures the materialised shuffle at run time,
-  converts to a broadcast join only below its threshold, and otherwise splits
-  skewed partitions of a sort-merge join.
+* no broadcast is forced: a top-k's limit gives the planner its size, and
+  everything else is left to AQE, which measures the materialised shuffle at
+  run time, converts to a broadcast join only below its threshold, and
+  otherwise splits skewed partitions of a sort-merge join.
 """
 
 from __future__ import annotations
@@ -26,19 +25,6 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import expressions as X
 
-# Largest row count we accept as a broadcast build side on a known bound.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_bounded(df: DataFrame, row_bound: int | None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is provably at most
-    ``BROADCAST_MAX_ROWS`` (``row_bound`` is the caller's proof, e.g. the k
-    of a top-k). Otherwise return it unchanged for AQE to decide."""
-    if row_bound is not None and row_bound <= BROADCAST_MAX_ROWS:
-        return F.broadcast(df)
-    return df
-
-
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
     """The k first rows under a total order (planned as
     TakeOrderedAndProject: a bounded heap per partition, then one merge of
@@ -46,13 +32,10 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(int(k))
 
 
-def count_by(df: DataFrame, keys: Sequence[str] | str, name: str = "n",
-             non_null: str | None = None) -> DataFrame:
-    """A1: rows per key (``non_null`` counts only rows where that column is
-    not NULL, the Pig ``COUNT`` rule)."""
+def count_by(df: DataFrame, keys: Sequence[str] | str, name: str = "n") -> DataFrame:
+    """A1: rows per key."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    counted = F.count(F.col(non_null)) if non_null else F.count(F.lit(1))
-    return df.groupBy(*keys).agg(counted.alias(name))
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
 def zero_filled_count(universe: DataFrame, universe_key: str,
@@ -110,16 +93,14 @@ def _key_set(ids: DataFrame, ids_key: str) -> DataFrame:
     return ids.select(F.col(ids_key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
 
 
-def keep_matching(df: DataFrame, key: str, ids: DataFrame, ids_key: str,
-                  row_bound: int | None = None) -> DataFrame:
+def keep_matching(df: DataFrame, key: str, ids: DataFrame, ids_key: str) -> DataFrame:
     """Rows of ``df`` whose key appears in ``ids`` (semi join; a
     row is kept once however many matches it has)."""
     k = _key_set(ids, ids_key)
-    return df.join(broadcast_bounded(k, row_bound), df[key] == F.col("_k"), "left_semi")
+    return df.join(k, df[key] == F.col("_k"), "left_semi")
 
 
-def drop_matching(df: DataFrame, key: str, ids: DataFrame, ids_key: str,
-                  row_bound: int | None = None) -> DataFrame:
+def drop_matching(df: DataFrame, key: str, ids: DataFrame, ids_key: str) -> DataFrame:
     """Rows of ``df`` whose key does not appear in ``ids``."""
     k = _key_set(ids, ids_key)
-    return df.join(broadcast_bounded(k, row_bound), df[key] == F.col("_k"), "left_anti")
+    return df.join(k, df[key] == F.col("_k"), "left_anti")

@@ -2,7 +2,8 @@
 
 Each job is written once against a table accessor ``t(name)`` that returns
 a fresh DataFrame for one of the logical tables (people, friends,
-access_log, attendees, no_disclosure, reports, points, seeds).
+access_log, access_log_text, access_log_unowned, attendees, no_disclosure,
+reports, points, seeds).
 ``queries()`` binds the accessor to the views of the driver's parquet tables
 (``tidepool.sources.tables``), so every registered query reads and runs
 over the whole driver tables; ``bind`` binds it to any other tables with the
@@ -19,6 +20,7 @@ from tidepool.plans import health as H
 from tidepool.plans import kmeans as M
 from tidepool.plans import params as P
 from tidepool.plans import social as D
+from tidepool.sources import readers as Rd
 from tidepool.sources import tables as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +43,9 @@ SOCIAL: dict[str, Job] = {
     "top_pages": lambda t: D.top_pages(t("access_log"), P.TOP_K),
     "top_pages_details": lambda t: D.top_pages_details(t("access_log"), t("people"), P.TOP_K),
     "top_pages_details_outer": lambda t: D.top_pages_details_outer(
-        t("access_log"), t("people"), P.TOP_K),
+        t("access_log_unowned"), t("people"), P.TOP_K),
+    "top_pages_text": lambda t: D.top_pages_text(t("access_log_text"), P.TOP_K),
+    "access_log_rejects": lambda t: Rd.reject_count(t("access_log"), Rd.REQUIRED["access_log"]),
     "people_per_country_code": lambda t: D.people_per_country_code(t("people")),
     "people_per_nationality": lambda t: D.people_per_nationality(t("people")),
     "connectedness": lambda t: D.connectedness(t("people"), t("friends")),
@@ -92,6 +96,8 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
         "people": lambda: V.people(spark, sf_dir),
         "friends": lambda: V.friends(spark, sf_dir),
         "access_log": lambda: V.access_log(spark, sf_dir),
+        "access_log_text": lambda: V.access_log_text(spark, sf_dir),
+        "access_log_unowned": lambda: V.access_log_unowned(spark, sf_dir),
         "attendees": lambda: V.attendees(spark, sf_dir),
         "no_disclosure": lambda: V.attendees_no_disclosure(spark, sf_dir),
         "reports": lambda: V.reports(spark, sf_dir),

@@ -1,23 +1,22 @@
 """Two-dimensional k-means (M1-M7).
 
-Shape of every step: each point picks its nearest centre with a generated
-``least(struct(dist, id), ...)`` expression over the k current centres
-(literals, so the assignment is a codegen'd projection -- no join, no
-shuffle of points); a ``groupBy(id)`` with sum/count gives the new means.
-Partial aggregation leaves at most k rows per map task, so the shuffle per
-step is k x tasks rows however skewed the clusters are. Only the k new
-centres travel to the driver between steps.
-
-Points are prepared once: optionally collapsed to distinct (x, y) with a
-multiplicity ``w`` (integer coordinates repeat heavily, so this shrinks the
-data the loop re-reads) and persisted; the collapsed table is also
-checkpointed into the shared checkpoint folder (``spark.checkpoint.dir``)
-so a lost executor re-reads it instead of re-running the collapsing
-shuffle. Raw points are not copied there: their lineage is just the scan.
+Shape of every step: each point picks its nearest centre with one
+``array_min`` over the k current centres, a constant of the plan (a
+projection -- no join, no shuffle of points); a ``groupBy(id)`` with sum/count
+gives the new means. Partial aggregation leaves at most k rows per map task,
+so the shuffle per step is k x tasks rows however skewed the clusters are.
+Only the k new centres travel to the driver between steps.
+
+Points are prepared once and persisted, in the partitions of their scan: a
+lost block is recomputed from the source files. ``collapse=True`` first groups
+equal points into one with a weight ``w``, which pays where coordinates repeat
+heavily; its shuffle is cut off by a checkpoint in the shared folder
+(``spark.checkpoint.dir``), which is what is then persisted and read.
 
 Rules (fixed by the reference's intent):
 * centre ids are the seed positions and stay stable across steps;
 * ties go to the lowest id;
+* points with a NULL or NaN coordinate take no part;
 * a centre that attracts no point disappears (``empty='drop'``) or keeps
   its position (``empty='keep'``);
 * converged when the id set is unchanged and every centre moved <= tol;
@@ -31,7 +30,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidepool.functions import expressions as X
 from tidepool.session import ensure_checkpoint_dir
@@ -41,98 +39,44 @@ DEFAULT_TOL = 0.001
 Centres = list  # list[tuple[int, float, float]]
 
 
-# Largest centre set brought to the driver (k is a cluster count, not data).
-MAX_CENTRES = 100_000
-
-
 def centres_of(df: DataFrame) -> Centres:
-    """Collect a centre DataFrame (id, x, y): k rows. At most
-    ``MAX_CENTRES + 1`` rows are ever fetched, so a wrong input cannot flood
-    the driver. Raises when there is no centre or too many."""
-    rows = (df.select(F.col("id").cast("int"), F.col("x").cast("double"),
-                      F.col("y").cast("double")).limit(MAX_CENTRES + 1).collect())
-    if len(rows) > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} centres: not a k-means seed set")
-    out = sorted((int(r[0]), float(r[1]), float(r[2])) for r in rows)
-    if not out:
+    """Collect a centre DataFrame (id, x, y): k rows. Raises when there is no
+    centre, an id or coordinate is missing, or an id occurs twice."""
+    rows = df.select(F.col("id").cast("int"), F.col("x").cast("double"), F.col("y").cast("double")).collect()
+    seen = set()
+    for r in rows:
+        if any(v is None or v != v for v in r):
+            raise ValueError(f"centre with a missing id or coordinate: {tuple(r)}")
+        if r[0] in seen:
+            raise ValueError(f"centre id {r[0]} occurs twice")
+        seen.add(r[0])
+    if not rows:
         raise ValueError("k-means needs at least one seed")
-    return out
+    return sorted((int(r[0]), float(r[1]), float(r[2])) for r in rows)
 
 
-def centres_frame(spark: SparkSession, centres, with_n: bool = False) -> DataFrame:
-    if with_n:
-        return spark.createDataFrame([(c[0], c[1], c[2], c[3]) for c in centres],
-                                     "id INT, x DOUBLE, y DOUBLE, n BIGINT")
+def centres_frame(spark: SparkSession, centres) -> DataFrame:
     return spark.createDataFrame([(c[0], c[1], c[2]) for c in centres],
                                  "id INT, x DOUBLE, y DOUBLE")
 
 
-def prepare_points(points: DataFrame, collapse: bool | None = None,
-                   checkpoint: bool | None = None) -> tuple[DataFrame, DataFrame]:
-    """Points (x, y) -> (x, y, w) ready for repeated steps.
-
-    Returns ``(frame, cached)``: the frame to read in the loop and the
-    persisted frame to ``unpersist`` when done (None when nothing was
-    cached: raw points whose estimated size exceeds
-    ``RAW_PERSIST_LIMIT_BYTES`` are re-read from the source each step).
-
-    ``collapse`` groups duplicate points into a weight (one shuffle, after
-    which the loop reads far fewer rows when coordinates repeat). By default
-    (None) it is used for integer coordinates, whose distinct count is
-    bounded by the value domain, and not for real-valued ones, where it would
-    shuffle (and checkpoint) the whole input for little reduction. The
-    collapsed table is persisted and, by default, checkpointed to the shared
-    checkpoint folder: its lineage contains a shuffle, and the checkpoint
-    lets a lost executor's slice be re-read instead of re-running that
-    shuffle. Uncollapsed points are only persisted: their lineage is a scan
-    and a projection, so a lost block is recomputed from the source file,
-    and copying the whole input into the checkpoint folder would double the
-    I/O for nothing.
-    """
-    pts = points.select("x", "y").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    if collapse is None:
-        collapse = _integral_coordinates(points)
+def usable_points(points: DataFrame) -> DataFrame:
+    """(x, y) of the points with two numbers for coordinates."""
+    number = F.lit(True)
+    for c in ("x", "y"):
+        number = number & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return points.select("x", "y").where(number)
+
+
+def prepare_points(points: DataFrame, collapse: bool = False) -> DataFrame:
+    """Points (x, y) -> persisted (x, y, w); the caller unpersists."""
+    pts = usable_points(points)
     if collapse:
-        pts = pts.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
+        ensure_checkpoint_dir(points.sparkSession)
+        pts = pts.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")).checkpoint(eager=True)
     else:
         pts = pts.withColumn("w", F.lit(1).cast("bigint"))
-    if checkpoint is None:
-        checkpoint = collapse
-    if not collapse and _estimated_bytes(pts) > RAW_PERSIST_LIMIT_BYTES:
-        # Too large to be worth caching: each step re-reads the two pruned
-        # columns from the source files instead.
-        return pts, None
-    cached = pts.persist()
-    frame = cached
-    if checkpoint:
-        ensure_checkpoint_dir(points.sparkSession)
-        frame = cached.checkpoint(eager=True)
-    rows = frame.count()  # materialises the cache before the loop
-    # Every step re-reads this table: size its slices by rows so a small
-    # table is not spread over many near-empty tasks (a narrow coalesce; it
-    # never adds partitions, so a large table keeps its parallelism).
-    return frame.coalesce(max(1, -(-rows // ROWS_PER_TASK))), cached
-
-
-# Rows of (x, y, w) per task in the k-means loop (about 48 MB of longs).
-ROWS_PER_TASK = 2_000_000
-
-
-def _integral_coordinates(points: DataFrame) -> bool:
-    types = {f.name: f.dataType for f in points.schema.fields}
-    return all(isinstance(types.get(c), T.IntegralType) for c in ("x", "y"))
-
-
-# Raw (uncollapsed) points above this estimated size are not cached.
-RAW_PERSIST_LIMIT_BYTES = 256 * 1024 ** 3
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate of a plan (no job is run)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: assume small
-        return 0
+    return pts.persist()
 
 
 def _step_sums(wpoints: DataFrame, centres: Centres) -> DataFrame:
@@ -197,12 +141,12 @@ class KMeansResult:
 
 def run_kmeans(points: DataFrame, seeds: DataFrame, max_steps: int,
                tol: float | None = DEFAULT_TOL, empty: str = "drop",
-               collapse: bool | None = None, checkpoint: bool | None = None) -> KMeansResult:
+               collapse: bool = False) -> KMeansResult:
     """Driver loop shared by M2-M5. ``tol=None`` runs exactly ``max_steps``."""
     if empty not in ("drop", "keep"):
         raise ValueError("empty must be 'drop' or 'keep'")
     cur = centres_of(seeds)
-    wp, cached = prepare_points(points, collapse=collapse, checkpoint=checkpoint)
+    wp = prepare_points(points, collapse)
     history, converged, steps = [], False, 0
     try:
         for i in range(int(max_steps)):
@@ -217,8 +161,7 @@ def run_kmeans(points: DataFrame, seeds: DataFrame, max_steps: int,
             if not cur:
                 break
     finally:
-        if cached is not None:
-            cached.unpersist()
+        wp.unpersist()
     return KMeansResult(cur, steps, converged, history)
 
 
@@ -228,7 +171,7 @@ def kmeans_step(points: DataFrame, seeds: DataFrame) -> DataFrame:
     """M1: one step from the seeds: new centres (id, x, y, n); a seed that
     attracts no point is absent. Fully lazy (the seeds are k rows); a single
     pass, so points are not collapsed first (that would add a shuffle)."""
-    pts = points.select("x", "y").where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    pts = usable_points(points)
     return step_frame(pts.withColumn("w", F.lit(1).cast("bigint")), centres_of(seeds))
 
 
@@ -248,18 +191,18 @@ def _result_frame(spark: SparkSession, res: KMeansResult) -> DataFrame:
 def kmeans_early_stop(points: DataFrame, seeds: DataFrame, max_steps: int,
                       tol: float = DEFAULT_TOL, empty: str = "drop") -> DataFrame:
     """M3: up to ``max_steps`` steps, stopping once every centre moved <= tol.
-    Output (id, x, y, iterations, converged). Points are used one row each
-    (no collapsing)."""
-    res = run_kmeans(points, seeds, max_steps, tol=tol, empty=empty, collapse=False)
+    Output (id, x, y, iterations, converged)."""
+    res = run_kmeans(points, seeds, max_steps, tol=tol, empty=empty)
     return _result_frame(points.sparkSession, res)
 
 
 def kmeans_partial_agg(points: DataFrame, seeds: DataFrame, max_steps: int,
-                       tol: float = DEFAULT_TOL, empty: str = "drop") -> DataFrame:
-    """M4: M3 with duplicate points pre-combined into weights before the
-    loop, on top of Spark's map-side partial sums in every step. Same result
-    as M3."""
-    res = run_kmeans(points, seeds, max_steps, tol=tol, empty=empty, collapse=True)
+                       tol: float = DEFAULT_TOL, empty: str = "drop",
+                       collapse: bool = False) -> DataFrame:
+    """M4: M3 with map-side combined sums, which is how Spark runs every step
+    here; with ``collapse`` equal points are combined before the loop too.
+    Same result as M3."""
+    res = run_kmeans(points, seeds, max_steps, tol=tol, empty=empty, collapse=collapse)
     return _result_frame(points.sparkSession, res)
 
 
@@ -281,13 +224,10 @@ def kmeans_history(points: DataFrame, seeds: DataFrame, max_steps: int,
 
 def kmeans_assignments(points: DataFrame, centres: DataFrame) -> DataFrame:
     """M6: every point (duplicates kept) with its nearest centre: x, y, id,
-    cx, cy. Map-only: the centres are k literals in the projection."""
-    cs = centres_of(centres)
-    assigned = (points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-                .select("x", "y", X.nearest_centre_id("x", "y", cs).alias("id")))
-    return assigned.select("x", "y", "id",
-                           X.centre_coordinate("id", cs, "x").alias("cx"),
-                           X.centre_coordinate("id", cs, "y").alias("cy"))
+    cx, cy. Map-only: the centres are a constant of the projection."""
+    near = X.nearest_centre("x", "y", centres_of(centres))
+    return (usable_points(points).select("x", "y", near.alias("_c"))
+            .select("x", "y", F.col("_c.id").alias("id"), F.col("_c.x").alias("cx"), F.col("_c.y").alias("cy")))
 
 
 def centroid_shift(old: DataFrame, new: DataFrame, tol: float = DEFAULT_TOL) -> DataFrame:

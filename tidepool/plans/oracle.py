@@ -3,8 +3,7 @@
 The driver registers the parquet tables as views (customer, nation, orders,
 lineitem, events, ...). Each statement starts with the same CTEs as the
 Spark views in ``tidepool.sources.tables`` and then states the job's
-semantics independently, in plain SQL. k-means is written as unrolled
-steps, one CTE per step, so it stays a brute-force statement of the rules.
+semantics independently, in plain SQL; the k-means loop is a recursive CTE.
 """
 
 from __future__ import annotations
@@ -18,11 +17,10 @@ VIEWS = {
          c.c_mktsegment AS hobby
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)""",
     "friends": """friends AS (
-  SELECT CAST(l.l_orderkey AS BIGINT) AS friend_rel, CAST(o.o_custkey AS BIGINT) AS person_id,
+  SELECT CAST(l.l_orderkey AS BIGINT) AS friend_rel, CAST(o.o_custkey - o.o_custkey % 2 AS BIGINT) AS person_id,
          CAST(l.l_suppkey AS BIGINT) AS my_friend, CAST(o.o_orderdate AS DATE) AS date_of_friendship,
          o.o_orderpriority AS descr
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE o.o_orderpriority = '1-URGENT')""",
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)""",
     "access_log": """access_log AS (
   SELECT CAST(event_id AS BIGINT) AS access_id, CAST(user_id AS BIGINT) AS by_who,
          TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS what_page,
@@ -33,7 +31,14 @@ VIEWS = {
          CAST(user_id AS BIGINT) AS "table",
          CASE WHEN event_type = 'error' AND value > 200 THEN 'sick' ELSE 'not-sick' END AS test
   FROM events)""",
-    "reports": """reports AS (SELECT id, test FROM attendees WHERE test = 'sick')""",
+    "access_log_text": """access_log_text AS (
+  SELECT json_extract_string(props, '$.k') AS what_page FROM events)""",
+    "access_log_unowned": """access_log_unowned AS (
+  SELECT * REPLACE (CASE WHEN what_page % 5 = 0 THEN -what_page - 1 ELSE what_page END AS what_page)
+  FROM access_log)""",
+    "reports": """reports AS (
+  SELECT CAST(event_id AS BIGINT) AS id, CASE WHEN value > 200 THEN 'sick' ELSE 'recovered' END AS test
+  FROM events WHERE event_type = 'error')""",
     "points": """points AS (
   SELECT CAST(floor(l_quantity) AS BIGINT) AS x,
          CAST(floor(l_extendedprice / 1000) AS BIGINT) AS y
@@ -43,11 +48,11 @@ VIEWS = {
 
 def with_views(views: dict[str, str], names: list[str], *ctes: str, body: str) -> str:
     parts = [views[n] for n in names] + list(ctes)
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + body
 
 
 TOP = """top AS (
-  SELECT what_page AS page_id, count(*) AS access_count FROM access_log
+  SELECT what_page AS page_id, count(*) AS access_count FROM {log}
   WHERE what_page IS NOT NULL GROUP BY what_page
   ORDER BY access_count DESC, page_id ASC LIMIT {k})"""
 
@@ -71,18 +76,25 @@ DISCONNECTED = """disc AS (
 
 def social_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
     k = P.TOP_K
-    top = TOP.format(k=k)
+    top = TOP.format(k=k, log="access_log")
+    top_unowned = TOP.format(k=k, log="access_log_unowned")
     q = {}
     q["people_by_nationality"] = with_views(views, ["people"], body=(
         f"SELECT name, hobby FROM people WHERE nationality = '{P.NATIONALITY}'"))
     q["top_pages"] = with_views(views, ["access_log"], top, body="SELECT page_id, access_count FROM top")
     q["top_pages_details"] = with_views(views, ["people", "access_log"], top, body=(
         "SELECT t.page_id, p.name, p.nationality FROM top t JOIN people p ON p.person_id = t.page_id"))
-    q["top_pages_details_outer"] = with_views(views, ["people", "access_log"], top, body=(
+    q["top_pages_details_outer"] = with_views(views, ["people", "access_log", "access_log_unowned"], top_unowned, body=(
         "SELECT t.page_id, coalesce(struct_extract(q.o, 'name'), 'Unknown') AS name, "
         "coalesce(struct_extract(q.o, 'nationality'), 'Unknown') AS nationality "
         "FROM top t LEFT JOIN (SELECT person_id, min({'name': name, 'nationality': nationality}) AS o "
         "FROM people GROUP BY person_id) q ON q.person_id = t.page_id"))
+    q["top_pages_text"] = with_views(views, ["access_log_text"], body=(
+        "SELECT what_page, count(*) AS access_count FROM access_log_text "
+        "WHERE what_page <> '' AND regexp_full_match(what_page, '[\\x20-\\x7E]*') "
+        f"GROUP BY what_page ORDER BY access_count DESC, what_page ASC LIMIT {k}"))
+    q["access_log_rejects"] = with_views(views, ["access_log"], body=(
+        "SELECT count(*) AS rejected FROM access_log WHERE by_who IS NULL OR what_page IS NULL"))
     q["people_per_country_code"] = with_views(views, ["people"], body=(
         "SELECT country_code, count(*) AS n FROM people "
         "WHERE country_code BETWEEN 1 AND 50 GROUP BY country_code"))
@@ -163,51 +175,37 @@ def _dist(px: str, py: str, cx: str, cy: str) -> str:
 
 
 def _kmeans_ctes(seeds, steps: int, tol: float | None) -> list[str]:
+    """The loop as a recursive CTE: allc holds every step's centres, with
+    conv telling whether that step ended the run; fin the final centres."""
     vals = ", ".join(f"({i}, CAST({x!r} AS DOUBLE), CAST({y!r} AS DOUBLE))"
                      for i, (x, y) in enumerate(seeds))
-    ctes = [
+    moved = _dist("o.x", "o.y", "n.x", "n.y")
+    near = f"bool_and({moved} <= {tol!r}) OVER () AND count(*) OVER () = o.k" if tol is not None else "false"
+    return [
         "pts AS (SELECT x, y, count(*) AS w FROM points "
         "WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY x, y)",
         f"c0 AS (SELECT CAST(id AS INTEGER) AS id, x, y FROM (VALUES {vals}) AS t(id, x, y))",
+        "allc AS (SELECT 0 AS i, id, x, y, CAST(NULL AS BIGINT) AS n, false AS conv FROM c0 "
+        "UNION ALL "
+        f"SELECT o.i + 1, n.id, n.x, n.y, n.n, {near} FROM ("
+        "SELECT id, CAST(sum(x * w) AS DOUBLE) / CAST(sum(w) AS DOUBLE) AS x, "
+        "CAST(sum(y * w) AS DOUBLE) / CAST(sum(w) AS DOUBLE) AS y, CAST(sum(w) AS BIGINT) AS n FROM ("
+        "SELECT p.x, p.y, p.w, c.id, row_number() OVER ("
+        f"PARTITION BY p.x, p.y ORDER BY {_dist('p.x', 'p.y', 'c.x', 'c.y')}, c.id) AS rn "
+        "FROM pts p CROSS JOIN allc c) a WHERE rn = 1 GROUP BY id) n "
+        "JOIN (SELECT *, count(*) OVER () AS k FROM allc) o ON o.id = n.id "
+        f"WHERE NOT o.conv AND o.i < {steps})",
+        "stop AS (SELECT max(i) AS j, bool_or(conv) AS converged FROM allc)",
+        "fin AS (SELECT a.id, a.x, a.y, CAST(s.j AS INTEGER) AS iterations, s.converged "
+        "FROM allc a CROSS JOIN stop s WHERE a.i = s.j - CAST(s.converged AS INTEGER))",
     ]
-    for i in range(1, steps + 1):
-        ctes.append(
-            f"a{i} AS (SELECT p.x, p.y, p.w, c.id, row_number() OVER ("
-            f"PARTITION BY p.x, p.y ORDER BY {_dist('p.x', 'p.y', 'c.x', 'c.y')}, c.id) AS rn "
-            f"FROM pts p CROSS JOIN c{i - 1} c)")
-        ctes.append(
-            f"c{i} AS (SELECT id, CAST(sum(x * w) AS DOUBLE) / CAST(sum(w) AS DOUBLE) AS x, "
-            f"CAST(sum(y * w) AS DOUBLE) / CAST(sum(w) AS DOUBLE) AS y, "
-            f"CAST(sum(w) AS BIGINT) AS n FROM a{i} WHERE rn = 1 GROUP BY id)")
-        if tol is not None:
-            ctes.append(
-                f"v{i} AS (SELECT {i} AS i, "
-                f"(SELECT count(*) FROM c{i - 1}) = (SELECT count(*) FROM c{i}) "
-                f"AND (SELECT count(*) FROM c{i - 1} o JOIN c{i} n ON o.id = n.id) = "
-                f"(SELECT count(*) FROM c{i}) "
-                f"AND coalesce((SELECT bool_and({_dist('o.x', 'o.y', 'n.x', 'n.y')} <= {tol!r}) "
-                f"FROM c{i - 1} o JOIN c{i} n ON o.id = n.id), false) AS conv)")
-    allc = " UNION ALL ".join(
-        f"SELECT {i} AS i, id, x, y, " + ("CAST(NULL AS BIGINT) AS n" if i == 0 else "n")
-        + f" FROM c{i}" for i in range(0, steps + 1))
-    ctes.append(f"allc AS ({allc})")
-    if tol is not None:
-        flags = " UNION ALL ".join(f"SELECT i, conv FROM v{i}" for i in range(1, steps + 1))
-        ctes.append(f"stop AS (SELECT min(i) AS j FROM ({flags}) f WHERE conv)")
-    else:
-        ctes.append("stop AS (SELECT CAST(NULL AS INTEGER) AS j)")
-    ctes.append(
-        f"fin AS (SELECT a.id, a.x, a.y, CAST(coalesce(s.j, {steps}) AS INTEGER) AS iterations, "
-        f"s.j IS NOT NULL AS converged FROM allc a CROSS JOIN stop s "
-        f"WHERE a.i = CASE WHEN s.j IS NULL THEN {steps} ELSE s.j - 1 END)")
-    return ctes
 
 
 def kmeans_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
     seeds = P.SEEDS
     q = {}
     q["kmeans_step"] = with_views(views, ["points"], *_kmeans_ctes(seeds, 1, None),
-                                  body="SELECT id, x, y, n FROM c1")
+                                  body="SELECT id, x, y, n FROM allc WHERE i = 1")
     q["kmeans_iterate"] = with_views(views, ["points"], *_kmeans_ctes(seeds, P.KMEANS_STEPS, None),
                                      body="SELECT id, x, y FROM fin")
     early = _kmeans_ctes(seeds, P.KMEANS_MAX_STEPS, P.KMEANS_TOL)
@@ -217,8 +215,7 @@ def kmeans_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
     q["kmeans_centers_report"] = with_views(views, ["points"], *early,
                                             body="SELECT id, x, y, converged FROM fin")
     q["kmeans_history"] = with_views(views, ["points"], *early, body=(
-        "SELECT CAST(a.i - 1 AS INTEGER) AS iteration, a.id, a.x, a.y, a.n "
-        f"FROM allc a CROSS JOIN stop s WHERE a.i >= 1 AND a.i <= coalesce(s.j, {P.KMEANS_MAX_STEPS})"))
+        "SELECT CAST(i - 1 AS INTEGER) AS iteration, id, x, y, n FROM allc WHERE i >= 1"))
     q["kmeans_assignments"] = with_views(views, ["points"], *early, (
         "asg AS (SELECT x, y, id, cx, cy FROM (SELECT p.x, p.y, c.id, c.x AS cx, c.y AS cy, "
         f"row_number() OVER (PARTITION BY p.x, p.y ORDER BY {_dist('p.x', 'p.y', 'c.x', 'c.y')}, c.id) "
@@ -227,7 +224,7 @@ def kmeans_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
     step1 = _kmeans_ctes(seeds, 1, None)
     q["centroid_shift"] = with_views(views, ["points"], *step1, (
         "sh AS (SELECT CAST(coalesce(o.id, n.id) AS INTEGER) AS id, "
-        f"{_dist('o.x', 'o.y', 'n.x', 'n.y')} AS shift FROM c0 o FULL OUTER JOIN c1 n ON o.id = n.id)"),
+        f"{_dist('o.x', 'o.y', 'n.x', 'n.y')} AS shift FROM c0 o FULL OUTER JOIN (SELECT * FROM allc WHERE i = 1) n ON o.id = n.id)"),
         body=(f"SELECT id, shift, (SELECT coalesce(bool_and(coalesce(shift <= {P.KMEANS_TOL!r}, false)), "
               "false) FROM sh) AS converged FROM sh"))
     return q

@@ -10,5 +10,5 @@ TOP_K = 10
 INACTIVE_DAYS = 1
 SEEDS = DRIVER_SEEDS
 KMEANS_STEPS = 5
-KMEANS_MAX_STEPS = 6
+KMEANS_MAX_STEPS = 500  # a bound for the loop; the driver's tables converge in 6 to 74 steps
 KMEANS_TOL = 0.001

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import expressions as X
 from tidepool.operators import relational as R
+from tidepool.sources import readers as Rd
 
 # Fixed output texts.
 UNKNOWN = "Unknown"
@@ -44,10 +45,10 @@ def top_pages(access_log: DataFrame, k: int = 10) -> DataFrame:
 def top_pages_details(access_log: DataFrame, people: DataFrame, k: int = 10) -> DataFrame:
     """Top pages joined (inner) with their owner's name and nationality.
 
-    The top-k side has at most k rows, so it is the broadcast build side and
-    people is streamed through once without a shuffle.
+    The top-k side has at most k rows, which the planner knows from the limit,
+    so it is the broadcast build side and people is streamed through once.
     """
-    top = R.broadcast_bounded(top_pages(access_log, k), k)
+    top = top_pages(access_log, k)
     return (people.join(top, people.person_id == top.page_id, "inner")
             .select("page_id", "name", "nationality"))
 
@@ -56,25 +57,29 @@ def top_pages_details_outer(access_log: DataFrame, people: DataFrame, k: int = 1
     """Every top page, once, with owner details; 'Unknown' when the page
     has no people row.
 
-    people is first reduced by a semi join against the k top ids (broadcast,
-    bounded by k) and grouped to one row per id (so at most k rows), which
-    is then broadcast into the outer join.
+    people is first reduced by a semi join against the k top ids and grouped
+    to one row per id (so at most k rows), which then meets the k top rows.
     """
     top = top_pages(access_log, k)
-    matched = R.keep_matching(people, "person_id", top, "page_id", row_bound=k)
+    matched = R.keep_matching(people, "person_id", top, "page_id")
     # One line per page even if an id occurs twice in people: keep the
     # smallest (name, nationality) pair, deterministically.
     owners = matched.groupBy("person_id").agg(
         F.min(F.struct("name", "nationality")).alias("_o"))
-    # One row per matched top id: at most k rows, so it is the broadcast
-    # build side of the outer join (no sort-merge join, no shuffle of top).
-    owners = R.broadcast_bounded(owners, k)
     joined = top.join(owners, top.page_id == owners.person_id, "left")
     return joined.select("page_id",
                          X.default(F.col("_o.name"), UNKNOWN).alias("name"),
                          X.default(F.col("_o.nationality"), UNKNOWN).alias("nationality"))
 
 
+def top_pages_text(access_log: DataFrame, k: int = 10) -> DataFrame:
+    """``top_pages`` over pages as text (column ``what_page``): only non-empty
+    printable-ASCII pages count; ties go to the first in text order."""
+    valid = access_log.where(X.non_empty("what_page") & X.printable_ascii("what_page"))
+    return R.top_k(R.count_by(valid, "what_page", "access_count"), k,
+                   [F.col("access_count").desc(), F.col("what_page").asc()])
+
+
 # --- D5 / D6 -------------------------------------------------------------------
 def people_per_country_code(people: DataFrame, low: int = 1, high: int = 50) -> DataFrame:
     """Citizens per country code, codes restricted to [low, high]."""
@@ -134,9 +139,19 @@ def people_ignoring_a_friend(friends: DataFrame, access_log: DataFrame,
 
 
 # --- D13 / D14 / D15 -----------------------------------------------------------
-def _threshold(access_log: DataFrame, as_of, days: int) -> Column:
+def _last_access(access_log: DataFrame) -> DataFrame:
+    """Latest access per user, and how many of the group's rows name a user
+    (0 for the group without one, which is kept for the overall maximum)."""
+    return access_log.groupBy("by_who").agg(F.max("access_time").alias("_last"),
+                                            F.count("by_who").alias("_named"))
+
+
+def _threshold(last: DataFrame, as_of, days: int) -> Column:
+    """``as_of - days``; the default anchor is the maximum over ``last``, with
+    the columns its other use needs, so that both share one exchange and the
+    log is read once."""
     if as_of is None:
-        anchor = access_log.select(F.max("access_time")).scalar()
+        anchor = last.select(F.max(F.when(F.col("_named") >= 0, F.col("_last")))).scalar()
     elif isinstance(as_of, Column):
         anchor = as_of
     else:
@@ -150,10 +165,10 @@ def disconnected_users(access_log: DataFrame, days: int = 14, as_of=None) -> Dat
     """Users (with at least one log row) whose latest access is older than
     ``as_of - days``. ``as_of`` defaults to the latest access in the log (never
     the wall clock); a user whose times are all missing counts as inactive."""
-    last = (access_log.where(F.col("by_who").isNotNull())
-            .groupBy("by_who").agg(F.max("access_time").alias("_last")))
-    thr = _threshold(access_log, as_of, days)
-    return last.where(F.col("_last").isNull() | (F.col("_last") < thr)).select("by_who")
+    last = _last_access(access_log)
+    thr = _threshold(last, as_of, days)
+    return (last.where((F.col("_named") > 0) & (F.col("_last").isNull() | (F.col("_last") < thr)))
+            .select("by_who"))
 
 
 def matching_people(people: DataFrame, ids: DataFrame, ids_key: str = "by_who") -> DataFrame:
@@ -165,8 +180,8 @@ def isolated_inactive_people(people: DataFrame, friends: DataFrame, access_log:
                              days: int = 14, as_of=None) -> DataFrame:
     """People with no outgoing friendship and no access after
     ``as_of - days`` (``as_of`` defaults to the latest access time)."""
-    thr = _threshold(access_log, as_of, days)
-    recent = access_log.where(F.col("access_time") > thr)
+    last = _last_access(access_log)
+    recent = last.where((F.col("_named") > 0) & (F.col("_last") > _threshold(last, as_of, days)))
     alone = R.drop_matching(people.where(F.col("person_id").isNotNull()),
                             "person_id", friends, "person_id")
     return R.drop_matching(alone, "person_id", recent, "by_who").select("person_id", "name")
@@ -180,11 +195,11 @@ def friend_counts(friends: DataFrame) -> DataFrame:
 
 def friend_counts_from_adjacency(lines: DataFrame) -> DataFrame:
     """Out-degree from adjacency-list lines ``user,f1,f2,...`` (column
-    ``value``): the number of fields after the first."""
-    fields = F.split(F.col("value"), ",")
-    return (lines.where(F.size(fields) > 1)
-            .select(F.trim(F.get(fields, 0)).try_cast("bigint").alias("person_id"),
-                    (F.size(fields) - 1).cast("bigint").alias("num_friends")))
+    ``value``): the number of fields after the first, which must be digits."""
+    first = F.trim(F.get("fields", F.lit(0)))
+    return (Rd.split_fields(lines).where((F.size("fields") > 1) & X.digits_only(first))
+            .select(first.try_cast("bigint").alias("person_id"),
+                    (F.size("fields") - 1).cast("bigint").alias("num_friends")))
 
 
 def friend_count_report(friends: DataFrame = None, counts: DataFrame = None) -> DataFrame:

@@ -26,8 +26,7 @@ CORRUPT = "_corrupt_record"
 def _typed(col: Column, dtype: T.DataType) -> Column:
     trimmed = F.trim(col)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        ts = F.try_to_timestamp(trimmed, F.lit(S.TIMESTAMP_FORMAT))
-        return ts.cast(dtype)
+        return X.parse_timestamp(trimmed, S.TIMESTAMP_FORMAT).cast(dtype)
     if isinstance(dtype, T.DateType):
         return F.to_date(F.try_to_timestamp(trimmed, F.lit(S.DATE_FORMAT)))
     if isinstance(dtype, T.StringType):
@@ -149,27 +148,27 @@ TEXT_SCHEMAS = {
 def classify_rows(spark: SparkSession, path: str, table: str, header: bool = True,
                   sep: str = ",") -> DataFrame:
     """S9 as a job: every line of ``table``'s text layout, typed, with
-    ``status`` = 'clean' or 'rejected' and, for rejected rows, ``raw_line``
-    (the parser's record for malformed lines, else the fields joined).
+    ``status`` = 'clean' or 'rejected' and, for rejected rows, ``raw_line``.
 
-    One scan classifies every row; write it once with
-    ``partitionBy("status")`` so both outputs come from the same pass (two
-    separate queries could classify differently, because the CSV parser only
-    checks the columns a query reads).
+    The rule is that of ``clean_rows``: the key columns must type; a short
+    line is padded with NULL and extra fields are ignored. Lines come from a
+    text scan, so ``raw_line`` is the line as it stands in the file. With
+    ``header``, lines equal to the first one are header lines.
     """
     schema = TEXT_SCHEMAS[table]
-    raw = (spark.read.schema(S.as_text(schema).add(T.StructField(CORRUPT, T.StringType())))
-           .option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    typed = raw.select(
-        *[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields],
-        F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *[F.coalesce(F.col(f.name), F.lit(""))
-                                                      for f in schema.fields])).alias("_raw"),
-        F.col(CORRUPT).isNotNull().alias("_malformed"))
-    ok = required_present(REQUIRED[table]) & ~F.col("_malformed")
+    lines = spark.read.text(path)
+    if header:
+        first = lines.first()
+        lines = lines.where(F.col("value") != F.lit(first[0])) if first else lines
+    ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
+    fields = lines.where(F.trim("value") != "").select(
+        "value", F.from_csv("value", F.lit(ddl), {"sep": sep, "mode": "PERMISSIVE"}).alias("f"))
+    typed = fields.select("value", *[_typed(F.col(f"f.{f.name}"), f.dataType).alias(f.name)
+                                     for f in schema.fields])
+    ok = required_present(REQUIRED[table])
     return typed.select(
         *[f.name for f in schema.fields],
-        F.when(ok, F.lit(None).cast("string")).otherwise(F.col("_raw")).alias("raw_line"),
+        F.when(~ok, F.col("value")).alias("raw_line"),
         F.when(ok, F.lit("clean")).otherwise(F.lit("rejected")).alias("status"))
 
 
@@ -205,15 +204,13 @@ def read_points(spark: SparkSession, path: str, header: bool = False) -> DataFra
     return clean_rows(read_text_table(spark, path, S.POINTS, header=header), ["x", "y"])
 
 
-MAX_SEED_LINES = 100_000
-
-
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     """Seeds in either layout: ``x,y`` or ``id<TAB>x,y`` (the centroid state).
 
     Ids are the seed's position in the file for ``x,y`` lines and the given
-    id for the tabbed layout. Seed files hold k lines (k is the cluster
-    count), so a single-partition window for the position is bounded.
+    id for the tabbed layout; files of a folder count in order of their
+    names. A seed file has one line per cluster, and all its lines are
+    numbered in one window.
     """
     from pyspark.sql import Window
     lines = spark.read.text(path).where(F.trim("value") != "")
@@ -222,13 +219,11 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     body = F.when(tabbed, F.substring_index("value", "\t", -1)).otherwise(F.col("value"))
     parts = F.split(F.trim(body), ",")
     with_pos = lines.select(
-        F.monotonically_increasing_id().alias("_pos"),
+        F.struct("_metadata.file_path", "_metadata.file_block_start",
+                 F.monotonically_increasing_id()).alias("_pos"),
         F.trim(key).try_cast("int").alias("_id"),
         F.trim(F.get(parts, 0)).try_cast("double").alias("x"),
         F.trim(F.get(parts, 1)).try_cast("double").alias("y"),
     ).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    # A seed file has k lines; cap what the single-partition numbering can
-    # see (the k-means jobs refuse more than MAX_SEED_LINES centres anyway).
-    with_pos = with_pos.orderBy("_pos").limit(MAX_SEED_LINES + 1)
     pos = (F.row_number().over(Window.orderBy("_pos")) - 1).cast("int")
     return with_pos.select(F.coalesce(F.col("_id"), pos).alias("id"), "x", "y")

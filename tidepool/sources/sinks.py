@@ -66,15 +66,17 @@ def report_lines(centers: DataFrame) -> DataFrame:
 
 
 def write_multi(df: DataFrame, outputs: dict[str, DataFrame], mode: str = "overwrite",
-                header: bool = True) -> None:
+                header: bool = True, persist: bool = False) -> None:
     """K7: several outputs derived from one dataset.
 
-    The source is persisted once so each derived write re-reads the cached
-    blocks instead of recomputing the whole lineage.
+    Each write reads the source anew, which for a scan is cheaper than
+    caching it; ``persist`` keeps ``df`` for sources that are dear to repeat.
     """
-    df.persist()
+    if persist:
+        df.persist()
     try:
         for path, derived in outputs.items():
             write_csv(derived, path, header=header, mode=mode)
     finally:
-        df.unpersist()
+        if persist:
+            df.unpersist()

@@ -5,53 +5,37 @@ columns a job does not use and pushes its filters into the scan.
 
   people      customer x nation: person_id=c_custkey, name=c_name,
               nationality=n_name, country_code=c_nationkey, hobby=c_mktsegment
-  friends     lineitem x orders (o_orderpriority = '1-URGENT'):
-              friend_rel=l_orderkey, person_id=o_custkey, my_friend=l_suppkey,
+  friends     lineitem x orders: friend_rel=l_orderkey,
+              person_id=o_custkey - o_custkey % 2, my_friend=l_suppkey,
               date_of_friendship=date(o_orderdate), descr=o_orderpriority
+              (even ids own all friendships, so odd ones have none, and id 0
+              has no people row)
   access_log  events: access_id=event_id, by_who=user_id,
-              what_page=props.k, type_of_access=event_type, access_time=ts
+              what_page=props.k, type_of_access=event_type, access_time=ts;
+              as text (access_log_text), or with every fifth page id negated
+              (access_log_unowned: pages without a people row)
   attendees   events: id=event_id, name='P'||event_id, table=user_id,
               test='sick' if event_type='error' and value>200 else 'not-sick'
-  reports     attendees where test='sick': id, test
+  reports     error events: id, test='sick' above 200, else 'recovered'
   points      lineitem: x=floor(l_quantity), y=floor(l_extendedprice/1000)
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions import expressions as X
 
 # Fixed values of the adapter definitions.
-URGENT_PRIORITY = "1-URGENT"
-SICK, NOT_SICK = "sick", "not-sick"
+SICK, NOT_SICK, RECOVERED = "sick", "not-sick", "recovered"
 SICK_EVENT_TYPE = "error"
 SICK_VALUE_ABOVE = 200.0
 
 
-_SCHEMAS: dict[tuple, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table. Its schema is read from the parquet footer once per
-    file version and then passed explicitly, so later reads skip footer
-    inference (each read still builds a fresh relation, so a view may be
-    used twice in one plan without ambiguous self-joins)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        st = os.stat(path)
-        key = (path, st.st_mtime_ns, st.st_size)
-    except OSError:  # not a local path: let Spark infer every time
-        return spark.read.parquet(path)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,11 +54,10 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
 def friends(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     o = (table(spark, sf_dir, "orders")
-         .where(F.col("o_orderpriority") == URGENT_PRIORITY)
          .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"))
     return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
             .select(F.col("l_orderkey").cast("bigint").alias("friend_rel"),
-                    F.col("o_custkey").cast("bigint").alias("person_id"),
+                    (F.col("o_custkey") - F.col("o_custkey") % 2).cast("bigint").alias("person_id"),
                     F.col("l_suppkey").cast("bigint").alias("my_friend"),
                     F.to_date("o_orderdate").alias("date_of_friendship"),
                     F.col("o_orderpriority").alias("descr")))
@@ -90,6 +73,17 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("access_time"))
 
 
+def access_log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.get_json_object("props", "$.k").alias("what_page"))
+
+
+def access_log_unowned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page = F.col("what_page")
+    return access_log(spark, sf_dir).withColumn(
+        "what_page", F.when(page % 5 == 0, -page - 1).otherwise(page))
+
+
 def attendees(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     sick = (F.col("event_type") == SICK_EVENT_TYPE) & (F.col("value") > SICK_VALUE_ABOVE)
@@ -105,7 +99,10 @@ def attendees_no_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attendees(spark, sf_dir).where(F.col("test") == SICK).select("id", "test")
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") == SICK_EVENT_TYPE)
+    return ev.select(F.col("event_id").cast("bigint").alias("id"),
+                     F.when(F.col("value") > SICK_VALUE_ABOVE, F.lit(SICK))
+                     .otherwise(F.lit(RECOVERED)).alias("test"))
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
