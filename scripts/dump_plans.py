@@ -1,4 +1,4 @@
-"""Write the physical plan of every registered query to PLANS.md.
+"""Write the physical plan of every registered analytics job to PLANS.md.
 
 Usage: python scripts/dump_plans.py [sf_dir] [out_file]
 
@@ -19,14 +19,14 @@ sys.path.insert(0, ROOT)
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(ROOT, "PLANS.md")
-    import __spark_entry__ as E
+    from tidepool.plans import catalog
     from tidepool.session import build_session
     spark = build_session("local[8]", shuffle_partitions=8)
     parts = ["# Physical plans of the registered queries\n",
              f"Generated by `scripts/dump_plans.py` over `{sf_dir}` (initial AQE plans; "
              "sizes below the broadcast threshold become broadcast joins here and would "
              "stay sort-merge joins, with skew splitting, on large inputs).\n"]
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         lines = []
         for line in plan.rstrip().split("\n"):
