@@ -21,7 +21,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    judged = quality_classifier.classify(docs, table(spark, sf_dir, "labels"))
+    judged = quality_classifier.classify(docs, table(spark, sf_dir, "labels"), columns=COLUMNS)
     return judged.where("kept").select(*COLUMNS)
 
 

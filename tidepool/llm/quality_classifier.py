@@ -245,15 +245,20 @@ def site_rates(scratch: Scratch, scored: DataFrame, rates: dict[str, float]) ->
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample: int = 4000, max_features: int = 20_000,
-             id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The rows of docs with p_low, p_toxic and kept."""
+             columns: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+             source_col: str = "source") -> DataFrame:
+    """The given columns of docs (all, if not named) with p_low, p_toxic and kept."""
     model, rates = fit(docs, labels, sample, max_features, id_col=id_col, text_col=text_col, lang_col=lang_col)
+    scratch = Scratch(docs.sparkSession, "scores")
     source = F.coalesce(F.col(source_col), F.lit(""))
-    scored = docs.select(
-        F.struct("*").alias("row"), F.substring_index(source, "/", 1).alias("host"),
+    # Both the sites' rates and the decisions need the evidence: it is kept with
+    # the columns to return, so that each text is scored once.
+    scored = scratch.write(docs.select(
+        F.struct(*(columns or ["*"])).alias("row"), F.substring_index(source, "/", 1).alias("host"),
         F.concat(source, F.lit("\t"), F.coalesce(F.col(lang_col), F.lit(""))).alias("path"),
-        evidence_column(model, text_col, lang_col).alias("e")).select("row", "host", "path", *[F.col(f"e.{h}").alias(h) for h in HEADS])
-    sites = site_rates(Scratch(docs.sparkSession, "sites"), scored.select("host", "path", *HEADS), rates)
+        evidence_column(model, text_col, lang_col).alias("e"))
+        .select("row", "host", "path", *[F.col(f"e.{h}").alias(h) for h in HEADS]), "scored")
+    sites = site_rates(scratch, scored.select("host", "path", *HEADS), rates)
     out = scored.join(sites, ["host", "path"], "left").select(
         "row", F.struct(*[_posterior(F.col(h), F.coalesce(F.col(f"prior_{h}"), F.lit(rates[h]))).alias(h) for h in HEADS]).alias("p"))
     out = out.select("row.*", F.col("p").alias("__p"))

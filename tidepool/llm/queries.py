@@ -53,7 +53,8 @@ def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality_classifier_.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    out = quality_classifier_.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                       columns=["doc_id"])
     return out.select("doc_id", "p_low", "p_toxic", "kept")
 
 
