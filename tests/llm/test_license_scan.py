@@ -50,7 +50,7 @@ def test_query_equals_its_sql(spark, duck):
     got = sorted((r.doc_id, r.licenses, r.containment) for r in queries.op5_license_scans(spark, SF).collect())
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     assert got == sorted(duck(queries.ORACLES["op5_license_scans"], documents=docs).fetchall())
-    assert sum(bool(r[1]) for r in got) > 10
+    assert sum(r[1] != "" for r in got) > 10
 
 
 def test_no_python_in_the_plan(spark):

@@ -49,7 +49,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = license_scan_.scan(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "licenses", "containment")
+    return out.select("doc_id", F.concat_ws(",", "licenses").alias("licenses"), "containment")
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +109,7 @@ v(name, text) AS (
 t AS (SELECT name, list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS sh
       FROM (SELECT name, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM v)),
 c AS (SELECT doc_id, name, max(len(list_intersect(s.sh, t.sh)) / len(t.sh)) AS c FROM s, t GROUP BY doc_id, name)
-SELECT doc_id, coalesce(list_sort(list(name) FILTER (WHERE c >= 0.8)), []::VARCHAR[]) AS licenses,
+SELECT doc_id, coalesce(string_agg(name, ',' ORDER BY name) FILTER (WHERE c >= 0.8), '') AS licenses,
        CASE WHEN max(c) >= 0.8 THEN max(c) END AS containment
 FROM c GROUP BY doc_id
 """,
