@@ -67,7 +67,7 @@ def train(labelled: DataFrame, bits: int = 16, max_urls: int = 4000, steps: int
     for r in known.groupBy("verdict").count().collect():  # two classes
         share = F.when(F.col("verdict") == r.verdict, F.lit(max_urls / r["count"])).otherwise(share)
     unit = F.pmod(F.xxhash64("host", "path"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = known.where(unit < share).distinct().collect()
+    rows = sorted(known.where(unit < share).distinct().collect())
     w = np.zeros((1 << bits) + 1)
     y = np.array([r.verdict == BLOCK for r in rows], float)
     if not len(y) or y.min() == y.max():
