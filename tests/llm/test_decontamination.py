@@ -6,11 +6,12 @@ from tidepool.llm import decontamination as D
 from tidepool.llm import queries
 
 SF = "/root/testdata/sf0.01"
+HASHES = D.Hashes()
 
 
 def brute(doc, item, overlap=20, agree=0.8, min_words=5):
     """Every alignment of the item with the document, without seeds."""
-    w, x = D.words(doc), D.words(item)
+    w, x = D.words(doc, HASHES), D.words(item, HASHES)
     if len(x) < min_words:
         return False
     pad = np.zeros(len(x), np.uint64)
@@ -72,10 +73,10 @@ def test_query_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     bench = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
     assert len(got) == len(docs)
-    item_words = {b.item_id: D.words(b.text) for b in bench}
+    item_words = {b.item_id: D.words(b.text, HASHES) for b in bench}
     checked = 0
     for d in docs:
-        w = D.words(d.text)
+        w = D.words(d.text, HASHES)
         near = [b for b in bench if len(set(item_words[b.item_id].tolist()) & set(w.tolist())) >= 0.8 * min(
             20, len(set(item_words[b.item_id].tolist())))] if len(w) < 1500 else [b for b in bench if b.item_id in got[d.doc_id]]
         if len(w) < 1500:

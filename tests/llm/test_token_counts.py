@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from tidepool.llm import bpe, packing, queries, token_counts
+from tidepool.llm.bpe import Memo as memo
 
 PATH = P.path("byte_bpe_50k.json")
 SF = "/root/testdata/sf0.001"
@@ -31,18 +32,18 @@ def odd_texts(n, seed=1):
 def test_counts_and_ids_equal_the_library(library):
     texts = odd_texts(1500)
     ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
-    assert token_counts.count_array(pa.array(texts), PATH).tolist() == [len(i) for i in ids]
-    got = dict(packing.encoder(PATH).documents(pa.array(texts), 0))
+    assert token_counts.count_array(pa.array(texts), memo(bpe.RankMerger(PATH).count_pieces)).tolist() == [len(i) for i in ids]
+    model = packing.encoder(PATH)
+    got = dict(model.documents(pa.array(texts), 0, memo(model.encode)))
     assert all(got[n].tolist() == [*i, 0] for n, i in enumerate(ids))
 
 
 def test_small_slices_and_memo_change_nothing(library, monkeypatch):
     texts = odd_texts(150, seed=2)
     want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
-    monkeypatch.setattr(token_counts, "_memo", lambda path, m=bpe.Memo(bpe.RankMerger(PATH).count_pieces, limit=50): m)
     slices = bpe.slices
     monkeypatch.setattr(bpe, "slices", lambda t: slices(t, 200))
-    assert token_counts.count_array(pa.array(texts), PATH).tolist() == want
+    assert token_counts.count_array(pa.array(texts), memo(bpe.RankMerger(PATH).count_pieces, 50)).tolist() == want
 
 
 def test_pretokens_agree_on_every_character_of_some_blocks():

@@ -52,7 +52,7 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Bounds on memory, not on results: texts are taken in slices of about this
 #: many bytes, and the memo is emptied when it holds this many pieces.
 SLICE_BYTES = 8 << 20
-MEMO_PIECES = 1_000_000
+MEMO_PIECES = 300_000
 
 
 def vocabulary_path(name_or_path: str) -> str:

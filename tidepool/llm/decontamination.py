@@ -47,22 +47,19 @@ _PROBES = (0, 17, 34)
 _PAGE = 32768  # bits of one bitmap row
 
 
-class _Hashes(dict):
-    """Word hashes, remembered up to a bound on memory."""
+class Hashes(dict):
+    """Word hashes, remembered up to a bound on memory; each task has its own."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h
 
 
-_HASHES = _Hashes()
-
-
-def words(text: str | None) -> np.ndarray:
+def words(text: str | None, hashes: Hashes) -> np.ndarray:
     found = _WORDS.findall((text or "").lower())
-    return np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
+    return np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
 
 
 def seeds(w: np.ndarray, mask: str, number: int, size: int) -> np.ndarray:
@@ -92,8 +89,9 @@ def benchmark_seeds(benchmark: DataFrame, min_words: int, id_col: str, text_col:
     """(item, words, seeds): distinct word sequences, named by their smallest
     id, with all ids and their seeds (h, at)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = Hashes()
         for b in batches:
-            w = [words(t) for t in b["text"]]
+            w = [words(t, hashes) for t in b["text"]]
             yield pd.DataFrame({"id": b["id"], "words": [x.view(np.int64) for x in w]})[[len(x) >= min_words for x in w]]
 
     src = benchmark.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
@@ -132,11 +130,11 @@ def spans(docs: DataFrame, bits: np.ndarray, sizes: list[int], around: int) -> D
                         ("words", pa.list_(pa.int64())), ("hits", pa.list_(hit))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_ = shared.value
+        filter_, hashes = shared.value, Hashes()
         for b in batches:
             rows = []
             for d1, d2, text in zip(b.column("d1").to_pylist(), b.column("d2").to_pylist(), b.column("text")):
-                w = words(text.as_py())
+                w = words(text.as_py(), hashes)
                 at, hs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
                 for i, m in enumerate(MASKS):
                     for size in sorted({min(size, len(m)) for size in sizes}):

@@ -132,17 +132,16 @@ class Encoder:
                  if token not in specials}
         self._model = tiktoken.Encoding("packing", pat_str=bpe.PRETOKEN.pattern,
                                         mergeable_ranks=ranks, special_tokens=specials)
-        self.memo = bpe.Memo(self._encode, limit=500_000)
 
-    def _encode(self, wanted: list[str]) -> list[bytes]:
+    def encode(self, wanted: list[str]) -> list[bytes]:
         return [np.array(self._model.encode(w, allowed_special="all"), np.uint32).tobytes() for w in wanted]
 
-    def documents(self, texts: pa.Array, end: int) -> Iterator[tuple[int, np.ndarray]]:
+    def documents(self, texts: pa.Array, end: int, memo: bpe.Memo) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids with the end marker) for every text."""
         for rows, parts in bpe.slices(texts):
             codes, starts, distinct, firsts = bpe.pieces(parts)
-            encoded = self.memo([" " + d for d in distinct])
-            first = self.memo(firsts)
+            encoded = memo([" " + d for d in distinct])
+            first = memo(firsts)
             bits = encoded + first
             flat = np.frombuffer(b"".join(bits), np.uint32)
             sizes = np.array([len(b) >> 2 for b in bits], np.int64)
@@ -160,7 +159,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One per Python worker, so that its memo outlives a task."""
+    """One per Python worker."""
     return Encoder(path)
 
 
@@ -173,6 +172,7 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", window: int = 10
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder(bpe.vocabulary_path(tokenizer))
+        memo = bpe.Memo(model.encode)  # the task's own, and gone with it
         packer = Packer(window, TaskContext.get().partitionId() << 40, max_open)
 
         def out():
@@ -183,7 +183,7 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", window: int = 10
 
         for b in batches:
             ids = b.column("id").to_pylist()
-            for row, tokens in model.documents(b.column("text"), end_id):
+            for row, tokens in model.documents(b.column("text"), end_id, memo):
                 packer.add(ids[row], tokens)
                 if len(packer.rows) > 20_000:
                     yield out()

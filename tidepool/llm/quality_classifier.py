@@ -53,8 +53,8 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>!@^~=+_{}[]\\")] = True
 _REACHED = (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8)
 _EVERY = -1  # a feature of every document, whose count is the number of documents
-#: Bound on memory, not on results: words remembered by one Python worker.
-MEMO_WORDS = 500_000
+#: Bound on memory, not on results: words remembered by one task.
+MEMO_WORDS = 200_000
 
 
 def _hash(name: str) -> int:
@@ -152,9 +152,9 @@ class Evidence:
     def __call__(self, text: str | None, lang: str | None) -> tuple[float, ...]:
         tokens = (text or "").split()
         counts = Counter(tokens)
+        if sum(map(len, self._known.values())) > MEMO_WORDS:
+            self._known.clear()
         known = self._known.setdefault(lang or "", {})
-        if len(known) > MEMO_WORDS:
-            known.clear()
         low = toxic = -math.inf
         upper = bare = 0
         for t, n in counts.items():

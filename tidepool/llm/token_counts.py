@@ -21,13 +21,12 @@ from tidepool.llm import bpe
 
 
 @lru_cache(maxsize=2)
-def _memo(path: str) -> bpe.Memo:
-    """One per Python worker, so that it outlives a task."""
-    return bpe.Memo(bpe.RankMerger(path).count_pieces)
+def merger(path: str) -> bpe.RankMerger:
+    """One per Python worker."""
+    return bpe.RankMerger(path)
 
 
-def count_array(texts: pa.Array, path: str) -> np.ndarray:
-    memo = _memo(path)
+def count_array(texts: pa.Array, memo: bpe.Memo) -> np.ndarray:
     out = np.zeros(len(texts), np.int64)
     for rows, parts in bpe.slices(texts):
         codes, starts, distinct, firsts = bpe.pieces(parts)
@@ -46,10 +45,11 @@ def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
     public_tokenizers; it must be a byte-level BPE vocabulary.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path = bpe.vocabulary_path(tokenizer)
+        # The memo is the task's own, and gone with it.
+        memo = bpe.Memo(merger(bpe.vocabulary_path(tokenizer)).count_pieces)
         for b in batches:
             texts = b.column("text")
-            n = count_array(texts, path)
+            n = count_array(texts, memo)
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pc.binary_length(texts).cast(pa.int64()), pa.array(n), pa.array(n > limit)],
                 names=["id", "n_bytes", "n_tokens", "over_limit"])
