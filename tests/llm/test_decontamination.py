@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import numpy as np
 
@@ -83,3 +84,28 @@ def test_query_against_brute_force(spark):
             checked += 1
             assert got[d.doc_id] == sorted(b.item_id for b in near if brute(d.text, b.text)), d.doc_id
     assert checked > 500 and sum(map(bool, got.values())) > 5
+
+
+def test_masks_hit_every_admitted_pattern():
+    of = D.masks_of(20, 0.8, 5)
+    assert sorted(of) == list(range(5, 21))
+    for need, masks in of.items():
+        ways = list(combinations(range(need), D.substitutions(need, 0.8)))
+        for way in ways if len(ways) < 600 else random.Random(need).sample(ways, 600):
+            kept = [i not in way for i in range(need)]
+            assert any(all(kept[at + k] for k, one in enumerate(m) if one == "1")
+                       for m in masks for at in range(need - len(m) + 1)), (need, way)
+
+
+def test_no_admitted_substitution_is_missed(spark):
+    rnd = random.Random(5)
+    items = {n: [f"i{n}x{k}" for k in range(n)] for n in range(5, 21)}
+    docs = []
+    for n, x in items.items():
+        ways = list(combinations(range(n), D.substitutions(n, 0.8)))
+        for way in rnd.sample(ways, min(40, len(ways))):
+            docs.append((n, " ".join(["pad"] * 30 + ["zzz" if k in way else w for k, w in enumerate(x)] + ["pad"] * 30)))
+    bench = spark.createDataFrame([(n, " ".join(x)) for n, x in items.items()], "item_id bigint, text string")
+    got = D.decontaminate(spark.createDataFrame(docs, "doc_id bigint, text string"), bench).collect()
+    missed = [r.doc_id for r in got if r["items"] != [r.doc_id]]
+    assert len(got) == len(docs) and missed == []

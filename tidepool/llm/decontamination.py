@@ -1,13 +1,16 @@
 """Benchmark decontamination by spaced seeds.
 
-Texts are sequences of lower-cased words. A spaced seed is a fixed mask over a
+Texts are sequences of lower-cased words. A spaced seed is a mask over a
 window of words; its hash leaves out the masked positions, so that a window in
 which only those were substituted still has the same hash. The masks are
 hashed at every position of benchmark items and of documents, the hashes are
 joined, and a join hit fixes an item, a document and how the two align. Around
 the hit the aligned words are compared: a document is contaminated if some
 `overlap` aligned words in a row (or the whole item, if shorter) agree in at
-least `agree` of their positions.
+least `agree` of their positions. The masks of an item are chosen by enumeration
+(`masks_of`): every way to substitute as many of the required words as `agree`
+admits leaves at least one mask a hit, so no contaminated document is missed.
+A shorter passage of a longer item than `overlap` words is no contamination.
 
 A document's windows that cannot match are left out before the shuffle by a
 Bloom filter of the benchmark's hashes. Its size is `filter_bits`, whatever
@@ -15,9 +18,9 @@ the benchmark's; a benchmark too large for it only lets more windows through
 to the join, which decides. Hits of a document that lie near one another
 travel as one span with its words' hashes.
 
-Items of fewer words than a mask use its beginning; items below `min_words`
-words are too short to tell and match nothing. Items of equal words are
-compared once. Defined results: a null or empty text is clean; an empty
+Shorter items have masks of their own, of lower weight the fewer words they
+have; items below `min_words` words are too short to tell and match nothing.
+Items of equal words are compared once. Defined results: a null or empty text is clean; an empty
 benchmark makes every document clean; null ids are carried; repeated rows give
 repeated results, as verdicts are joined by a 128-bit hash of the text; an
 empty table gives no rows; further columns are passed through, except that
@@ -28,6 +31,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -38,8 +44,10 @@ from pyspark.sql import functions as F
 
 from tidepool.llm.store import Scratch
 
-#: The masks; 0 leaves a word out. Each has weight 8 over 12 words.
-MASKS = ("110110110101", "101101011011", "011110011101", "111001101110")
+#: Masks have at most this weight, this span, and are this many to a length.
+MOST_WEIGHT, MOST_SPAN, MOST_MASKS = 8, 13, 6
+#: Patterns of substitutions enumerated at most; beyond it, a part is looked at.
+MOST_PATTERNS = 10_000
 _WORDS = re.compile(r"\w+")
 _ODD = np.array([2 * i + 1 for i in range(64)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -62,15 +70,78 @@ def words(text: str | None, hashes: Hashes) -> np.ndarray:
     return np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
 
 
-def seeds(w: np.ndarray, mask: str, number: int, size: int) -> np.ndarray:
-    """Hash of the mask's first `size` positions at every place of w."""
-    n = len(w) - size + 1
+def substitutions(need: int, agree: float) -> int:
+    """How many of `need` aligned words may differ; at least one agrees."""
+    return max(k for k in range(need) if k == 0 or (need - k) / need >= agree)
+
+
+@lru_cache(maxsize=None)
+def _covering(length: int, misses: int, earlier: tuple[str, ...]) -> tuple[str, ...]:
+    """Masks (0 leaves a word out) of which one fits, at some place of `length`
+    words, between any `misses` substituted ones. The weight is the largest
+    that MOST_MASKS masks do with; masks of `earlier` that do half as well as the
+    best are taken first."""
+    parts = 1
+    while comb(length // parts, misses // parts) > MOST_PATTERNS:
+        parts += 1  # one of so many parts has no more than its share of the misses
+    length, misses = length // parts, misses // parts
+    patterns = np.array([sum(1 << i for i in c) for c in combinations(range(length), misses)], np.int64)
+    for weight in range(min(MOST_WEIGHT, length - misses), 0, -1):
+        masks = {m: int(m[::-1], 2) for m in earlier if len(m) <= length and m.count("1") >= weight}
+        old = len(masks)
+        for span in range(weight, min(length, max(MOST_SPAN, weight)) + 1):
+            for c in combinations(range(1, span - 1), weight - 2) if weight > 1 else [()][span - 1:]:
+                bits = 1 | sum(1 << i for i in c) | 1 << (span - 1)
+                masks.setdefault(format(bits, "b")[::-1], bits)
+        fits = np.zeros((len(masks), len(patterns)), np.float32)
+        for row, (mask, bits) in zip(fits, masks.items()):
+            for at in range(length - len(mask) + 1):
+                row[(patterns & (bits << at)) == 0] = 1
+        names, left, chosen = list(masks), np.ones(len(patterns), np.float32), []
+        while left.any() and len(chosen) < MOST_MASKS:
+            gain = fits @ left
+            best = int(gain.argmax())
+            if old and gain[:old].max() * 2 >= gain[best]:
+                best = int(gain[:old].argmax())
+            if not gain[best]:
+                break
+            chosen.append(names[best])
+            left[fits[best] > 0] = 0
+        if not left.any():
+            return tuple(chosen)
+    raise ValueError(f"no masks for {misses} of {length} words")  # not reached: a single word fits
+
+
+@lru_cache(maxsize=None)
+def masks_of(overlap: int, agree: float, min_words: int) -> dict[int, tuple[str, ...]]:
+    """The masks for items of which 1, 2, ... `overlap` words are required."""
+    out: dict[int, tuple[str, ...]] = {}
+    used: dict[str, None] = {}
+    last, masks = -1, ()
+    for need in range(max(1, min_words), overlap + 1):
+        # More words with no more substitutions hold a window of the fewer ones.
+        if (misses := substitutions(need, agree)) != last:
+            last, masks = misses, _covering(need, misses, tuple(used))
+            used.update(dict.fromkeys(masks))
+        out[need] = masks
+    return out
+
+
+def places(w: np.ndarray, span: int) -> list[np.ndarray]:
+    """The words' hashes as they count at each place of a mask."""
+    mixed = w ^ (w >> np.uint64(31))
+    return [mixed * odd for odd in _ODD[:span]]
+
+
+def seeds(at: list[np.ndarray], mask: str) -> np.ndarray:
+    """Hash of the mask's words at every place of a text."""
+    n = len(at[0]) - len(mask) + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    h = np.full(n, np.uint64(number * 64 + size), np.uint64)
-    for k in range(size):
-        if mask[k] == "1":
-            h += (w[k:k + n] ^ (w[k:k + n] >> np.uint64(31))) * _ODD[k]
+    h = np.full(n, np.uint64(int(mask, 2)), np.uint64)
+    for k, one in enumerate(mask):
+        if one == "1":
+            h += at[k][k:k + n]
     h ^= h >> np.uint64(32)
     return h * _MIX
 
@@ -85,7 +156,8 @@ def _set(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return at
 
 
-def benchmark_seeds(benchmark: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
+def benchmark_seeds(benchmark: DataFrame, min_words: int, id_col: str, text_col: str, overlap: int = 20,
+                    agree: float = 0.8) -> DataFrame:
     """(item, words, seeds): distinct word sequences, named by their smallest
     id, with all ids and their seeds (h, at)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -98,12 +170,16 @@ def benchmark_seeds(benchmark: DataFrame, min_words: int, id_col: str, text_col:
     one = (src.mapInPandas(run, "id bigint, words array<bigint>").groupBy("words")
            .agg(F.sort_array(F.collect_set("id")).alias("ids")))
 
+    masks = masks_of(overlap, agree, min(min_words, overlap))
+    span = max(len(m) for ms in masks.values() for m in ms)
+
     @F.pandas_udf("array<struct<h:bigint,at:int>>")
     def of(rows: pd.Series) -> pd.Series:
         out = []
         for r in rows:
             w = np.asarray(r, np.int64).view(np.uint64)
-            found = [seeds(w, m, i, min(len(m), len(w))) for i, m in enumerate(MASKS)]
+            at_place = places(w, span)
+            found = [seeds(at_place, m) for m in masks.get(min(overlap, len(w)), ())]
             out.append([{"h": int(h), "at": at} for f in found for at, h in enumerate(f.view(np.int64))])
         return pd.Series(out)
 
@@ -121,9 +197,10 @@ def filter_bitmap(hashes: DataFrame, filter_bits: int) -> np.ndarray:
     return out
 
 
-def spans(docs: DataFrame, bits: np.ndarray, sizes: list[int], around: int) -> DataFrame:
+def spans(docs: DataFrame, bits: np.ndarray, masks: list[str], around: int) -> DataFrame:
     """(d1, d2, first, words, hits) from docs (d1, d2, text): stretches of a
     document with possible hits (h, at), their words from word `first` on."""
+    span = max(map(len, masks), default=1)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     hit = pa.struct([("h", pa.int64()), ("at", pa.int64())])
     schema = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("first", pa.int64()),
@@ -136,12 +213,12 @@ def spans(docs: DataFrame, bits: np.ndarray, sizes: list[int], around: int) -> D
             for d1, d2, text in zip(b.column("d1").to_pylist(), b.column("d2").to_pylist(), b.column("text")):
                 w = words(text.as_py(), hashes)
                 at, hs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-                for i, m in enumerate(MASKS):
-                    for size in sorted({min(size, len(m)) for size in sizes}):
-                        h = seeds(w, m, i, size)
-                        found = _set(filter_, h)
-                        at.append(found)
-                        hs.append(h[found])
+                at_place = places(w, span)
+                for m in masks:
+                    h = seeds(at_place, m)
+                    found = _set(filter_, h)
+                    at.append(found)
+                    hs.append(h[found])
                 at, hs = np.concatenate(at), np.concatenate(hs)
                 if not len(at):
                     continue
@@ -149,7 +226,7 @@ def spans(docs: DataFrame, bits: np.ndarray, sizes: list[int], around: int) -> D
                 at, hs = at[order], hs[order].view(np.int64)
                 for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > 2 * around) + 1):
                     first = max(0, int(at[part[0]]) - around)
-                    last = int(at[part[-1]]) + len(MASKS[0]) + around
+                    last = int(at[part[-1]]) + span + around
                     rows.append((d1, d2, first, w[first:last].view(np.int64),
                                  [{"h": int(h), "at": int(a)} for h, a in zip(hs[part], at[part])]))
             columns = list(zip(*rows)) or [[]] * len(schema)
@@ -172,10 +249,13 @@ def best_agreement(item: np.ndarray, doc: np.ndarray, shift: int, overlap: int)
 def contaminated(scratch: Scratch, docs: DataFrame, benchmark: DataFrame, overlap: int = 20, agree: float = 0.8,
                  min_words: int = 5, filter_bits: int = 1 << 25, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(d1, d2, items, agreement) of contaminated texts among docs (d1, d2, text)."""
-    items = scratch.write(benchmark_seeds(benchmark, min_words, item_col, item_text_col), "items")
+    items = scratch.write(benchmark_seeds(benchmark, min_words, item_col, item_text_col, overlap, agree), "items")
     known = scratch.write(items.select("item", F.explode("seeds").alias("s")).select("item", "s.h", "s.at"), "seeds")
-    sizes = [r[0] for r in items.select(F.least(F.size("words"), F.lit(len(MASKS[0])))).distinct().collect()]
-    found = scratch.write(spans(docs, filter_bitmap(known.select("h"), filter_bits), sizes, overlap)
+    # At most `overlap` lengths, whatever the benchmark's size.
+    needs = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(overlap))).distinct().collect())
+    of = masks_of(overlap, agree, min(min_words, overlap))
+    masks = list(dict.fromkeys(m for need in needs for m in of.get(need, ())))
+    found = scratch.write(spans(docs, filter_bitmap(known.select("h"), filter_bits), masks, overlap)
                           .dropDuplicates(["d1", "d2", "first"]), "spans")
     hits = found.select("d1", "d2", "first", F.explode("hits").alias("hit")).select("d1", "d2", "first", "hit.h", (F.col("hit.at") - F.col("first")).alias("place"))
     aligned = scratch.write(hits.join(known, "h").select("d1", "d2", "first", "item", (F.col("place") - F.col("at")).alias("shift"))
