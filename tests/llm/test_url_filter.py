@@ -74,3 +74,14 @@ def test_accuracy_on_urls_not_learned_from(spark):
     z = [w[f].sum() / np.sqrt(max(1, len(f))) + w[-1] for f in (url_filter.features(r.host, r.path, 16) for r in test)]
     assert len(test) > 100
     assert np.mean([(s > 0) == (r.verdict == "block") for s, r in zip(z, test)]) > 0.9
+
+
+def test_copies_do_not_shrink_the_sample(spark):
+    # 40 000 rows a class, but only 40 distinct URLs of each
+    labelled = spark.range(80_000).selectExpr(
+        "concat('h', id % 40, '.net') AS host", "concat(IF(id < 40000, '/casino/', '/news/'), id % 40) AS path",
+        "IF(id < 40000, 'block', 'allow') AS verdict")
+    w = url_filter.train(labelled, max_urls=100)
+    z = {s: sum(w[f].sum() / np.sqrt(len(f)) + w[-1] > 0 for f in (url_filter.features(f"x{i}.net", f"/{s}/{i}", 16) for i in range(50)))
+         for s in ("casino", "news")}
+    assert z["casino"] > 45 and z["news"] < 5

@@ -4,7 +4,8 @@ A rule is a host and a path prefix; it fits its host and all subdomains, and
 the longest that fits decides. Other URLs are judged by a logistic regression
 on hashed character n-grams of host and path, kept apart by field. It is
 trained on the driver from a small labelled table, about `max_urls` distinct
-URLs a class at most, chosen by a hash of host and path; the model is 2^bits weights, broadcast.
+URLs a class at most, chosen by a hash of host and path, however many copies
+each has; the model is 2^bits weights, broadcast.
 Judging is map-only: parsing and rules are column expressions, and only
 scoring runs in numpy, over Arrow batches.
 
@@ -63,10 +64,12 @@ def features(host: str, path: str, bits: int) -> np.ndarray:
 def train(labelled: DataFrame, bits: int = 16, max_urls: int = 4000, steps: int = 150, penalty: float = 1e-3) -> np.ndarray:
     """Weights, the last one the constant, from labelled (host, path, verdict)."""
     known = labelled.where(F.col("verdict").isin(ALLOW, BLOCK)).select("host", "path", "verdict")
+    # Copies share their hash, so the share is of distinct URLs.
+    number = F.xxhash64("host", "path")
     share = F.lit(0.0)
-    for r in known.groupBy("verdict").count().collect():  # two classes
+    for r in known.select("verdict", number.alias("u")).distinct().groupBy("verdict").count().collect():  # two classes
         share = F.when(F.col("verdict") == r.verdict, F.lit(max_urls / r["count"])).otherwise(share)
-    unit = F.pmod(F.xxhash64("host", "path"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    unit = F.pmod(number, F.lit(1 << 30)) / F.lit(float(1 << 30))
     rows = sorted(known.where(unit < share).distinct().collect())
     w = np.zeros((1 << bits) + 1)
     y = np.array([r.verdict == BLOCK for r in rows], float)
