@@ -91,3 +91,26 @@ def test_query_on_the_driver_table(spark):
         want = plain_statistics(own[r.doc_id])
         assert tuple(r[s] for s in Q.STATISTICS) == want
         assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0]) and (not r.base_failed or not r.kept)
+
+
+def test_cutoff_follows_the_chi_square_law():
+    assert Q.chi_square_quantile(0.99, 4) == pytest.approx(13.2767, abs=1e-3)
+    x = np.random.default_rng(6).normal(size=(200_000, 4))
+    d = np.square(x).sum(1)
+    assert np.cov(x[d <= np.quantile(d, 0.75)].T)[0, 0] * Q.consistency(0.75, 4) == pytest.approx(1, abs=0.02)
+
+
+def test_every_coordinate_rejects_alone(spark):
+    rnd = random.Random(7)
+    words = [f"w{i:03d}" for i in range(900)]
+    usual = [(i, "\n".join(" ".join(rnd.sample(words, 10)) for _ in range(10)), "aa", "s") for i in range(120)]
+    line = lambda: " ".join(rnd.sample(words, 9))
+    lines = "\n".join(x for _ in range(10) for x in ("same", line()))  # 9 of 20 lines are copies
+    phrase = " ".join(f"p q r {a} {b} {c}" for a, b, c in zip(*[iter(rnd.sample(words, 45))] * 3)) + " " + " ".join(rnd.sample(words, 10))
+    long = " ".join(w + "xxx" for w in rnd.sample(words, 100))
+    symbols = " ".join(w + "#" * (i % 5 == 0) for i, w in enumerate(rnd.sample(words, 100)))
+    df = spark.createDataFrame([*usual, *((1000 + i, t, "aa", "s") for i, t in enumerate((lines, phrase, long, symbols)))],
+                               "doc_id bigint, text string, lang string, source string")
+    got = {r.doc_id: r for r in Q.judge(df).collect()}
+    assert all(got[r[0]].kept for r in usual)
+    assert [(got[i].base_failed, got[i].kept) for i in range(1000, 1004)] == [(False, False)] * 4

@@ -4,8 +4,10 @@ Statistics of a text become a vector of transformed ratios. For every group of
 language and source a minimum-covariance-determinant estimate is made by
 concentration steps: from a robust start (mid quantile and quartile spread of
 each coordinate) the distances of all vectors are taken, the `support` share
-of nearest ones gives the next mean and covariance, and so on. A vector whose
-Mahalanobis distance from its group's estimate is beyond `cutoff` is rejected.
+of nearest ones gives the next mean and covariance, and so on. The covariance of
+that share is made consistent with a normal law; a vector whose squared
+Mahalanobis distance from its group's estimate is beyond the chi-square
+`quantile` for as many dimensions is rejected.
 
 Everything is DataFrame expressions. A step is two groupings with map-side
 combining: a histogram of the distances per group (bins of equal ratio, from
@@ -27,6 +29,8 @@ gives no rows; further columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,11 +41,11 @@ SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 
 #: The coordinates: expression over the statistics and least standard deviation.
-#: The floors say what is never unlike a group, however uniform that is: word
-#: lengths within some tens of percent, one line or phrase twice in a short text.
+#: The floors are what one measurement of a short text (50 words, ten lines) may
+#: be off: the mean of 50 word lengths, one symbol, one line, one phrase.
 COORDINATES = {
-    "word_length": ("ln(word_chars / n_words)", 0.1),
-    "symbols": ("ln(1 + n_symbols / n_words)", 0.03),
+    "word_length": ("ln(word_chars / n_words)", 0.08),
+    "symbols": ("ln(1 + n_symbols / n_words)", 0.02),
     "dup_lines": ("n_dup_lines / n_lines", 0.1),
     "repeats": ("n_repeat_words / n_words", 0.1),
 }
@@ -84,6 +88,24 @@ def statistics(docs: DataFrame, keep: dict[str, Column], text_col: str = "text")
     return out.select(*keep, "n_lines", *[F.col(s).cast("bigint").alias(s) for s in STATISTICS])
 
 
+def chi_square(x: float, dims: int) -> float:
+    """Distribution function, for an even number of dimensions."""
+    return 1 - math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(dims // 2))
+
+
+def chi_square_quantile(p: float, dims: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi_square(mid, dims) < p else (low, mid)
+    return high
+
+
+def consistency(support: float, dims: int) -> float:
+    """What the covariance of a normal law's nearest `support` share lacks."""
+    return support / chi_square(chi_square_quantile(support, dims), dims + 2) if support < 1 else 1.0
+
+
 def _x(i: int) -> Column:
     return F.col(f"x{i}")
 
@@ -121,20 +143,21 @@ def _fit_distance(dims: int, value=F.col) -> Column:
                      {(i, j): value(f"l{i}{j}") for i in range(dims) for j in range(i + 1)})
 
 
-def _moments(floors: list[float]) -> list[Column]:
+def _moments(floors: list[float], factor: float) -> list[Column]:
     dims, cov = len(floors), []
     mean = [F.avg(_x(i)).alias(f"m{i}") for i in range(dims)]
     for i in range(dims):
         for j in range(i, dims):
-            c = F.covar_pop(_x(i), _x(j))
+            c = F.covar_pop(_x(i), _x(j)) * factor
             cov.append((c + F.lit(floors[i] ** 2) if i == j else c).alias(f"c{i}{j}"))
     return mean + cov
 
 
 def estimates(scratch: Scratch, vectors: DataFrame, steps: int = 6, support: float = 0.75,
-              min_group: int = 100, floors: list[float] = FLOORS) -> DataFrame:
+              min_group: int = 100, floors: list[float] = FLOORS, factor: float = 1.0) -> DataFrame:
     """(g, mean, covariance) per group of vectors (g, x0..), and for the group
-    null, all rows: the minimum-covariance-determinant estimates."""
+    null, all rows: the minimum-covariance-determinant estimates, covariances
+    times `factor`."""
     dims = len(floors)
     # Each vector counts for its group and for the whole.
     both = vectors.select(F.explode(F.array(F.col("g"), F.lit(None).cast("string"))).alias("g"), *[_x(i) for i in range(dims)])
@@ -161,23 +184,21 @@ def estimates(scratch: Scratch, vectors: DataFrame, steps: int = 6, support: flo
                  .groupBy(F.col("g").alias("k")).agg(F.min("bin").alias("most")))
         bound = scratch.write(bound, "bounds")
         near = far.join(bound, F.col("g").eqNullSafe(F.col("k"))).where("bin <= most")
-        new = scratch.write(_factored(near.groupBy("g").agg(*_moments(floors)), dims), "step")
+        new = scratch.write(_factored(near.groupBy("g").agg(*_moments(floors, factor)), dims), "step")
         scratch.drop(now, far, bound)
         now = new
     scratch.drop(both)
     return now
 
 
-def judge(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, cutoff: float = 60.0,
+def judge(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, quantile: float = 0.99,
           steps: int = 6, support: float = 0.75, min_group: int = 100,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """id, the statistics, base_failed, distance (squared; null if the base
     rules failed) and kept, per row.
 
-    `cutoff` bounds the squared distance. The estimate describes the nearest
-    `support` share, and ratios have longer tails than a normal law, so the
-    default is far above that law's quantile: it rejects texts unlike their
-    group, not its tails.
+    `quantile` is the share of a normal law's texts that is kept; as ratios have
+    longer tails, somewhat fewer are.
     """
     scratch = Scratch(docs.sparkSession, "quality")
     group = F.to_json(F.struct(F.col(lang_col).alias("l"), F.col(source_col).alias("s")))
@@ -186,7 +207,7 @@ def judge(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, cu
     stats = scratch.write(stats.withColumn("base_failed", failed), "statistics")
     # A share below zero words is never taken: those rows failed the base rules.
     vectors = stats.where("NOT base_failed").select("g", *[F.expr(e).alias(f"x{i}") for i, (e, _) in enumerate(COORDINATES.values())])
-    fit = estimates(scratch, vectors, steps, support, min_group)
+    fit = estimates(scratch, vectors, steps, support, min_group, factor=consistency(support, DIMS))
     names = _fit_columns(DIMS)
     whole = fit.where("g IS NULL").first()  # one row
 
@@ -199,4 +220,4 @@ def judge(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, cu
     out = stats.withColumns({f"x{i}": F.when(~F.col("base_failed"), F.expr(e)) for i, (e, _) in enumerate(COORDINATES.values())})
     return (out.join(own, F.col("g") == F.col("k"), "left").withColumn("distance", far)
             .select(F.col("id").alias(id_col), *STATISTICS, "base_failed", "distance",
-                    (~F.col("base_failed") & (F.col("distance") <= cutoff)).alias("kept")))
+                    (~F.col("base_failed") & (F.col("distance") <= chi_square_quantile(quantile, DIMS))).alias("kept")))
