@@ -114,3 +114,17 @@ def test_every_coordinate_rejects_alone(spark):
     got = {r.doc_id: r for r in Q.judge(df).collect()}
     assert all(got[r[0]].kept for r in usual)
     assert [(got[i].base_failed, got[i].kept) for i in range(1000, 1004)] == [(False, False)] * 4
+
+
+def test_small_groups_are_judged_by_their_language(spark):
+    rnd = random.Random(8)
+    text = lambda w: " ".join(f"{w}{i:03d}" for i in rnd.sample(range(900), 80))
+    many = [(i, text("w"), "aa", "s") for i in range(300)]
+    own = [(1000 + i, text("longerword"), "bb", f"s{i % 3}") for i in range(36)]  # 12 a source
+    strange = [(2000, text("w"), "bb", "s0")]
+    alone = [(3000, text("w"), "cc", "s"), (3001, text("longerword"), "cc", "s"), (3002, text("w"), None, "s")]
+    df = spark.createDataFrame(many + own + strange + alone, "doc_id bigint, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in Q.judge(df).collect()}
+    assert all(kept[r[0]] for r in many + own)  # a language's own manner is no outlier
+    assert not kept[2000]  # and the largest language's is one there
+    assert kept[3000] and not kept[3001] and kept[3002]  # too few of the language: all rows

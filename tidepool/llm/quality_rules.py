@@ -16,8 +16,8 @@ The estimates, one row per group, are joined back to the vectors; Spark
 chooses a broadcast by size, or a shuffle join that it can split. Vectors are
 a small table in the shared folder; texts are read once.
 
-Groups of fewer than `min_group` vectors take the estimate of all rows, which
-is made alongside. Each coordinate has a least standard deviation, whose square
+Groups of fewer than `min_group` vectors take their language's estimate, and
+languages of as few that of all rows, which are made alongside. Each coordinate has a least standard deviation, whose square
 is added to its variance: constant coordinates neither break the inverse nor
 reject what is no more than usual variety.
 
@@ -154,14 +154,15 @@ def _moments(floors: list[float], factor: float) -> list[Column]:
 
 
 def estimates(scratch: Scratch, vectors: DataFrame, steps: int = 6, support: float = 0.75,
-              min_group: int = 100, floors: list[float] = FLOORS, factor: float = 1.0) -> DataFrame:
-    """(g, mean, covariance) per group of vectors (g, x0..), and for the group
-    null, all rows: the minimum-covariance-determinant estimates, covariances
-    times `factor`."""
+              min_group: int = 20, floors: list[float] = FLOORS, factor: float = 1.0,
+              levels: tuple[str, ...] = ("g",)) -> DataFrame:
+    """(g, mean, covariance) per group of vectors (levels, x0..), and for the
+    group null, all rows: the minimum-covariance-determinant estimates,
+    covariances times `factor`. Each of `levels` names a group of a vector."""
     dims = len(floors)
-    # Each vector counts for its group and for the whole.
-    both = vectors.select(F.explode(F.array(F.col("g"), F.lit(None).cast("string"))).alias("g"), *[_x(i) for i in range(dims)])
-    size = vectors.groupBy("g").count().where(F.col("count") >= min_group).select("g")
+    # Each vector counts for its groups and for the whole.
+    both = vectors.select(F.explode(F.array(*levels, F.lit(None).cast("string"))).alias("g"), *[_x(i) for i in range(dims)])
+    size = both.where("g IS NOT NULL").groupBy("g").count().where(F.col("count") >= min_group).select("g")
     both = scratch.write(both.join(size.union(vectors.sparkSession.sql("SELECT CAST(NULL AS STRING) AS g"))
                                    .withColumnRenamed("g", "kept"), F.col("g").eqNullSafe(F.col("kept")), "left_semi"), "both")
     quartiles = [F.percentile_approx(_x(i), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q{i}") for i in range(dims)]
@@ -192,7 +193,7 @@ def estimates(scratch: Scratch, vectors: DataFrame, steps: int = 6, support: flo
 
 
 def judge(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, quantile: float = 0.99,
-          steps: int = 6, support: float = 0.75, min_group: int = 100,
+          steps: int = 6, support: float = 0.75, min_group: int = 20,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """id, the statistics, base_failed, distance (squared; null if the base
     rules failed) and kept, per row.
@@ -202,21 +203,28 @@ def judge(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, qu
     """
     scratch = Scratch(docs.sparkSession, "quality")
     group = F.to_json(F.struct(F.col(lang_col).alias("l"), F.col(source_col).alias("s")))
-    stats = statistics(docs, {"id": F.col(id_col), "g": group}, text_col)
+    language = F.concat(F.lit("language "), F.to_json(F.struct(F.col(lang_col).alias("l"))))
+    stats = statistics(docs, {"id": F.col(id_col), "g": group, "l": language}, text_col)
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)
     stats = scratch.write(stats.withColumn("base_failed", failed), "statistics")
     # A share below zero words is never taken: those rows failed the base rules.
-    vectors = stats.where("NOT base_failed").select("g", *[F.expr(e).alias(f"x{i}") for i, (e, _) in enumerate(COORDINATES.values())])
-    fit = estimates(scratch, vectors, steps, support, min_group, factor=consistency(support, DIMS))
+    vectors = stats.where("NOT base_failed").select("g", "l", *[F.expr(e).alias(f"x{i}") for i, (e, _) in enumerate(COORDINATES.values())])
+    fit = estimates(scratch, vectors, steps, support, min_group, factor=consistency(support, DIMS), levels=("g", "l"))
     names = _fit_columns(DIMS)
     whole = fit.where("g IS NULL").first()  # one row
 
     def value(name: str) -> Column:
-        """A group without an estimate of its own takes that of all rows."""
-        return F.coalesce(F.col(name), F.lit(float(whole[name]))) if whole else F.col(name)
-
-    own = fit.where("g IS NOT NULL").select(F.col("g").alias("k"), *names)
-    far = _fit_distance(DIMS, value)
+        """A group without an estimate of its own takes its language's, or else that of all rows."""
+        known = [F.col(name), F.col(f"l_{name}")]
+        return F.coalesce(*known, F.lit(float(whole[name])) if whole else F.lit(None)).alias(name)
+
+    some = fit.where("g IS NOT NULL")
+    of_language = some.select(F.col("g").alias("l"), *[F.col(n).alias(f"l_{n}") for n in names])
+    # One row per group, so that the texts are joined once, by their group.
+    own = (stats.select("g", "l").distinct().join(some.select("g", *names), "g", "left")
+           .join(of_language, "l", "left").select(F.col("g").alias("k"), *[value(n) for n in names]))
+    own = scratch.write(own, "resolved")
+    far = _fit_distance(DIMS)
     out = stats.withColumns({f"x{i}": F.when(~F.col("base_failed"), F.expr(e)) for i, (e, _) in enumerate(COORDINATES.values())})
     return (out.join(own, F.col("g") == F.col("k"), "left").withColumn("distance", far)
             .select(F.col("id").alias(id_col), *STATISTICS, "base_failed", "distance",
