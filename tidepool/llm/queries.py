@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tidepool.llm import alignment as alignment_
 from tidepool.llm import decontamination as decontamination_
 from tidepool.llm import language_id as language_id_
 from tidepool.llm import license_scan as license_scan_
@@ -76,6 +77,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return out.select("doc_id", "contaminated", "items", "agreement")
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return alignment_.align(table(spark, sf_dir, "documents"), derive={"groups_sha256": digest})
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -83,7 +89,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_packing, op2_line_dedup, op3_url_filters, op4_token_counts, op5_license_scans, op6_quality_classifier, op7_language_id, op8_quality_rules,
     op9_simhash_near_dedup,
-    op10_benchmark_decontamination, pipeline]
+    op10_benchmark_decontamination, op13_cross_tokenizer_alignment, pipeline]
 _WORDINGS = ",\n         ".join(f"('{name}', '{text}')" for name, texts in license_scan_.TEMPLATES.items() for text in texts)
 ORACLES: dict[str, str] = {
     "op2_line_dedup": r"""
