@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidepool.llm import alignment as alignment_
 from tidepool.llm import decontamination as decontamination_
+from tidepool.llm import embedding_dedup as embedding_dedup_
 from tidepool.llm import language_id as language_id_
 from tidepool.llm import license_scan as license_scan_
 from tidepool.llm import line_dedup as line_dedup_
@@ -77,6 +78,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return out.select("doc_id", "contaminated", "items", "agreement")
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup_.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
     return alignment_.align(table(spark, sf_dir, "documents"), derive={"groups_sha256": digest})
@@ -89,7 +94,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_packing, op2_line_dedup, op3_url_filters, op4_token_counts, op5_license_scans, op6_quality_classifier, op7_language_id, op8_quality_rules,
     op9_simhash_near_dedup,
-    op10_benchmark_decontamination, op13_cross_tokenizer_alignment, pipeline]
+    op10_benchmark_decontamination, op11_embedding_near_dedup, op13_cross_tokenizer_alignment, pipeline]
 _WORDINGS = ",\n         ".join(f"('{name}', '{text}')" for name, texts in license_scan_.TEMPLATES.items() for text in texts)
 ORACLES: dict[str, str] = {
     "op2_line_dedup": r"""
@@ -118,6 +123,20 @@ c AS (SELECT doc_id, name, max(len(list_intersect(s.sh, t.sh)) / len(t.sh)) AS c
 SELECT doc_id, coalesce(string_agg(name, ',' ORDER BY name) FILTER (WHERE c >= 0.8), '') AS licenses,
        CASE WHEN max(c) >= 0.8 THEN max(c) END AS containment
 FROM c GROUP BY doc_id
+""",
+    "op11_embedding_near_dedup": """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CASE WHEN label IS NOT NULL AND len(embedding) > 0
+    AND list_count(embedding) = len(embedding) AND list_bool_and(list_transform(embedding, lambda x: isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0)) THEN CAST(embedding AS DOUBLE[]) END AS e
+  FROM embeddings),
+p AS (SELECT a.r AS r, b.r AS s FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+c(r, s) AS (SELECT r, r FROM v UNION SELECT c.r, p.s FROM c JOIN p ON c.s = p.r),
+m AS (SELECT c.r, min(v.vec_id) AS component_id FROM c JOIN v ON v.r = c.s GROUP BY c.r),
+n AS (SELECT r, count(*) AS n FROM p GROUP BY r)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN m USING (r) LEFT JOIN n USING (r)
 """,
 }
 
