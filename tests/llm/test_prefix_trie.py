@@ -1,0 +1,124 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from tidepool.llm import prefix_trie as T
+from tidepool.llm import queries
+from tidepool.llm.store import Scratch
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+
+
+def rebuilt(rows):
+    convs = {}
+    for c, t, r, x in rows:
+        if c is not None:
+            convs.setdefault(c, []).append((t is not None, t or 0, r or "", x or ""))
+    own = {c: [x[2:] for x in sorted(v)] for c, v in convs.items()}
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = own.get(c - c % 5, [])[:h] + turns[h:]
+    return out
+
+
+def brute(convs):
+    """Rows of the contract from {conv_id: turns}, recursively."""
+    nodes = {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(c)
+    below = {k: [0, 0] for k in nodes}
+    kids = {k: 0 for k in nodes}
+    for k in sorted(nodes, key=len, reverse=True):
+        if k:
+            kids[k[:-1]] += 1
+        below[k][0] += not kids[k]
+        below[k][1] += (len(nodes[k]) - 1) * len(k[-1][1].encode()) if k else 0
+        if k:
+            below[k[:-1]][0] += below[k][0]
+            below[k[:-1]][1] += below[k][1]
+    out = []
+    for k, members in nodes.items():
+        ends = ",".join(str(c) for c in sorted(members) if len(convs[c]) == len(k))
+        out.append((min(members), len(k), min(nodes[k[:-1]]) if k else None, len(members), kids[k], *below[k],
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def got(turns, **options):
+    nodes, ends = T.trie(turns, **options)
+    out = nodes.join(T.digests(ends, chunk=3), T.KEY, "left").collect()
+    none = hashlib.sha256(b"").hexdigest()
+    return sorted(((r.conv_id, r.depth, r.parent_conv_id, r.n_convs, r.n_children, r.n_leaves, r.saved_tokens, r.sha256 or none) for r in out), key=repr)
+
+
+def forest(seed, n, longest):
+    """Conversations of many shapes: shared beginnings, chains, copies, one very long one."""
+    rnd = random.Random(seed)
+    rows = []
+    for c in range(n):
+        size = rnd.choice([0, 1, 2, 3, 6, 10]) if c % 17 else longest
+        rows += [(c, t, rnd.choice(["user", "bot"]) if t else "user", "hé" * rnd.randint(0, 2)) for t in range(size)]
+    return rows
+
+
+def test_queue_spills_and_keeps_order():
+    rnd = random.Random(1)
+    q, kept = T.SpillingQueue(7), []
+    for _ in range(3000):
+        if kept and rnd.random() < 0.45:
+            kept.sort()
+            assert q.first() == kept[0] and q.take() == kept.pop(0)
+        else:
+            x = (rnd.randrange(40), rnd.randrange(40))
+            q.put(x)
+            kept.append(x)
+    assert [q.take() for _ in kept] == sorted(kept) and q.first() is None
+
+
+@pytest.mark.parametrize("light,block,queue", [(15, 8, 4), (20_000, 1024, 100_000)])
+def test_against_brute_force(spark, light, block, queue):
+    rows = forest(light, 60, 70)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert got(df, regroup=(5, 9), light=light, block=block, queue=queue) == brute(rebuilt(rows))
+    convs = {}
+    for c, _, r, x in rows:
+        convs.setdefault(c, []).append((r, x))
+    assert got(df, light=light, block=block, queue=queue) == brute(convs)
+
+
+def test_snapshots_of_one_growing_conversation(spark):
+    rows = [(c, t, "user", f"t{t}") for c in range(25) for t in range(c)] + [(100 + c, t, "user", f"t{t}") for c in range(3) for t in range(24)]
+    convs = {c: [("user", f"t{t}") for t in range(c if c < 100 else 24)] for c in [*range(1, 25), 100, 101, 102]}
+    assert got(spark.createDataFrame(rows, SCHEMA), light=10, block=4, queue=2) == brute(convs)
+
+
+def test_edge_rows(spark):
+    rows = [(1, None, "user", "a"), (1, 0, None, None), (1, 0, "", ""), (1, 0, "x", None), (None, 3, "user", "lost"), (6, 5, "user", "b" * 200_000),
+            (6, 5, "user", "b" * 200_000), (7, 1, "user", "a"), (10, 0, "u", "ab"), (11, 0, "ua", "b"), (-3, 0, "user", "n"), (-5, 0, "user", "m")]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], SCHEMA + ", depth int, k1 int")
+    assert got(df, regroup=(5, 9)) == brute(rebuilt(rows))
+    assert got(df.where("conv_id = 99"), regroup=(5, 9)) == []
+    assert got(df.where("conv_id IS NULL")) == []
+
+
+def test_positions_go_on_over_ranges(spark):
+    rows = [(c, t % 50, "user", str(t)) for c, n in ((1, 300), (2, 5), (3, 1)) for t in range(n)]
+    placed, lengths = T.ordered_turns(Scratch(spark, "t"), spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert {r.conv_id: r.n for r in lengths.collect()} == {1: 300, 2: 5, 3: 1}
+    assert sorted(r.pos for r in placed.where("conv_id = 1").collect()) == list(range(1, 301))
+
+
+def test_query_against_its_sql(spark, duck):
+    path = "/root/testdata/sf0.001"
+    sql = queries.oracle_sql()["op12_conversation_prefix_trie"]
+    names = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    for df, out in ((spark.read.parquet(f"{path}/conversations.parquet"), queries.op12_conversation_prefix_trie(spark, path)),):
+        mine = sorted((tuple(r[c] for c in names) for r in out.collect()), key=repr)
+        assert mine == sorted(duck(sql, conversations=df).fetchall(), key=repr)
+    rows = [r for r in forest(9, 40, 20)]
+    theirs = duck(sql, conversations=spark.createDataFrame(rows, SCHEMA)).fetchall()
+    assert sorted(theirs, key=repr) == brute(rebuilt(rows))

@@ -18,6 +18,7 @@ from tidepool.llm import language_id as language_id_
 from tidepool.llm import license_scan as license_scan_
 from tidepool.llm import line_dedup as line_dedup_
 from tidepool.llm import packing as packing_
+from tidepool.llm import prefix_trie as prefix_trie_
 from tidepool.llm import quality_classifier as quality_classifier_
 from tidepool.llm import quality_rules as quality_rules_
 from tidepool.llm import simhash as simhash_
@@ -82,6 +83,13 @@ def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup_.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, ends = prefix_trie_.trie(table(spark, sf_dir, "conversations"), regroup=(5, 9))
+    out = nodes.join(prefix_trie_.digests(ends), prefix_trie_.KEY, "left")
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                      F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
     return alignment_.align(table(spark, sf_dir, "documents"), derive={"groups_sha256": digest})
@@ -94,7 +102,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_packing, op2_line_dedup, op3_url_filters, op4_token_counts, op5_license_scans, op6_quality_classifier, op7_language_id, op8_quality_rules,
     op9_simhash_near_dedup,
-    op10_benchmark_decontamination, op11_embedding_near_dedup, op13_cross_tokenizer_alignment, pipeline]
+    op10_benchmark_decontamination, op11_embedding_near_dedup,
+    op12_conversation_prefix_trie, op13_cross_tokenizer_alignment, pipeline]
 _WORDINGS = ",\n         ".join(f"('{name}', '{text}')" for name, texts in license_scan_.TEMPLATES.items() for text in texts)
 ORACLES: dict[str, str] = {
     "op2_line_dedup": r"""
@@ -123,6 +132,32 @@ c AS (SELECT doc_id, name, max(len(list_intersect(s.sh, t.sh)) / len(t.sh)) AS c
 SELECT doc_id, coalesce(string_agg(name, ',' ORDER BY name) FILTER (WHERE c >= 0.8), '') AS licenses,
        CASE WHEN max(c) >= 0.8 THEN max(c) END AS containment
 FROM c GROUP BY doc_id
+""",
+    # Prefixes as lists of turns; a leaf or a node's saving counts for every prefix of its owner's path to it.
+    "op12_conversation_prefix_trie": """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY pos) AS turns FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                                 lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 9 AS h
+      FROM l),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.turns[:h.h], []), h.turns[h.h + 1:]) AS turns
+      FROM h LEFT JOIN l b ON b.conv_id = h.conv_id - h.conv_id % 5),
+p AS (SELECT conv_id, d AS depth, turns[:d] AS prefix, len(turns) AS n FROM r, unnest(range(len(turns) + 1)) AS u(d)),
+g AS (SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '') AS ends
+      FROM p GROUP BY prefix, depth),
+k AS (SELECT prefix[:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY ALL),
+n AS (SELECT g.*, coalesce(k.n_children, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(prefix[depth].text) ELSE 0 END AS saved
+      FROM g LEFT JOIN k USING (prefix, depth)),
+s AS (SELECT prefix[:d] AS prefix, d AS depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+      FROM n, unnest(range(depth + 1)) AS u(d) GROUP BY ALL)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN s USING (prefix, depth) LEFT JOIN g q ON q.depth = n.depth - 1 AND q.prefix = n.prefix[:n.depth - 1]
 """,
     "op11_embedding_near_dedup": """
 WITH RECURSIVE v AS (
