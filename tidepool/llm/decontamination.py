@@ -53,6 +53,7 @@ _ODD = np.array([2 * i + 1 for i in range(64)], np.uint64) * np.uint64(0x9E3779B
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _PROBES = (0, 17, 34)
 _PAGE = 32768  # bits of one bitmap row
+BLOCK = 1 << 16  # words that are hashed at a time, of many documents or a part of one
 
 
 class Hashes(dict):
@@ -197,6 +198,26 @@ def filter_bitmap(hashes: DataFrame, filter_bits: int) -> np.ndarray:
     return out
 
 
+def hits_in(w: np.ndarray, ends: np.ndarray, masks: list[str], span: int, filter_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash), by place, of the windows of documents laid end to end (one
+    ends before each of `ends`) that may be in the filter. A stretch of BLOCK
+    places is looked at in one go, however many documents it holds."""
+    at, hs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for lo in range(0, len(w), BLOCK):
+        part = w[lo:lo + BLOCK + span - 1]
+        at_place = places(part, span)
+        for m in masks:
+            h = seeds(at_place, m)[:BLOCK]
+            found = _set(filter_, h)
+            begin = found + lo
+            inside = np.searchsorted(ends, begin, "right") == np.searchsorted(ends, begin + len(m) - 1, "right")
+            at.append(begin[inside])
+            hs.append(h[found[inside]])
+    at, hs = np.concatenate(at), np.concatenate(hs)
+    order = np.argsort(at, kind="stable")
+    return at[order], hs[order].view(np.int64)
+
+
 def spans(docs: DataFrame, bits: np.ndarray, masks: list[str], around: int) -> DataFrame:
     """(d1, d2, first, words, hits) from docs (d1, d2, text): stretches of a
     document with possible hits (h, at), their words from word `first` on."""
@@ -206,31 +227,35 @@ def spans(docs: DataFrame, bits: np.ndarray, masks: list[str], around: int) -> D
     schema = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("first", pa.int64()),
                         ("words", pa.list_(pa.int64())), ("hits", pa.list_(hit))])
 
+    def found_in(block: list[tuple[int, int, np.ndarray]], filter_: np.ndarray) -> pa.RecordBatch:
+        w = np.concatenate([x[2] for x in block])
+        ends = np.cumsum([len(x[2]) for x in block])
+        at, hs = hits_in(w, ends, masks, span, filter_)
+        doc = np.searchsorted(ends, at, "right")
+        rows = []
+        for part in np.split(np.arange(len(at)), np.flatnonzero((np.diff(at) > 2 * around) | (np.diff(doc) > 0)) + 1):
+            if not len(part):
+                continue
+            d1, d2, own = block[doc[part[0]]]
+            base = int(ends[doc[part[0]]]) - len(own)
+            first = max(0, int(at[part[0]]) - base - around)
+            last = int(at[part[-1]]) - base + span + around
+            rows.append((d1, d2, first, own[first:last].view(np.int64),
+                         [{"h": int(h), "at": int(a) - base} for h, a in zip(hs[part], at[part])]))
+        columns = list(zip(*rows)) or [[]] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_, hashes = shared.value, Hashes()
+        filter_, hashes, block, size = shared.value, Hashes(), [], 0
         for b in batches:
-            rows = []
             for d1, d2, text in zip(b.column("d1").to_pylist(), b.column("d2").to_pylist(), b.column("text")):
-                w = words(text.as_py(), hashes)
-                at, hs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-                at_place = places(w, span)
-                for m in masks:
-                    h = seeds(at_place, m)
-                    found = _set(filter_, h)
-                    at.append(found)
-                    hs.append(h[found])
-                at, hs = np.concatenate(at), np.concatenate(hs)
-                if not len(at):
-                    continue
-                order = np.argsort(at, kind="stable")
-                at, hs = at[order], hs[order].view(np.int64)
-                for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > 2 * around) + 1):
-                    first = max(0, int(at[part[0]]) - around)
-                    last = int(at[part[-1]]) + span + around
-                    rows.append((d1, d2, first, w[first:last].view(np.int64),
-                                 [{"h": int(h), "at": int(a)} for h, a in zip(hs[part], at[part])]))
-            columns = list(zip(*rows)) or [[]] * len(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                block.append((d1, d2, words(text.as_py(), hashes)))
+                size += len(block[-1][2])
+                if size >= BLOCK:
+                    yield found_in(block, filter_)
+                    block, size = [], 0
+        if block:
+            yield found_in(block, filter_)
 
     return docs.mapInArrow(run, "d1 bigint, d2 bigint, first bigint, words array<bigint>, hits array<struct<h:bigint,at:bigint>>")
 
@@ -267,6 +292,9 @@ def contaminated(scratch: Scratch, docs: DataFrame, benchmark: DataFrame, overla
 
     scored = (aligned.join(items.select("item", "ids", F.col("words").alias("item_words")), "item")
               .join(found.drop("hits"), ["d1", "d2", "first"])
+              # Only the words that the item lies against go on.
+              .select("d1", "d2", "ids", "item_words", F.least("shift", F.lit(0)).alias("shift"),
+                      F.slice("words", F.greatest("shift", F.lit(0)) + 1, F.greatest(F.lit(0), F.size("item_words") + F.least("shift", F.lit(0)))).alias("words"))
               .select("d1", "d2", "ids", agreement("item_words", "words", "shift").alias("agreement"))
               .where(F.col("agreement") >= agree))
     best = (scored.select("d1", "d2", F.explode("ids").alias("id"), "agreement")

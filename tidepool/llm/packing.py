@@ -9,7 +9,7 @@ The counts are one array over the levels. That rule keeps the levels of open
 windows spread out, so that most later items find a window they complete.
 
 Windows still open at the end of a task, or beyond `max_open` (a bound on
-memory), are recut: their contents are laid end to end and cut at window
+memory: max_open windows of ids, four bytes each), are recut: their contents are laid end to end and cut at window
 lengths. A task's very last, partial window is cut at powers of two, lengths
 that need no padding.
 
@@ -58,7 +58,7 @@ class Packer:
         for start in range(0, whole, self.size):
             self._emit([(doc_id, start, ids[start:start + self.size], n)])
         if n > whole:
-            self._place((doc_id, whole, ids[whole:], n))
+            self._place((doc_id, whole, ids[whole:].copy(), n))  # a view would keep the whole document
             if self.n_open > self.max_open:
                 self._recut(last=False)
 
