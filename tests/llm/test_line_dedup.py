@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -43,6 +44,18 @@ def test_equals_brute_force(spark, batches, fan_in):
     assert line_dedup.dedup_lines(df.where("d1 = 2")).count() == 0
 
 
+def test_cut_is_linear_in_the_dropped_lines(spark):
+    def seconds(n):
+        df = spark.createDataFrame([(i, "\n".join(f"shared {k}" for k in range(n)) + f"\nown {i}") for i in range(10)], "doc_id bigint, text string")
+        begin = time.perf_counter()
+        out = line_dedup.dedup_lines(df, min_docs=10).agg({"n_dropped": "sum"}).first()[0]
+        assert out == 10 * n
+        return time.perf_counter() - begin
+
+    seconds(2000)
+    assert seconds(200_000) <= 12 * seconds(20_000)
+
+
 def test_runs_are_levelled_and_settled_hashes_stop_growing(spark):
     runs = line_dedup.LineRuns(Scratch(spark, "t"), min_docs=3, fan_in=2)
     hot = [(1, 1)] * 3

@@ -17,7 +17,8 @@ A line's key is the line without ASCII white space at its ends and with A-Z
 lower-cased. Keys shorter than `min_chars` code points are always kept.
 
 Defined results: a null or empty text is one empty line (a null text stays
-null); repeated rows count as documents of their own, as ids need not be
+null); texts of any length are whole, and cut in time linear in their lines;
+repeated rows count as documents of their own, as ids need not be
 unique or set; an empty table gives no rows; further columns are passed
 through, except that n_lines and n_dropped are replaced if present.
 """
@@ -46,6 +47,23 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _entries(keys: Column) -> Column:
+    """(line, pos, counts): every line with its position, of which each distinct
+    one counts once. A text without repeated lines needs no further entries for that."""
+    once = F.array_distinct(keys)
+    yes, no, nowhere = F.lit(True), F.lit(False), F.lit(None).cast("int")
+    entry = lambda line, pos, counts: F.struct(line.alias("line"), pos.alias("pos"), counts.alias("counts"))
+    return F.when(F.size(once) == F.size(keys), F.transform(keys, lambda x, i: entry(x, i, yes))).otherwise(
+        F.concat(F.transform(once, lambda x: entry(x, nowhere, yes)), F.transform(keys, lambda x, i: entry(x, i, no))))
+
+
+def _without(lines: Column, dropped: Column) -> Column:
+    """lines without those at the positions `dropped`, by a set of integers and
+    look-ups by position: linear in the lines (a slice would copy all of them)."""
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dropped)
+    return F.transform(kept, lambda i: F.get(lines, i))
+
+
 class LineRuns:
     """Levelled runs of line hashes in the scratch folder."""
 
@@ -109,29 +127,26 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
     scratch = Scratch(docs.sparkSession, "lines")
     text = F.coalesce(F.col(text_col), F.lit(""))
     by_text = {"d1": F.xxhash64(text), "d2": F.xxhash64(F.lit(1), text)}
-    hashed = (docs.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(batches)).alias("batch"),
-                          *[c.alias(k) for k, c in by_text.items()],
-                          F.explode(F.array_distinct(_keys(_lines(_lower(text))))).alias("line"))
-              .where(F.length("line") >= max(1, min_chars))
-              .select("batch", "d1", "d2", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")))
+    # The text is hashed below the explode: beside it, it would be hashed for every line.
+    entries = docs.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(batches)).alias("batch"), *[c.alias(k) for k, c in by_text.items()],
+                          _entries(_keys(_lines(_lower(text)))).alias("entries"))
+    hashed = (entries.select("batch", *by_text, F.explode("entries").alias("e")).where(F.length("e.line") >= max(1, min_chars))
+              .select("batch", *by_text, "e.pos", "e.counts", F.xxhash64("e.line").alias("h1"), F.xxhash64(F.lit(1), "e.line").alias("h2")))
     lines = scratch.write(hashed, "lines", ["batch"])
 
     runs = LineRuns(scratch, min_docs, fan_in)
     for b in range(batches):
-        runs.add(lines.where(F.col("batch") == b).select("h1", "h2"))
+        runs.add(lines.where((F.col("batch") == b) & F.col("counts")).select("h1", "h2"))
     drop = runs.compact()
 
-    hits = scratch.write(lines.join(drop, ["h1", "h2"], "left_semi")
-                         .groupBy("d1", "d2").agg(F.collect_set("h1").alias("hits")), "hits")
+    hits = scratch.write(lines.where("pos IS NOT NULL").join(drop, ["h1", "h2"], "left_semi")
+                         .groupBy("d1", "d2").agg(F.sort_array(F.collect_set("pos")).alias("hits")), "hits")
     scratch.drop(lines)
 
     row = docs.select(F.struct("*").alias("row"), text.alias("text"), *[c.alias(k) for k, c in by_text.items()])
-    joined = row.join(hits, ["d1", "d2"], "left")
-    all_lines = _lines(F.col("text"))
-    kept = F.filter(all_lines, lambda x: ~F.array_contains(
-        F.col("hits"), F.xxhash64(F.btrim(_lower(x), F.lit(SPACE)))))
-    cut = joined.select("row", F.size(all_lines).cast("bigint").alias("n_lines"),
-                        F.when(F.col("hits").isNotNull(), kept).alias("kept"))
+    joined = row.join(hits, ["d1", "d2"], "left").select("row", "hits", _lines(F.col("text")).alias("lines"))
+    cut = joined.select("row", F.size("lines").cast("bigint").alias("n_lines"),
+                        F.when(F.col("hits").isNotNull(), _without(F.col("lines"), F.col("hits"))).alias("kept"))
     out = cut.select("row.*", F.struct(
         F.when(F.col("kept").isNull(), F.col(f"row.`{text_col}`")).otherwise(F.array_join("kept", "\n")).alias("text"),
         "n_lines", F.coalesce(F.col("n_lines") - F.size("kept"), F.lit(0)).cast("bigint").alias("n_dropped")).alias("__cut"))
