@@ -59,3 +59,9 @@ def test_json_int_field_matches_json_parse(spark):
                     F.get_json_object("props", "$.k").try_cast("bigint").alias("g")).collect()
     assert [r["h"] for r in got] == [r["g"] for r in got]
     assert [r["h"] for r in got][:4] == [5, 7, -3, 9]
+
+
+def test_text_checks_take_the_whole_text(spark):
+    got = spark.createDataFrame([("ab",), ("ab\n",), ("12",), ("12\n",), ("",)], "c STRING").select(
+        X.printable_ascii("c").alias("p"), X.digits_only("c").alias("d")).collect()
+    assert [(r.p, r.d) for r in got] == [(True, False), (False, False), (True, True), (False, False), (True, False)]

@@ -216,3 +216,51 @@ def test_collapse_gives_the_same_result_and_steps_read_the_cache(spark):
         plan = M.step_frame(wp, SEEDS)._jdf.queryExecution().executedPlan().toString()
         wp.unpersist()
         assert "InMemoryTableScan" in plan and "Coalesce" not in plan
+
+
+def test_bounds_change_nothing_and_save_distances(spark):
+    rnd = random.Random(11)
+    pts = [(rnd.gauss(cx, 6), rnd.gauss(cy, 6)) for cx, cy in ((0, 0), (60, 0), (0, 60), (60, 60)) for _ in range(150)]
+    pts += [(30.0, 30.0)] * 40 + [(30.0, 0.0)] * 10  # ties while the centres are symmetric
+    df = spark.createDataFrame(pts, "x DOUBLE, y DOUBLE")
+    seeds = [(0, -5.0, 3.0), (1, 20.0, 20.0), (2, 5.0, 40.0), (3, 55.0, 35.0), (4, 900.0, 900.0)]
+    res = M.run_kmeans(df, seeds_df(spark, seeds), 25)
+    cur, steps = list(seeds), 0
+    for _ in range(25):
+        new = brute_step(pts, cur)
+        steps += 1
+        got = [h for h in res.history if h[0] == steps - 1]
+        assert [h[1] for h in got] == [c[0] for c in new]
+        assert all(abs(h[2] - c[1]) < 1e-9 and abs(h[3] - c[2]) < 1e-9 for h, c in zip(got, new))
+        if M.has_converged(cur, new, M.DEFAULT_TOL):
+            break
+        cur = new
+    assert (res.iterations, res.converged) == (steps, True)
+    assert len(res.compared) == steps and res.compared[0] == len(pts)
+    assert min(res.compared) < len(pts) / 3 and sum(res.compared) < 0.8 * steps * len(pts)
+
+
+def test_bounds_with_one_centre_and_with_ties(spark):
+    df = spark.createDataFrame([(0, 0), (2, 0), (4, 0)] * 5, PTS)
+    one = M.run_kmeans(df, seeds_df(spark, [(7, 1.0, 1.0)]), 4, tol=None)
+    assert one.centres == [(7, 2.0, 0.0)]
+    tie = M.run_kmeans(df, seeds_df(spark, [(3, 0.0, 0.0), (1, 4.0, 0.0)]), 1, tol=None)
+    assert [h[1:] for h in tie.history] == [(1, 3.0, 0.0, 10), (3, 0.0, 0.0, 5)]
+
+
+def test_grid_equals_all_distances(spark):
+    from tidepool.operators import grid
+    rnd = random.Random(4)
+    pts = [(rnd.choice([rnd.randint(-20, 20), rnd.gauss(0, 300)]), float(rnd.randint(-20, 20))) for _ in range(400)]
+    odd = [(None, 1.0), (float("nan"), 1.0), (float("inf"), 0.0)]
+    for centres in ([(5, 1.0, 1.0)], [(i, float(rnd.randint(-20, 20)), float(rnd.randint(-20, 20))) for i in range(300)],
+                    [(i, 0.0, float(i % 7)) for i in range(40)]):
+        df = spark.createDataFrame([(float(x) if x is not None else None, y) for x, y in pts + odd], "x DOUBLE, y DOUBLE")
+        out = grid.with_nearest(df, centres).collect()
+        assert len(out) == len(pts)
+        for r in out:
+            best = min((math.sqrt((r.x - cx) * (r.x - cx) + (r.y - cy) * (r.y - cy)), i) for i, cx, cy in centres)
+            assert (r.nearest.dist, r.nearest.id) == best
+    assert grid.with_nearest(df.where("x > 1e9 and x < 1e10"), [(0, 1.0, 1.0)]).count() == 0
+    with pytest.raises(ValueError):
+        grid.with_nearest(df, [])

@@ -12,8 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed patterns (Java ``String.matches`` semantics: whole-string match).
-PRINTABLE_ASCII = r"^[\x20-\x7E]*$"
-DIGITS_ONLY = r"^\d+$"
+# \A and \z, as $ also matches before a line end that closes the text.
+PRINTABLE_ASCII = r"\A[\x20-\x7E]*\z"
+DIGITS_ONLY = r"\A\d+\z"
 
 
 def _c(c) -> Column:
@@ -103,24 +104,52 @@ def _num(v: float) -> str:
     return f"CAST('{float(v)!r}' AS DOUBLE)"
 
 
+def _distances(x: str, y: str, centres: Sequence[tuple[int, float, float]]) -> list[tuple[int, str, str, str]]:
+    """(id, x, y, distance) of each centre as SQL text, by id. Raises on an empty list."""
+    if not centres:
+        raise ValueError("nearest_centre needs at least one centre")
+    out = []
+    for cid, cx, cy in sorted(centres, key=lambda t: t[0]):
+        a, b = _num(cx), _num(cy)
+        out.append((int(cid), a, b, f"sqrt((`{x}` - {a}) * (`{x}` - {a}) + (`{y}` - {b}) * (`{y}` - {b}))"))
+    return out
+
+
+def _least(parts: list[str]) -> str:
+    return f"least({', '.join(parts)})" if len(parts) > 1 else parts[0]
+
+
 def nearest_centre(x: str, y: str, centres: Sequence[tuple[int, float, float]]) -> Column:
     """The nearest centre as a struct (dist, id, x, y), lowest id on ties.
 
-    ``centres`` is the (driver-known) centroid list, one constant array of the
-    plan; ``array_min`` over (dist, id, ..) structs takes the least distance
-    and then the least id, in one form for any number of centres. Emitted as
-    one SQL text: one parse instead of many client round trips per k-means
-    step. Raises on an empty list.
+    ``centres`` is the (driver-known) centroid list; ``least`` over (dist, id,
+    ..) structs takes the least distance and then the least id. It is compiled,
+    whatever the number of centres; for thousands of them use
+    ``tidepool.operators.grid``. Emitted as one SQL text: one parse instead of
+    many client round trips per k-means step. Raises on an empty list.
     """
-    if not centres:
-        raise ValueError("nearest_centre needs at least one centre")
-    arr = ", ".join(f"named_struct('id', {int(cid)}, 'x', {_num(cx)}, 'y', {_num(cy)})"
-                    for cid, cx, cy in sorted(centres, key=lambda t: t[0]))
-    gap = f"(`{x}` - c.x) * (`{x}` - c.x) + (`{y}` - c.y) * (`{y}` - c.y)"
-    return F.expr(f"array_min(transform(array({arr}), "
-                  f"c -> named_struct('dist', sqrt({gap}), 'id', c.id, 'x', c.x, 'y', c.y)))")
+    return F.expr(_least([f"named_struct('dist', {d}, 'id', {cid}, 'x', {a}, 'y', {b})"
+                          for cid, a, b, d in _distances(x, y, centres)]))
 
 
 def nearest_centre_id(x: str, y: str, centres: Sequence[tuple[int, float, float]]) -> Column:
     """Id of the nearest centre, lowest id on ties."""
-    return nearest_centre(x, y, centres)["id"]
+    return F.expr(_least([f"named_struct('dist', {d}, 'id', {cid})" for cid, _, _, d in _distances(x, y, centres)]))["id"]
+
+
+def distance_to(id_col: str, x: str, y: str, centres: Sequence[tuple[int, float, float]]) -> Column:
+    """Distance to the centre named by ``id_col``."""
+    cases = " ".join(f"WHEN {cid} THEN {d}" for cid, _, _, d in _distances(x, y, centres))
+    return F.expr(f"CASE `{id_col}` {cases} END")
+
+
+def distance_to_others(id_col: str, x: str, y: str, centres: Sequence[tuple[int, float, float]]) -> Column:
+    """Least distance to a centre other than ``id_col``; infinite if there is none."""
+    far = "CAST('Infinity' AS DOUBLE)"
+    return F.expr(_least([f"if(`{id_col}` = {cid}, {far}, {d})" for cid, _, _, d in _distances(x, y, centres)]))
+
+
+def by_id(id_col: str, values: dict[int, float]) -> Column:
+    """The value that belongs to ``id_col``, as a double."""
+    cases = " ".join(f"WHEN {int(k)} THEN {_num(v)}" for k, v in sorted(values.items()))
+    return F.expr(f"CASE `{id_col}` {cases} END")

@@ -1,7 +1,7 @@
 """Two-dimensional k-means (M1-M7).
 
 Shape of every step: each point picks its nearest centre with one
-``array_min`` over the k current centres, a constant of the plan (a
+``least`` over the k current centres, constants of the plan (a
 projection -- no join, no shuffle of points); a ``groupBy(id)`` with sum/count
 gives the new means. Partial aggregation leaves at most k rows per map task,
 so the shuffle per step is k x tasks rows however skewed the clusters are.
@@ -13,6 +13,15 @@ equal points into one with a weight ``w``, which pays where coordinates repeat
 heavily; its shuffle is cut off by a checkpoint in the shared folder
 (``spark.checkpoint.dir``), which is what is then persisted and read.
 
+The loop skips most distances by exact bounds. At an anchor step every point is
+compared with every centre and kept (persisted, straight from the points) with
+its centre, the distance u to it and the distance l to the next one. When the
+centres have since drifted by m(id), its centre is at most u + m(id) away and any
+other at least l - max m(others); only points for which these cross are compared
+again. When more than ``REANCHOR`` of the points were, the next step is an
+anchor. Results are those of comparing everything, ties included: bounds must
+clear each other by more than rounding.
+
 Rules (fixed by the reference's intent):
 * centre ids are the seed positions and stay stable across steps;
 * ties go to the lowest id;
@@ -84,10 +93,66 @@ def _step_sums(wpoints: DataFrame, centres: Centres) -> DataFrame:
     (id, sx, sy, n) -- one projection and one partially aggregated
     ``groupBy``."""
     near = X.nearest_centre_id("x", "y", centres)
-    return wpoints.select(near.alias("id"), "x", "y", "w").groupBy("id").agg(
+    return _sums(wpoints.select(near.alias("id"), "x", "y", "w", F.lit(True).alias("again")))
+
+
+def _sums(assigned: DataFrame) -> DataFrame:
+    """(id, sx, sy, n, compared) from (id, x, y, w, again): compared counts the
+    rows whose distances were computed."""
+    return assigned.groupBy("id").agg(
         F.sum(F.col("x") * F.col("w")).alias("sx"),
         F.sum(F.col("y") * F.col("w")).alias("sy"),
-        F.sum("w").alias("n"))
+        F.sum("w").alias("n"), F.count_if("again").alias("compared"))
+
+
+#: Share of compared rows above which the next step compares, and keeps, all.
+REANCHOR = 0.25
+#: Bounds must be apart by this share of their size, far above a distance's rounding.
+SLACK = 1e-9
+
+
+class BoundedSteps:
+    """The assignments of successive centre sets to the same points."""
+
+    def __init__(self, wpoints: DataFrame):
+        self._points, self._kept, self._from, self._due = wpoints, None, [], True
+        self.compared: list[int] = []  # rows whose distances were computed, per step
+        self._rows = 0
+
+    def sums(self, centres: Centres) -> list:
+        """Rows (id, sx, sy, n, compared), one per centre that has points."""
+        ids = [c[0] for c in centres]
+        if self._due or ids != [c[0] for c in self._from]:
+            self._anchor(centres)
+            moved = self._kept.select("id", "x", "y", "w", F.lit(True).alias("again"))
+        else:
+            moved = self._moved(centres)
+        rows = _sums(moved).collect()  # at most k rows
+        self.compared.append(sum(r["compared"] for r in rows))
+        self._rows = max(self._rows, self.compared[-1])
+        self._due = len(self.compared) > 1 and self._from is not centres and self.compared[-1] > REANCHOR * self._rows
+        return rows
+
+    def _anchor(self, centres: Centres) -> None:
+        self.close()
+        near = self._points.select("x", "y", "w", X.nearest_centre_id("x", "y", centres).alias("id"))
+        self._kept = near.withColumns({"u": X.distance_to("id", "x", "y", centres),
+                                       "l": X.distance_to_others("id", "x", "y", centres)}).persist()
+        self._from, self._due = centres, False
+
+    def _moved(self, centres: Centres) -> DataFrame:
+        drift = {cid: d for cid, d in shifts(self._from, centres).items()}
+        others = {cid: max((d for o, d in drift.items() if o != cid), default=0.0) for cid in drift}
+        upper, lower = F.col("u") + X.by_id("id", drift), F.col("l") - X.by_id("id", others)
+        again = ~(upper * (1 + SLACK) < lower * (1 - SLACK))
+        near = X.nearest_centre_id("x", "y", centres)
+        return (self._kept.withColumn("again", again)
+                .select(F.when(F.col("again"), near).otherwise(F.col("id")).alias("id"), "x", "y", "w", "again"))
+
+    def close(self) -> None:
+        if self._kept is not None:
+            self._kept.unpersist()
+            self._kept = None
 
 
 def step_frame(wpoints: DataFrame, centres: Centres) -> DataFrame:
@@ -99,11 +164,11 @@ def step_frame(wpoints: DataFrame, centres: Centres) -> DataFrame:
         F.col("n").cast("bigint").alias("n"))
 
 
-def _step(wpoints: DataFrame, centres: Centres, empty: str) -> list:
+def _step(steps: BoundedSteps, centres: Centres, empty: str) -> list:
     """Run one step; the k result rows come to the driver, where the means
     are the same IEEE divisions Spark would do (float(sum) / float(n))."""
     new = {}
-    for r in _step_sums(wpoints, centres).collect():  # at most k rows
+    for r in steps.sums(centres):
         cid, n = int(r["id"]), int(r["n"])
         new[cid] = (cid, float(r["sx"]) / float(n), float(r["sy"]) / float(n), n)
     if empty == "keep":
@@ -137,6 +202,7 @@ class KMeansResult:
     iterations: int                    # steps executed
     converged: bool
     history: list = field(default_factory=list)  # [(iteration, id, x, y, n)]
+    compared: list = field(default_factory=list, compare=False)  # rows compared with all centres, per step
 
 
 def run_kmeans(points: DataFrame, seeds: DataFrame, max_steps: int,
@@ -147,10 +213,11 @@ def run_kmeans(points: DataFrame, seeds: DataFrame, max_steps: int,
         raise ValueError("empty must be 'drop' or 'keep'")
     cur = centres_of(seeds)
     wp = prepare_points(points, collapse)
+    bounded = BoundedSteps(wp)
     history, converged, steps = [], False, 0
     try:
         for i in range(int(max_steps)):
-            new4 = _step(wp, cur, empty)
+            new4 = _step(bounded, cur, empty)
             steps = i + 1
             history.extend((i, c[0], c[1], c[2], c[3]) for c in new4)
             new = [(c[0], c[1], c[2]) for c in new4]
@@ -161,8 +228,9 @@ def run_kmeans(points: DataFrame, seeds: DataFrame, max_steps: int,
             if not cur:
                 break
     finally:
+        bounded.close()
         wp.unpersist()
-    return KMeansResult(cur, steps, converged, history)
+    return KMeansResult(cur, steps, converged, history, bounded.compared)
 
 
 # --- the jobs ------------------------------------------------------------------
