@@ -45,6 +45,7 @@ def _tables(spark, base):
     loaders["access_log_text"] = lambda: loaders["access_log"]().select(F.col("what_page").cast("string").alias("what_page"))
     loaders["access_log_unowned"] = lambda: loaders["access_log"]().withColumn(
         "what_page", F.when(F.col("what_page") % 5 == 0, -F.col("what_page") - 1).otherwise(F.col("what_page")))
+    loaders["access_log_lines"] = lambda: V.lines_of(loaders["access_log"]())
     loaders["seeds"] = lambda: V.seeds(spark, P.SEEDS)
     return lambda name: loaders[name]()
 
@@ -54,6 +55,7 @@ def _views(base):
     views["access_log_text"] = "access_log_text AS (SELECT CAST(what_page AS VARCHAR) AS what_page " \
         f"FROM read_parquet('{base}/access_log/*.parquet'))"
     views["access_log_unowned"] = oracle.VIEWS["access_log_unowned"]
+    views["access_log_lines"] = oracle.VIEWS["access_log_lines"]
     views["reports"] = "reports AS (SELECT id, test FROM attendees WHERE test = 'sick')"
     return views
 

@@ -122,3 +122,18 @@ def test_empty_and_non_ascii_pages_are_not_counted(spark, tmp_dir):
                "4,1,７,Viewed Profile,2024-01-30 10:00:00\n")
     log = Rd.read_access_log(spark, p)
     assert rows(D.top_pages(log)) == [(2, 1)]
+
+
+def test_observed_rejects_count_in_the_jobs_own_pass(spark):
+    df = spark.createDataFrame([(1, 2), (None, 2), (None, None), (3, None), (4, 5)], "by_who BIGINT, what_page BIGINT")
+    clean, seen = Rd.observed_clean(df, ["by_who", "what_page"])
+    assert rows(clean.groupBy("by_who").count()) == [(1, 1), (4, 1)]
+    assert rows(Rd.reject_report(spark, seen)) == [("by_who", 2), ("clean", 2), ("what_page", 1)]
+    empty, seen = Rd.observed_clean(df.where("by_who = 9"), ["by_who", "what_page"])
+    assert empty.count() == 0 and {r.n for r in Rd.reject_report(spark, seen).collect()} == {0}
+
+
+def test_malformed_access_log_has_every_reason(spark):
+    from tidepool.plans import catalog
+    got = {r.reason: r.n for r in catalog.queries()["access_log_reject_reasons"](spark, "/root/testdata/sf0.001").collect()}
+    assert set(got) == {"clean", "by_who", "what_page"} and all(n > 0 for n in got.values())

@@ -2,7 +2,7 @@
 
 Each job is written once against a table accessor ``t(name)`` that returns
 a fresh DataFrame for one of the logical tables (people, friends,
-access_log, access_log_text, access_log_unowned, attendees, no_disclosure,
+access_log, access_log_text, access_log_unowned, access_log_lines, attendees, no_disclosure,
 reports, points, seeds).
 ``queries()`` binds the accessor to the views of the driver's parquet tables
 (``tidepool.sources.tables``), so every registered query reads and runs
@@ -15,12 +15,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepool.plans import health as H
 from tidepool.plans import kmeans as M
 from tidepool.plans import params as P
 from tidepool.plans import social as D
+from tidepool.operators import grid
 from tidepool.sources import readers as Rd
+from tidepool.sources import schemas as S
 from tidepool.sources import tables as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +41,23 @@ def _shift(t: Tables) -> DataFrame:
     return M.centroid_shift(t("seeds"), step, P.KMEANS_TOL)
 
 
+def _reject_reasons(t: Tables) -> DataFrame:
+    lines = Rd.typed_lines(t("access_log_lines"), S.ACCESS_LOG)
+    clean, seen = Rd.observed_clean(lines, Rd.REQUIRED["access_log"])
+    D.top_pages(clean, P.TOP_K).collect()  # the job whose pass does the counting: k rows
+    return Rd.reject_report(lines.sparkSession, seen)
+
+
+def _nearest_of_many(t: Tables) -> DataFrame:
+    """Per centre that is nearest to some point: the points and the greatest
+    distance. The centres are the most frequent places of the points."""
+    places = M.usable_points(t("points")).groupBy("x", "y").agg(F.count("*").alias("w"))
+    top = places.orderBy(F.desc("w"), "x", "y").limit(P.MANY_CENTRES).collect()
+    near = grid.with_nearest(places, [(i, float(r.x), float(r.y)) for i, r in enumerate(top)])
+    return near.groupBy("nearest.id").agg(F.any_value("nearest.x").alias("cx"), F.any_value("nearest.y").alias("cy"),
+                                          F.sum("w").alias("n"), F.max("nearest.dist").alias("farthest"))
+
+
 SOCIAL: dict[str, Job] = {
     "people_by_nationality": lambda t: D.people_by_nationality(t("people"), P.NATIONALITY),
     "top_pages": lambda t: D.top_pages(t("access_log"), P.TOP_K),
@@ -46,6 +66,7 @@ SOCIAL: dict[str, Job] = {
         t("access_log_unowned"), t("people"), P.TOP_K),
     "top_pages_text": lambda t: D.top_pages_text(t("access_log_text"), P.TOP_K),
     "access_log_rejects": lambda t: Rd.reject_count(t("access_log"), Rd.REQUIRED["access_log"]),
+    "access_log_reject_reasons": _reject_reasons,
     "people_per_country_code": lambda t: D.people_per_country_code(t("people")),
     "people_per_nationality": lambda t: D.people_per_nationality(t("people")),
     "connectedness": lambda t: D.connectedness(t("people"), t("friends")),
@@ -86,6 +107,7 @@ KMEANS: dict[str, Job] = {
         t("points"), t("seeds"), P.KMEANS_MAX_STEPS, P.KMEANS_TOL),
     "kmeans_assignments": _assignments,
     "centroid_shift": _shift,
+    "nearest_of_many": _nearest_of_many,
 }
 
 JOBS: dict[str, Job] = {**SOCIAL, **HEALTH, **KMEANS}
@@ -98,6 +120,7 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
         "access_log": lambda: V.access_log(spark, sf_dir),
         "access_log_text": lambda: V.access_log_text(spark, sf_dir),
         "access_log_unowned": lambda: V.access_log_unowned(spark, sf_dir),
+        "access_log_lines": lambda: V.access_log_lines(spark, sf_dir),
         "attendees": lambda: V.attendees(spark, sf_dir),
         "no_disclosure": lambda: V.attendees_no_disclosure(spark, sf_dir),
         "reports": lambda: V.reports(spark, sf_dir),

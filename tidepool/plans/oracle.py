@@ -36,6 +36,12 @@ VIEWS = {
     "access_log_unowned": """access_log_unowned AS (
   SELECT * REPLACE (CASE WHEN what_page % 5 = 0 THEN -what_page - 1 ELSE what_page END AS what_page)
   FROM access_log)""",
+    "access_log_lines": """access_log_lines AS (
+  SELECT CASE WHEN access_id % 13 = 7 THEN short
+              ELSE short || ',' || CASE WHEN what_page % 7 = 5 THEN '' ELSE coalesce(CAST(what_page AS VARCHAR), '') END
+                         || ',' || coalesce(type_of_access, '') END AS value
+  FROM (SELECT *, coalesce(CAST(access_id AS VARCHAR), '') || ',' || CASE WHEN by_who % 11 = 3 THEN 'user' ELSE '' END
+               || coalesce(CAST(by_who AS VARCHAR), '') AS short FROM access_log))""",
     "reports": """reports AS (
   SELECT CAST(event_id AS BIGINT) AS id, CASE WHEN value > 200 THEN 'sick' ELSE 'recovered' END AS test
   FROM events WHERE event_type = 'error')""",
@@ -95,6 +101,12 @@ def social_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
         f"GROUP BY what_page ORDER BY access_count DESC, what_page ASC LIMIT {k}"))
     q["access_log_rejects"] = with_views(views, ["access_log"], body=(
         "SELECT count(*) AS rejected FROM access_log WHERE by_who IS NULL OR what_page IS NULL"))
+    q["access_log_reject_reasons"] = with_views(views, ["access_log", "access_log_lines"], (
+        "f AS (SELECT TRY_CAST(split_part(value, ',', 2) AS BIGINT) AS who, "
+        "TRY_CAST(split_part(value, ',', 3) AS BIGINT) AS page FROM access_log_lines)"), body=(
+        "SELECT 'clean' AS reason, count(*) AS n FROM f WHERE who IS NOT NULL AND page IS NOT NULL "
+        "UNION ALL SELECT 'by_who', count(*) FROM f WHERE who IS NULL "
+        "UNION ALL SELECT 'what_page', count(*) FROM f WHERE who IS NOT NULL AND page IS NULL"))
     q["people_per_country_code"] = with_views(views, ["people"], body=(
         "SELECT country_code, count(*) AS n FROM people "
         "WHERE country_code BETWEEN 1 AND 50 GROUP BY country_code"))
@@ -227,6 +239,15 @@ def kmeans_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
         f"{_dist('o.x', 'o.y', 'n.x', 'n.y')} AS shift FROM c0 o FULL OUTER JOIN (SELECT * FROM allc WHERE i = 1) n ON o.id = n.id)"),
         body=(f"SELECT id, shift, (SELECT coalesce(bool_and(coalesce(shift <= {P.KMEANS_TOL!r}, false)), "
               "false) FROM sh) AS converged FROM sh"))
+    q["nearest_of_many"] = with_views(views, ["points"], (
+        "places AS (SELECT x, y, count(*) AS w FROM points WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY x, y)"), (
+        "many AS (SELECT CAST(row_number() OVER (ORDER BY w DESC, x, y) - 1 AS INTEGER) AS id, CAST(x AS DOUBLE) AS cx, "
+        f"CAST(y AS DOUBLE) AS cy FROM places ORDER BY w DESC, x, y LIMIT {P.MANY_CENTRES})"), (
+        "every AS (SELECT p.x, p.y, p.w, c.id, c.cx, c.cy, sqrt((p.x - c.cx) * (p.x - c.cx) + (p.y - c.cy) * (p.y - c.cy)) AS dist "
+        "FROM places p CROSS JOIN many c)"), (
+        "best AS (SELECT x, y, any_value(w) AS w, min({'dist': dist, 'id': id, 'cx': cx, 'cy': cy}) AS b FROM every GROUP BY x, y)"), body=(
+        "SELECT b.id AS id, any_value(b.cx) AS cx, any_value(b.cy) AS cy, CAST(sum(w) AS BIGINT) AS n, max(b.dist) AS farthest "
+        "FROM best GROUP BY b.id"))
     return q
 
 

@@ -12,3 +12,4 @@ SEEDS = DRIVER_SEEDS
 KMEANS_STEPS = 5
 KMEANS_MAX_STEPS = 500  # a bound for the loop; the driver's tables converge in 6 to 74 steps
 KMEANS_TOL = 0.001
+MANY_CENTRES = 2000  # centres of the grid query: the most frequent places

@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,6 +145,42 @@ TEXT_SCHEMAS = {
 }
 
 
+def typed_lines(lines: DataFrame, schema: T.StructType, sep: str = ",") -> DataFrame:
+    """``value`` and its typed fields, of every line (``value``) that is not blank."""
+    ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
+    fields = lines.where(F.trim("value") != "").select(
+        "value", F.from_csv("value", F.lit(ddl), {"sep": sep, "mode": "PERMISSIVE"}).alias("f"))
+    return fields.select("value", *[_typed(F.col(f"f.{f.name}"), f.dataType).alias(f.name)
+                                    for f in schema.fields])
+
+
+CLEAN = "clean"
+
+
+def observed_clean(df: DataFrame, required: Iterable[str]) -> tuple[DataFrame, Observation]:
+    """``clean_rows`` that count as they run: the observation has, once an
+    action over the whole result has run, the number of clean rows and, for
+    each required field, of rows of which it is the first that failed to type.
+
+    The counts are taken in the job's own pass, from tasks that succeeded; an
+    action that stops early (a ``limit`` straight on the rows) sees a part only.
+    """
+    required = list(required)
+    seen = Observation()
+    counts = [F.count_if(required_present(required)).alias(CLEAN)]
+    earlier = F.lit(True)
+    for name in required:
+        counts.append(F.count_if(earlier & F.col(name).isNull()).alias(name))
+        earlier = earlier & F.col(name).isNotNull()
+    return clean_rows(df.observe(seen, *counts), required), seen
+
+
+def reject_report(spark: SparkSession, seen: Observation) -> DataFrame:
+    """(reason, n) of an observation whose job has run: 'clean', and the
+    required fields by name."""
+    return spark.createDataFrame(sorted(seen.get.items()), "reason STRING, n BIGINT")
+
+
 def classify_rows(spark: SparkSession, path: str, table: str, header: bool = True,
                   sep: str = ",") -> DataFrame:
     """S9 as a job: every line of ``table``'s text layout, typed, with
@@ -160,11 +196,7 @@ def classify_rows(spark: SparkSession, path: str, table: str, header: bool = Tru
     if header:
         first = lines.first()
         lines = lines.where(F.col("value") != F.lit(first[0])) if first else lines
-    ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
-    fields = lines.where(F.trim("value") != "").select(
-        "value", F.from_csv("value", F.lit(ddl), {"sep": sep, "mode": "PERMISSIVE"}).alias("f"))
-    typed = fields.select("value", *[_typed(F.col(f"f.{f.name}"), f.dataType).alias(f.name)
-                                     for f in schema.fields])
+    typed = typed_lines(lines, schema, sep)
     ok = required_present(REQUIRED[table])
     return typed.select(
         *[f.name for f in schema.fields],

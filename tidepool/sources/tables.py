@@ -14,6 +14,8 @@ columns a job does not use and pushes its filters into the scan.
               what_page=props.k, type_of_access=event_type, access_time=ts;
               as text (access_log_text), or with every fifth page id negated
               (access_log_unowned: pages without a people row)
+              as lines of text, some of them malformed (access_log_lines: short
+              lines, user ids with letters, empty pages)
   attendees   events: id=event_id, name='P'||event_id, table=user_id,
               test='sick' if event_type='error' and value>200 else 'not-sick'
   reports     error events: id, test='sick' above 200, else 'recovered'
@@ -84,6 +86,23 @@ def access_log_unowned(spark: SparkSession, sf_dir: str) -> DataFrame:
         "what_page", F.when(page % 5 == 0, -page - 1).otherwise(page))
 
 
+def lines_of(log: DataFrame) -> DataFrame:
+    """An access log as comma-separated lines (``value``): one in 13 is cut
+    after the user, one user id in 11 has letters, one page in 7 is empty."""
+    def text(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+    who = F.when(F.col("by_who") % 11 == 3, F.concat(F.lit("user"), text("by_who"))).otherwise(text("by_who"))
+    page = F.when(F.col("what_page") % 7 == 5, F.lit("")).otherwise(text("what_page"))
+    short = F.concat_ws(",", text("access_id"), who)
+    return log.select(F.when(F.col("access_id") % 13 == 7, short).otherwise(
+        F.concat_ws(",", short, page, text("type_of_access"))).alias("value"))
+
+
+def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines_of(access_log(spark, sf_dir))
+
+
 def attendees(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     sick = (F.col("event_type") == SICK_EVENT_TYPE) & (F.col("value") > SICK_VALUE_ABOVE)
