@@ -47,10 +47,9 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _entries(keys: Column) -> Column:
+def _entries(keys: Column, once: Column) -> Column:
     """(line, pos, counts): every line with its position, of which each distinct
     one counts once. A text without repeated lines needs no further entries for that."""
-    once = F.array_distinct(keys)
     yes, no, nowhere = F.lit(True), F.lit(False), F.lit(None).cast("int")
     entry = lambda line, pos, counts: F.struct(line.alias("line"), pos.alias("pos"), counts.alias("counts"))
     return F.when(F.size(once) == F.size(keys), F.transform(keys, lambda x, i: entry(x, i, yes))).otherwise(
@@ -128,8 +127,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
     text = F.coalesce(F.col(text_col), F.lit(""))
     by_text = {"d1": F.xxhash64(text), "d2": F.xxhash64(F.lit(1), text)}
     # The text is hashed below the explode: beside it, it would be hashed for every line.
-    entries = docs.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(batches)).alias("batch"), *[c.alias(k) for k, c in by_text.items()],
-                          _entries(_keys(_lines(_lower(text)))).alias("entries"))
+    keyed = docs.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(batches)).alias("batch"), *[c.alias(k) for k, c in by_text.items()],
+                        _keys(_lines(_lower(text))).alias("keys"))
+    entries = (keyed.select("batch", *by_text, "keys", F.array_distinct("keys").alias("once"))
+               .select("batch", *by_text, _entries(F.col("keys"), F.col("once")).alias("entries")))
     hashed = (entries.select("batch", *by_text, F.explode("entries").alias("e")).where(F.length("e.line") >= max(1, min_chars))
               .select("batch", *by_text, "e.pos", "e.counts", F.xxhash64("e.line").alias("h1"), F.xxhash64(F.lit(1), "e.line").alias("h2")))
     lines = scratch.write(hashed, "lines", ["batch"])
