@@ -1,0 +1,147 @@
+"""Tables that are kept and merged: bucketed pairs, bitmaps, dated state, adjacency chunks."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tidepool.operators import adjacency as A
+from tidepool.operators import bitmaps as B
+from tidepool.operators import pairs as Pr
+from tidepool.plans import social as D
+from tidepool.sources import readers as Rd
+from tidepool.sources.state import LastAccessStore
+
+LOG = "by_who BIGINT, what_page BIGINT, access_time TIMESTAMP_NTZ"
+
+
+def at(day, hour=0):
+    return dt.datetime(2024, 1, day, hour)
+
+
+# --- pairs ---------------------------------------------------------------------
+
+def test_pair_difference_moves_no_row(spark):
+    left = spark.range(2000).select(F.lit(7).cast("bigint").alias("a"), F.col("id").alias("b"))  # a hub
+    right = spark.range(0, 2000, 2).select(F.lit(7).cast("bigint").alias("x"), F.col("id").alias("y"))
+    diff = Pr.minus(Pr.write_pairs(left.union(left), ["a", "b"]), Pr.write_pairs(right, ["x", "y"]))
+    assert "Exchange" not in diff._jdf.queryExecution().executedPlan().toString()
+    assert rows(diff) == [(7, i) for i in range(1, 2000, 2)]
+    assert "Exchange" not in diff._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hub_is_spread_over_files_one_a_bucket(spark):
+    hub = spark.range(5000).repartition(4).select((F.col("id") >= 0).cast("bigint").alias("a"), F.col("id").alias("b"))
+    t = Pr.write_pairs(hub, ["a", "b"], buckets=8)
+    per_file = [r["count"] for r in t.groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) == 8 and max(per_file) < 5000 / 4
+
+
+def test_pairs_nulls_empty_and_extra_columns(spark):
+    df = spark.createDataFrame([(1, None, 1), (None, 2, 1), (1, 2, 1), (1, 2, 2)], "a INT, b INT, left_id INT")
+    t = Pr.write_pairs(df, ["a", "b"])
+    assert rows(t) == [(1, 2)]
+    none = Pr.write_pairs(df.limit(0), ["a", "b"])
+    assert rows(Pr.minus(t, none)) == [(1, 2)] and rows(Pr.minus(none, t)) == []
+
+
+# --- bitmaps -------------------------------------------------------------------
+
+PAGES = [0, 1, -1, 2**15 - 1, 2**15, 2**15 + 1, -2**15, -2**15 - 1, 2**40, 2**63 - 1, -2**63, None]
+
+
+def test_bitmaps_count_every_integer_once(spark):
+    df = spark.createDataFrame([(k, p) for k in (1, None) for p in PAGES + PAGES], "k INT, p BIGINT")
+    got = B.counts(B.build(df, ["k"], "p"), ["k"])
+    assert rows(got) == [(None, 2 * len(PAGES), len(PAGES) - 1), (1, 2 * len(PAGES), len(PAGES) - 1)]
+
+
+def test_bitmaps_are_cut_and_merge_at_different_lengths(spark):
+    df = spark.createDataFrame([("a", 1, 7), ("a", 2, 9), ("a", 2, 7), ("a", 3, 20000)], "k STRING, day INT, p INT")
+    daily = B.build(df, ["k", "day"], "p")
+    assert rows(daily.select("day", F.length("bits"))) == [(1, 1), (2, 2), (3, 2500)]
+    merged = B.merge(daily, ["k"])
+    assert rows(B.counts(merged, ["k"])) == [("a", 4, 3)]
+    assert rows(B.counts(B.merge(merged.union(B.merge(daily, ["k"])), ["k"]), ["k"], "t", "d").select("d")) == [(3,)]
+
+
+def test_rolling_profile_matches_a_plain_count(spark):
+    import random
+    rnd = random.Random(3)
+    data = [(rnd.choice([1, 2, None]), rnd.choice([None, 5, 6, 40000, 7]), rnd.choice([None, at(rnd.randint(1, 31))]))
+            for _ in range(300)]
+    got = rows(D.rolling_access_profile(D.daily_pages(spark.createDataFrame(data, LOG)), 7))
+    want = []
+    for who, day in {(w, t.date()) for w, p, t in data if w is not None and t is not None}:
+        pages = [p for w, p, t in data if w == who and t is not None and 0 <= (day - t.date()).days < 7]
+        want.append((who, day, len(pages), len({p for p in pages if p is not None})))
+    assert got == sorted(want)
+    assert rows(D.rolling_access_profile(D.daily_pages(spark.createDataFrame([], LOG)))) == []
+
+
+# --- last accesses ---------------------------------------------------------------
+
+def test_state_equals_the_full_recomputation_after_each_day(spark, tmp_dir):
+    data = [(1, 5, at(1)), (2, 5, at(1)), (2, 6, at(2)), (None, 5, at(4)), (3, 5, at(3)), (1, 5, at(4)), (4, 5, None)]
+    log = spark.createDataFrame(data, LOG)
+    store = LastAccessStore(spark, tmp_dir + "/store")
+    assert store.state() is None and store.versions() == []
+    for day in range(1, 6):  # the fifth day is empty
+        upto = log.where(F.col("access_time").isNull() | (F.dayofmonth("access_time") <= day))
+        new = log.where((F.dayofmonth("access_time") == day) | (F.col("access_time").isNull() & F.lit(day == 1)))
+        assert store.merge(new, dt.date(2024, 1, day))
+        assert not store.merge(new, dt.date(2024, 1, day))  # a repeated day changes nothing
+        assert rows(D.disconnected_as_of(store.state(), 1)) == rows(D.disconnected_users(upto, 1))
+    before = rows(store.state())
+    assert not store.merge(log.withColumn("access_time", F.lit(at(30))), dt.date(2024, 1, 2))
+    assert rows(store.state()) == before
+    assert rows(D.disconnected_as_of(store.state(dt.date(2024, 1, 2)), 1)) == [(4,)]
+    with pytest.raises(ValueError):
+        store.state(dt.date(2024, 2, 1))
+
+
+def test_a_version_without_its_commit_is_not_seen(spark, tmp_dir):
+    store = LastAccessStore(spark, tmp_dir + "/store")
+    log = spark.createDataFrame([(1, 5, at(1))], LOG)
+    store.merge(log, dt.date(2024, 1, 1))
+    dead = spark.createDataFrame([(9, at(9), True)], "by_who BIGINT, last_time TIMESTAMP_NTZ, named BOOLEAN")
+    dead.write.parquet(store._path("2024-01-02"))  # what a run that died before its commit leaves
+    assert rows(store.state()) == [(1, at(1), True)]
+    assert store.merge(spark.createDataFrame([(2, 5, at(2))], LOG), dt.date(2024, 1, 2))
+    assert rows(store.state()) == [(1, at(1), True), (2, at(2), True)]
+
+
+# --- adjacency -------------------------------------------------------------------
+
+EDGES = "person_id BIGINT, my_friend BIGINT"
+
+
+def test_chunks_are_bounded_and_keep_every_friend_row(spark):
+    hub = [(1, i % 700) for i in range(2100)]
+    data = hub + [(2, -1), (2, None), (None, 3), (3, 5), (3, 5), (4, 2**40)]
+    friends = spark.createDataFrame(data, EDGES)
+    chunks = A.build_chunks(friends, width=64)
+    sizes = rows(chunks.groupBy("person_id").agg(F.max(F.size("friends")), F.count("*")))
+    assert sizes == [(1, 64, 11), (2, 1, 2), (3, 1, 1), (4, 1, 1)]
+    assert rows(A.degrees(chunks)) == rows(D.friend_counts(friends))
+    assert rows(D.friend_count_report_chunked(chunks)) == rows(D.friend_count_report(friends))
+    back = A.explode_chunks(chunks).select("person_id", F.explode(F.array_repeat("friend", F.col("copies").cast("int"))))
+    assert rows(back) == rows(friends.where("person_id IS NOT NULL"))
+
+
+def test_merged_chunks_equal_the_chunks_of_all_edges(spark):
+    a = spark.createDataFrame([(1, i) for i in range(100)] + [(2, 3)], EDGES)
+    b = spark.createDataFrame([(1, i) for i in range(50, 150)] + [(5, None)], EDGES)
+    merged = A.merge_chunks(A.build_chunks(a, 32), A.build_chunks(b, 32), 32)
+    assert rows(merged) == rows(A.build_chunks(a.union(b), 32))
+    assert rows(A.build_chunks(a.limit(0))) == []
+
+
+def test_chunk_lines_are_adjacency_lines(spark):
+    friends = spark.createDataFrame([(1, i) for i in range(10)] + [(1, 3), (2, 7)], EDGES)
+    lines = A.chunk_lines(A.build_chunks(friends, 4))
+    got = D.friend_counts_from_adjacency(lines).groupBy("person_id").agg(F.sum("num_friends").alias("num_friends"))
+    assert rows(got) == rows(D.friend_counts(friends))
+    assert ("2,7",) in rows(lines)
+    assert Rd.split_fields(lines).count() == 4

@@ -12,6 +12,8 @@ library's columns.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +23,12 @@ from tidepool.plans import health as H
 from tidepool.plans import kmeans as M
 from tidepool.plans import params as P
 from tidepool.plans import social as D
-from tidepool.operators import grid
+from tidepool.operators import adjacency, grid
+from tidepool.operators import pairs as Pr
+from tidepool.session import ensure_checkpoint_dir
 from tidepool.sources import readers as Rd
 from tidepool.sources import schemas as S
+from tidepool.sources.state import LastAccessStore
 from tidepool.sources import tables as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +63,39 @@ def _nearest_of_many(t: Tables) -> DataFrame:
                                           F.sum("w").alias("n"), F.max("nearest.dist").alias("farthest"))
 
 
+def _pair_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
+    return (Pr.write_pairs(t("friends"), ["person_id", "my_friend"]),
+            Pr.write_pairs(t("access_log"), ["by_who", "what_page"]))
+
+
+def _disconnected_by_period(t: Tables) -> DataFrame:
+    """(as_of, by_who): the users who are disconnected at the end of each of
+    a few equal periods of the log, from a state into which the periods merge one by one."""
+    log = t("access_log").select("by_who", "access_time", F.to_date("access_time").alias("day"))
+    spark = log.sparkSession
+    first, last = log.agg(F.min("day"), F.max("day")).first()
+    none = spark.createDataFrame([], "as_of DATE, by_who BIGINT")
+    if first is None:
+        return none
+    store = LastAccessStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/last-access-{uuid.uuid4().hex}")
+    step = (last - first).days // P.STATE_MERGES + 1
+    out = none
+    for i in range(P.STATE_MERGES):
+        start = first + dt.timedelta(i * step)
+        end = start + dt.timedelta(step - 1)
+        new = F.col("day").between(F.lit(start), F.lit(end))
+        store.merge(log.where(new | F.col("day").isNull() if start == first else new), end)
+        ended = D.disconnected_as_of(store.state(end), P.INACTIVE_DAYS)
+        out = out.unionByName(ended.select(F.lit(end).alias("as_of"), "by_who"))
+    return out
+
+
+def _adjacency_chunks(t: Tables) -> DataFrame:
+    """Each chunk with its number of different friends and of friend rows."""
+    return adjacency.build_chunks(t("friends"), P.CHUNK_WIDTH).select(
+        "person_id", "chunk", F.size("friends").cast("bigint").alias("n_friends"), "n")
+
+
 SOCIAL: dict[str, Job] = {
     "people_by_nationality": lambda t: D.people_by_nationality(t("people"), P.NATIONALITY),
     "top_pages": lambda t: D.top_pages(t("access_log"), P.TOP_K),
@@ -76,6 +114,14 @@ SOCIAL: dict[str, Job] = {
     "friends_never_accessed": lambda t: D.friends_never_accessed(t("friends"), t("access_log")),
     "people_ignoring_a_friend": lambda t: D.people_ignoring_a_friend(
         t("friends"), t("access_log"), t("people")),
+    "access_profile_merged": lambda t: D.access_profile_merged(D.daily_pages(t("access_log"))),
+    "rolling_access_profile": lambda t: D.rolling_access_profile(D.daily_pages(t("access_log")), P.ROLLING_DAYS),
+    "friends_never_accessed_bucketed": lambda t: D.friends_never_accessed_of(*_pair_tables(t)),
+    "people_ignoring_a_friend_bucketed": lambda t: D.people_ignoring_a_friend_of(*_pair_tables(t), t("people")),
+    "disconnected_by_period": _disconnected_by_period,
+    "adjacency_chunks": _adjacency_chunks,
+    "friend_count_report_chunked": lambda t: D.friend_count_report_chunked(
+        adjacency.build_chunks(t("friends"), P.CHUNK_WIDTH)),
     "disconnected_users": lambda t: D.disconnected_users(t("access_log"), days=P.INACTIVE_DAYS),
     "matching_people": lambda t: D.matching_people(
         t("people"), D.disconnected_users(t("access_log"), days=P.INACTIVE_DAYS)),

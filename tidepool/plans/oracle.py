@@ -149,6 +149,29 @@ def social_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
         "SELECT 'USER_' || CAST(person_id AS VARCHAR) AS label, num_friends AS value FROM fc "
         "UNION ALL SELECT 'Average Friendships' AS label, "
         "CAST(coalesce(sum(num_friends) // count(*), 0) AS BIGINT) AS value FROM fc"))
+    q["access_profile_merged"] = q["access_profile"]
+    q["rolling_access_profile"] = with_views(views, ["access_log"], (
+        "v AS (SELECT by_who, CAST(access_time AS DATE) AS day, what_page FROM access_log "
+        "WHERE by_who IS NOT NULL AND access_time IS NOT NULL)"), (
+        "ends AS (SELECT DISTINCT by_who, day FROM v)"), body=(
+        "SELECT e.by_who, e.day, count(*) AS total, count(DISTINCT v.what_page) AS distinct_pages FROM ends e "
+        f"JOIN v ON v.by_who = e.by_who AND v.day > e.day - {P.ROLLING_DAYS} AND v.day <= e.day GROUP BY e.by_who, e.day"))
+    q["friends_never_accessed_bucketed"] = q["friends_never_accessed"]
+    q["people_ignoring_a_friend_bucketed"] = q["people_ignoring_a_friend"]
+    q["disconnected_by_period"] = with_views(views, ["access_log"], (
+        "span AS (SELECT CAST(min(access_time) AS DATE) AS a, CAST(max(access_time) AS DATE) AS b FROM access_log)"), (
+        f"periods AS (SELECT a + CAST((i + 1) * ((b - a) // {P.STATE_MERGES} + 1) AS INTEGER) - 1 AS as_of "
+        f"FROM span, range({P.STATE_MERGES}) t(i))"), (
+        "known AS (SELECT p.as_of, l.by_who, max(l.access_time) AS last_time FROM periods p JOIN access_log l "
+        "ON CAST(l.access_time AS DATE) <= p.as_of OR l.access_time IS NULL GROUP BY p.as_of, l.by_who)"), body=(
+        "SELECT k.as_of, k.by_who FROM known k JOIN (SELECT as_of, max(last_time) AS latest FROM known GROUP BY as_of) m "
+        "ON k.as_of = m.as_of WHERE k.by_who IS NOT NULL "
+        f"AND (k.last_time IS NULL OR k.last_time < m.latest - INTERVAL {P.INACTIVE_DAYS} DAY)"))
+    q["adjacency_chunks"] = with_views(views, ["friends"], body=(
+        f"SELECT person_id, CAST(floor(my_friend / {P.CHUNK_WIDTH}) AS BIGINT) AS chunk, "
+        "count(DISTINCT my_friend) AS n_friends, count(*) AS n FROM friends WHERE person_id IS NOT NULL "
+        f"GROUP BY person_id, CAST(floor(my_friend / {P.CHUNK_WIDTH}) AS BIGINT)"))
+    q["friend_count_report_chunked"] = q["friend_count_report"]
     q["popular_people"] = with_views(views, ["people", "friends"], FC, body=(
         "SELECT trim(p.name) AS name, fc.num_friends AS friend_count FROM fc "
         "JOIN people p ON fc.person_id = p.person_id "

@@ -13,3 +13,6 @@ KMEANS_STEPS = 5
 KMEANS_MAX_STEPS = 500  # a bound for the loop; the driver's tables converge in 6 to 74 steps
 KMEANS_TOL = 0.001
 MANY_CENTRES = 2000  # centres of the grid query: the most frequent places
+ROLLING_DAYS = 7
+STATE_MERGES = 3  # equal periods of the log, merged into the state of last accesses one by one
+CHUNK_WIDTH = 16  # friend ids a chunk spans: the smallest driver tables have 9 friend ids

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions import expressions as X
+from tidepool.operators import adjacency, bitmaps, pairs
 from tidepool.operators import relational as R
 from tidepool.sources import readers as Rd
 
@@ -119,6 +120,24 @@ def access_profile_named(access_log: DataFrame, people: DataFrame) -> DataFrame:
             .select("name", "total", "distinct_pages"))
 
 
+def daily_pages(access_log: DataFrame) -> DataFrame:
+    """(by_who, day, page, bits, n_rows): the distinct pages of each user and day as
+    bitmaps, to be kept and merged (``operators.bitmaps``). Accesses
+    without a user are left out; those without a time are in day null."""
+    dated = access_log.where(F.col("by_who").isNotNull()).withColumn("day", F.to_date("access_time"))
+    return bitmaps.build(dated, ["by_who", "day"], "what_page")
+
+
+def access_profile_merged(daily: DataFrame) -> DataFrame:
+    """``access_profile`` from the daily bitmaps, without the log."""
+    return bitmaps.counts(bitmaps.merge(daily, ["by_who"]), ["by_who"], "total", "distinct_pages")
+
+
+def rolling_access_profile(daily: DataFrame, days: int = 7) -> DataFrame:
+    """``access_profile`` over the ``days`` days that end at each day on which a user accessed a page."""
+    return bitmaps.rolling_counts(daily.where(F.col("day").isNotNull()), ["by_who"], "day", days, "total", "distinct_pages")
+
+
 # --- D11 / D12 -----------------------------------------------------------------
 def friends_never_accessed(friends: DataFrame, access_log: DataFrame) -> DataFrame:
     """Distinct (person, friend) pairs where the person never accessed the
@@ -131,6 +150,21 @@ def friends_never_accessed(friends: DataFrame, access_log: DataFrame) -> DataFra
                         X.prefixed(NEVER_ACCESSED, "my_friend").alias("message"))
 
 
+def friends_never_accessed_of(friend_pairs: DataFrame, access_pairs: DataFrame) -> DataFrame:
+    """``friends_never_accessed`` from the bucketed tables of both kinds of
+    pairs (``operators.pairs``): no row is shuffled."""
+    return pairs.minus(friend_pairs, access_pairs).select(
+        F.col(pairs.LEFT).alias("person_id"), F.col(pairs.RIGHT).alias("friend_id"),
+        X.prefixed(NEVER_ACCESSED, pairs.RIGHT).alias("message"))
+
+
+def people_ignoring_a_friend_of(friend_pairs: DataFrame, access_pairs: DataFrame, people: DataFrame) -> DataFrame:
+    """``people_ignoring_a_friend`` from the bucketed tables: of the pairs, only
+    each task's distinct people are shuffled."""
+    ignoring = pairs.minus(friend_pairs, access_pairs)
+    return R.keep_matching(people, "person_id", ignoring, pairs.LEFT).select("person_id", "name")
+
+
 def people_ignoring_a_friend(friends: DataFrame, access_log: DataFrame,
                              people: DataFrame) -> DataFrame:
     """People with at least one friend whose page they never accessed."""
@@ -171,6 +205,14 @@ def disconnected_users(access_log: DataFrame, days: int = 14, as_of=None) -> Dat
             .select("by_who"))
 
 
+def disconnected_as_of(state: DataFrame, days: int = 14) -> DataFrame:
+    """``disconnected_users`` from a state of last accesses (``sources.state``)."""
+    last = state.select("by_who", F.col("last_time").alias("_last"), F.col("named").cast("int").alias("_named"))
+    thr = _threshold(last, None, days)
+    return (last.where((F.col("_named") > 0) & (F.col("_last").isNull() | (F.col("_last") < thr)))
+            .select("by_who"))
+
+
 def matching_people(people: DataFrame, ids: DataFrame, ids_key: str = "by_who") -> DataFrame:
     """People whose id is in an id list (semi join)."""
     return R.keep_matching(people, "person_id", ids, ids_key).select("person_id", "name")
@@ -215,6 +257,11 @@ def friend_count_report(friends: DataFrame = None, counts: DataFrame = None) ->
     return detail.unionByName(average)
 
 
+def friend_count_report_chunked(chunks: DataFrame) -> DataFrame:
+    """``friend_count_report`` from adjacency lists in chunks (``operators.adjacency``)."""
+    return friend_count_report(counts=adjacency.degrees(chunks))
+
+
 def popular_people(friends: DataFrame, people: DataFrame) -> DataFrame:
     """People whose out-degree is strictly above the mean out-degree of
     persons with at least one friend row; name trimmed."""
