@@ -6,11 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tidepool import cli
 from tidepool.operators import adjacency as A
 from tidepool.operators import bitmaps as B
 from tidepool.operators import pairs as Pr
+from tidepool.plans import health as H
 from tidepool.plans import social as D
 from tidepool.sources import readers as Rd
+from tidepool.sources import sinks as K
 from tidepool.sources.state import LastAccessStore
 
 LOG = "by_who BIGINT, what_page BIGINT, access_time TIMESTAMP_NTZ"
@@ -145,3 +148,61 @@ def test_chunk_lines_are_adjacency_lines(spark):
     assert rows(got) == rows(D.friend_counts(friends))
     assert ("2,7",) in rows(lines)
     assert Rd.split_fields(lines).count() == 4
+
+
+# --- several outputs, one pass -----------------------------------------------------
+
+def test_three_outputs_of_one_pass_equal_three_writes(spark, tmp_dir):
+    data = [(1, "P1", 7, "sick"), (2, "P, 2", None, "not-sick"), (3, None, 8, None)]
+    df = spark.createDataFrame(data, "id INT, name STRING, table INT, test STRING")
+    df.write.parquet(tmp_dir + "/in")
+    src = spark.read.parquet(tmp_dir + "/in")
+    plan = K.tagged_lines(src, H.event_outputs())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    K.write_tagged(src, H.event_outputs(), tmp_dir + "/out")
+    apart = {"attendees": src, "no_disclosure": src.drop("test"),
+             "reports": src.where("test = 'sick'").select("id", "test")}
+    for name, one in apart.items():
+        K.write_csv(one, f"{tmp_dir}/{name}", header=False)
+        assert rows(spark.read.text(f"{tmp_dir}/out/output={name}")) == rows(spark.read.text(f"{tmp_dir}/{name}"))
+
+
+# --- header lines ------------------------------------------------------------------
+
+def test_only_a_files_first_line_is_its_header(spark, tmp_dir):
+    head = "PersonID,Name,Nationality,Country Code,Hobby"
+    for name, body in (("a.csv", ["1,Ann,Chile,7,Go"]), ("b.csv", ['2,"B, C",Chile,7,Go', head, "", "x\u0001y,odd"])):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write("\n".join([head if name == "a.csv" else "other,header", *body]) + "\n")
+    lines = rows(Rd.read_file_lines(spark, tmp_dir))
+    assert lines == sorted([("1,Ann,Chile,7,Go",), ('2,"B, C",Chile,7,Go',), (head,), ("x\u0001y,odd",)])
+    got = Rd.classify_rows(spark, tmp_dir, "people")
+    assert rows(got.where("status = 'clean'").select("person_id")) == [(1,), (2,)]
+    assert rows(got.where("status = 'rejected'").select("raw_line")) == sorted([(head,), ("x\u0001y,odd",)])
+    assert len(rows(Rd.read_file_lines(spark, tmp_dir, header=False))) == 6
+
+
+# --- command line --------------------------------------------------------------------
+
+def _cli(spark, *args):
+    cli.run(spark, cli._parser().parse_args(list(args)))
+
+
+def test_command_line_of_the_kept_tables(spark, tmp_dir):
+    with open(tmp_dir + "/log.csv", "w") as f:
+        f.write("AccessId,ByWho,WhatPage,TypeOfAccess,AccessTime\n1,1,5,view,2024-01-01 00:00:00\n"
+                "2,2,6,view,2024-01-05 00:00:00\n3,2,é,view,2024-01-05 00:00:00\n4,x,6,view,2024-01-05 00:00:00\n")
+    log = ["--access-log", tmp_dir + "/log.csv"]
+    _cli(spark, "access_log_reject_reasons", *log, "--out", tmp_dir + "/r")
+    assert rows(spark.read.option("header", True).csv(tmp_dir + "/r")) == [("by_who", "1"), ("clean", "2"), ("what_page", "1")]
+    _cli(spark, "access_log_rejects", *log, "--out", tmp_dir + "/n")
+    assert rows(spark.read.option("header", True).csv(tmp_dir + "/n")) == [("2",)]
+    _cli(spark, "top_pages_text", *log, "--out", tmp_dir + "/t")
+    assert rows(spark.read.option("header", True).csv(tmp_dir + "/t")) == [("5", "1"), ("6", "2")]
+    _cli(spark, "merge_last_access", *log, "--state", tmp_dir + "/s", "--as-of", "2024-01-05", "--days", "2", "--out", tmp_dir + "/d")
+    assert rows(spark.read.option("header", True).csv(tmp_dir + "/d")) == [("1",)]
+    with open(tmp_dir + "/friends.csv", "w") as f:
+        f.write("FriendRel,PersonID,MyFriend,DateofFriendship,Desc\n1,1,2,2024-01-01,x\n2,1,3,2024-01-01,x\n")
+    _cli(spark, "adjacency_lists", "--friends", tmp_dir + "/friends.csv", "--out", tmp_dir + "/a")
+    _cli(spark, "friend_count_report", "--adjacency", tmp_dir + "/a", "--out", tmp_dir + "/c")
+    assert rows(spark.read.option("header", True).csv(tmp_dir + "/c")) == [("Average Friendships", "2"), ("USER_1", "2")]

@@ -19,21 +19,27 @@ takes ``--adjacency`` lines.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tidepool.operators import adjacency
 from tidepool.plans import health as H
 from tidepool.plans import kmeans as M
 from tidepool.plans import social as D
 from tidepool.sources import readers as Rd
 from tidepool.sources import schemas as S
 from tidepool.sources import sinks as K
+from tidepool.sources.state import LastAccessStore
 
 SOCIAL_INPUTS = {
     "people_by_nationality": ("people",),
     "top_pages": ("access_log",),
     "top_pages_details": ("access_log", "people"),
     "top_pages_details_outer": ("access_log", "people"),
+    "access_log_rejects": ("access_log",),
+    "access_log_reject_reasons": ("access_log",),
+    "rolling_access_profile": ("access_log",),
     "people_per_country_code": ("people",),
     "people_per_nationality": ("people",),
     "connectedness": ("people", "friends"),
@@ -58,7 +64,8 @@ HEALTH_INPUTS = {
 }
 KMEANS_JOBS = ("kmeans_step", "kmeans_iterate", "kmeans_early_stop", "kmeans_partial_agg",
                "kmeans_centers_report", "kmeans_history", "kmeans_assignments")
-JOBS = tuple(SOCIAL_INPUTS) + tuple(HEALTH_INPUTS) + KMEANS_JOBS + ("centroid_shift", "clean_rows")
+JOBS = tuple(SOCIAL_INPUTS) + tuple(HEALTH_INPUTS) + KMEANS_JOBS + ("centroid_shift", "clean_rows", "top_pages_text", "adjacency_lists",
+                                                                  "merge_last_access", "event_outputs")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -78,6 +85,9 @@ def _parser() -> argparse.ArgumentParser:
                    help="one output file (only for small results)")
     p.add_argument("--nationality", default="Armenia")
     p.add_argument("--top", type=int, default=10)
+    p.add_argument("--rolling-days", type=int, default=7)
+    p.add_argument("--width", type=int, default=1024, help="adjacency_lists: friend ids a chunk spans")
+    p.add_argument("--state", help="merge_last_access: the store's folder; --as-of is the day that the log ends")
     p.add_argument("--days", type=int, default=14)
     p.add_argument("--as-of", default=None, help="'yyyy-MM-dd HH:mm:ss'; default latest access")
     p.add_argument("--steps", type=int, default=10)
@@ -129,6 +139,32 @@ def run(spark, a) -> None:
         counts = D.friend_counts_from_adjacency(Rd.read_lines(spark, a.adjacency))
         _write(D.friend_count_report(counts=counts), a, mode)
         return
+    if a.job == "top_pages_text":
+        if not a.access_log:
+            raise SystemExit("--access-log is required for top_pages_text")
+        if a.input_format == "parquet":
+            log = spark.read.parquet(a.access_log).select(F.col("what_page").cast("string"))
+        else:
+            log = Rd.read_text_table(spark, a.access_log, S.as_text(S.ACCESS_LOG), header=not a.no_header)
+        _write(D.top_pages_text(log, a.top), a, mode)
+        return
+    if a.job == "adjacency_lists":
+        chunks = adjacency.build_chunks(_load(spark, a, "friends"), a.width)
+        if a.output_format == "parquet":
+            chunks.write.mode(mode).parquet(a.out)
+        else:
+            K.write_lines(adjacency.chunk_lines(chunks), a.out, mode=mode, single_file=a.single_file)
+        return
+    if a.job == "event_outputs":
+        K.write_tagged(_load(spark, a, "attendees"), H.event_outputs(), a.out, mode=mode)
+        return
+    if a.job == "merge_last_access":
+        if not (a.state and a.as_of):
+            raise SystemExit("merge_last_access needs --state and --as-of")
+        store = LastAccessStore(spark, a.state)
+        store.merge(_load(spark, a, "access_log"), dt.date.fromisoformat(a.as_of))
+        _write(D.disconnected_as_of(store.state(), a.days), a, mode)
+        return
     if a.job in SOCIAL_INPUTS or a.job in HEALTH_INPUTS:
         names = SOCIAL_INPUTS.get(a.job) or HEALTH_INPUTS[a.job]
         t = {n: _load(spark, a, n) for n in names}
@@ -174,6 +210,14 @@ def _social_or_health(a, t):
     j = a.job
     if j == "people_by_nationality":
         return D.people_by_nationality(t["people"], a.nationality)
+    if j == "access_log_rejects":
+        return Rd.reject_count(t["access_log"], Rd.REQUIRED["access_log"])
+    if j == "access_log_reject_reasons":
+        clean, seen = Rd.observed_clean(t["access_log"], Rd.REQUIRED["access_log"])
+        D.top_pages(clean, a.top).collect()  # the job whose pass does the counting
+        return Rd.reject_report(clean.sparkSession, seen)
+    if j == "rolling_access_profile":
+        return D.rolling_access_profile(D.daily_pages(t["access_log"]), a.rolling_days)
     if j == "top_pages":
         return D.top_pages(t["access_log"], a.top)
     if j == "top_pages_details":

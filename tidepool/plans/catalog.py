@@ -28,6 +28,7 @@ from tidepool.operators import pairs as Pr
 from tidepool.session import ensure_checkpoint_dir
 from tidepool.sources import readers as Rd
 from tidepool.sources import schemas as S
+from tidepool.sources import sinks as K
 from tidepool.sources.state import LastAccessStore
 from tidepool.sources import tables as V
 
@@ -133,6 +134,7 @@ SOCIAL: dict[str, Job] = {
 }
 
 HEALTH: dict[str, Job] = {
+    "event_outputs": lambda t: K.tagged_lines(t("attendees"), H.event_outputs()),
     "sick_attendees": lambda t: H.sick_attendees(t("attendees")),
     "sick_attendee_tables": lambda t: H.sick_attendee_tables(t("no_disclosure"), t("reports")),
     "healthy_at_sick_table": lambda t: H.healthy_at_sick_table(t("attendees")),

@@ -11,7 +11,7 @@ semi/anti join against the de-duplicated set of flagged tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.operators import relational as R
@@ -21,6 +21,14 @@ SICK, NOT_SICK = "sick", "not-sick"
 HEALTHY, CONCERN = "healthy", "concern"
 
 
+def event_outputs() -> dict[str, tuple[Column, list[str]]]:
+    """The three files of one event, for ``sinks.write_tagged``: attendees with
+    their test, attendees without it, and the reports of the sick."""
+    return {"attendees": (F.lit(True), ["id", "name", "table", "test"]),
+            "no_disclosure": (F.lit(True), ["id", "name", "table"]),
+            "reports": (F.col("test") == F.lit(SICK), ["id", "test"])}
+
+
 def sick_attendees(attendees: DataFrame) -> DataFrame:
     """Attendees whose test is exactly 'sick' (all columns)."""
     return attendees.where(F.col("test") == F.lit(SICK)).select("id", "name", "table", "test")

@@ -184,6 +184,11 @@ def health_sql(views: dict[str, str] = VIEWS) -> dict[str, str]:
     q = {}
     q["sick_attendees"] = with_views(views, ["attendees"], body=(
         "SELECT id, name, \"table\", test FROM attendees WHERE test = 'sick'"))
+    full = "concat_ws(',', CAST(id AS VARCHAR), name, CAST(\"table\" AS VARCHAR)"
+    q["event_outputs"] = with_views(views, ["attendees"], body=(
+        f"SELECT 'attendees' AS output, {full}, test) AS value FROM attendees "
+        f"UNION ALL SELECT 'no_disclosure', {full}) FROM attendees "
+        "UNION ALL SELECT 'reports', CAST(id AS VARCHAR) || ',sick' FROM attendees WHERE test = 'sick'"))
     q["sick_attendee_tables"] = with_views(views, ["attendees", "reports"], body=(
         "SELECT a.id, a.\"table\" FROM attendees a JOIN reports r ON a.id = r.id "
         "WHERE r.test = 'sick'"))

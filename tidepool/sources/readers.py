@@ -94,6 +94,22 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_file_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """Lines (``value``) as they stand in the files, without blank ones; with
+    ``header``, less the first line of each file, and no other line like it.
+
+    A file's first line is told by its place (the CSV scan's own rule, as
+    files are split), so lines are read as one column whose separator and quote
+    do not occur; a line that has the separator is kept whole.
+    """
+    if not header:
+        return read_lines(spark, path).where(F.trim("value") != "")
+    raw = (spark.read.schema(f"value STRING, {CORRUPT} STRING").option("header", True)
+           .option("sep", "\u0001").option("quote", "").option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    return raw.select(F.coalesce(F.col(CORRUPT), F.col("value")).alias("value")).where(F.trim("value") != "")
+
+
 def split_fields(lines: DataFrame, sep: str = ",", limit: int = -1,
                  drop_trailing_empty: bool = False) -> DataFrame:
     """Split each line into an array column ``fields``.
@@ -189,14 +205,10 @@ def classify_rows(spark: SparkSession, path: str, table: str, header: bool = Tru
     The rule is that of ``clean_rows``: the key columns must type; a short
     line is padded with NULL and extra fields are ignored. Lines come from a
     text scan, so ``raw_line`` is the line as it stands in the file. With
-    ``header``, lines equal to the first one are header lines.
+    ``header``, the first line of each file is its header line.
     """
     schema = TEXT_SCHEMAS[table]
-    lines = spark.read.text(path)
-    if header:
-        first = lines.first()
-        lines = lines.where(F.col("value") != F.lit(first[0])) if first else lines
-    typed = typed_lines(lines, schema, sep)
+    typed = typed_lines(read_file_lines(spark, path, header), schema, sep)
     ok = required_present(REQUIRED[table])
     return typed.select(
         *[f.name for f in schema.fields],

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -65,6 +65,26 @@ def report_lines(centers: DataFrame) -> DataFrame:
             .sortWithinPartitions("_part", "_ord").select("value"))
 
 
+def tagged_lines(df: DataFrame, outputs: dict[str, tuple[Column, list[str]]]) -> DataFrame:
+    """K7: (output, value): each row as a CSV line of every output whose condition
+    it meets, with that output's columns.
+
+    All outputs come from one pass over ``df``, however many they are. A row
+    that meets no condition (or whose conditions are null) is in none.
+    """
+    lines = [F.when(condition, F.struct(F.lit(name).alias("output"),
+                                        F.to_csv(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("value")))
+             for name, (condition, columns) in outputs.items()]
+    return df.select(F.explode(F.array_compact(F.array(*lines))).alias("o")).select("o.output", "o.value")
+
+
+def write_tagged(df: DataFrame, outputs: dict[str, tuple[Column, list[str]]], path: str,
+                 mode: str = "overwrite") -> None:
+    """K7: ``tagged_lines`` written once, as text in ``path/output=<name>``
+    (without header lines)."""
+    tagged_lines(df, outputs).write.mode(mode).partitionBy("output").text(path)
+
+
 def write_multi(df: DataFrame, outputs: dict[str, DataFrame], mode: str = "overwrite",
                 header: bool = True, persist: bool = False) -> None:
     """K7: several outputs derived from one dataset.
