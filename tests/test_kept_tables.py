@@ -83,6 +83,26 @@ def test_rolling_profile_matches_a_plain_count(spark):
     assert rows(D.rolling_access_profile(D.daily_pages(spark.createDataFrame([], LOG)))) == []
 
 
+def test_bitmaps_take_the_memory_of_the_numbers_they_hold(spark):
+    """No group of build, merge or rolling has a whole block of 4 096 bytes in memory."""
+    df = spark.createDataFrame([("a", at(1).date(), 32767), ("a", at(2).date(), 63), ("b", at(2).date(), None)], "k STRING, day DATE, p INT")
+    daily = B.build(df, ["k", "day"], "p")
+    for made in (daily, B.merge(daily, ["k"]), B.rolling(daily, ["k"], "day", 7)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "bitmap_construct_agg" not in plan and "bitmap_or_agg" not in plan and "SortAggregate" not in plan
+
+
+def test_bitmaps_at_the_edges_of_their_words(spark):
+    at_edges = [0, 7, 8, 62, 63, 64, 65, 127, 128, 20000, 32704, 32766, 32767]
+    df = spark.createDataFrame([(i, p + 1) for i, p in enumerate(at_edges)] + [(100, p + 1) for p in at_edges] + [(101, None)], "k INT, p INT")
+    built = B.build(df, ["k"], "p")
+    want = {i: {p} for i, p in enumerate(at_edges)} | {100: set(at_edges), 101: set()}
+    for sets in (built, B.merge(built.union(built), ["k"])):
+        got = {r.k: bytes(r.bits) for r in sets.collect()}
+        assert {k: {8 * i + j for i, x in enumerate(b) for j in range(8) if x >> j & 1} for k, b in got.items()} == want
+        assert all(len(got[k]) == (max(v) // 8 + 1 if v else 0) for k, v in want.items())
+
+
 # --- last accesses ---------------------------------------------------------------
 
 def test_state_equals_the_full_recomputation_after_each_day(spark, tmp_dir):
