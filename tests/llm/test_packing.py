@@ -107,3 +107,22 @@ def test_rows_and_query(spark):
     fills = check([tuple(r) for r in queries.op1_packing(spark, SF).collect()], own)
     padding = sum(1024 - f for f in fills if f & (f - 1))
     assert padding <= 0.01 * sum(fills)
+
+
+def test_pieces_are_encoded_in_runs_with_the_ids_of_each():
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    model = packing.Encoder(P.path("byte_bpe_50k.json"))
+    calls, ids = [], model._ids
+    model._ids = lambda text: calls.append(text) or ids(text)
+    rnd = random.Random(11)
+    words = ["a", "'s", "d'll", "12", "x,", "(", "\n", "x\n\ny", "é", "日本", "\u00a0", "<|endoftext|>", "a<|endoftext|>", "\x1c", "z\t", "\tz", "  ", "🙂"]
+    pieces = [" " + w for w in words] + words + ["", " "] + [" w%d" % rnd.randrange(10**9) for _ in range(20_000)]
+    rnd.shuffle(pieces)
+    got = model.encode(pieces)
+    assert len(calls) < 200  # it was one for each piece
+    want = [e.ids for e in library.encode_batch(pieces, add_special_tokens=False)]
+    assert [np.frombuffer(b, np.uint32).tolist() for b in got] == want
+    assert model.encode([]) == []
+    apart = packing.Encoder(P.path("byte_bpe_50k.json"))
+    apart._n_bytes = apart._n_bytes * 0  # no end is found: each piece by itself
+    assert apart.encode(pieces) == got
