@@ -38,11 +38,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     d1, d2 = decontamination.text_key("text")
     named = simhash.near_duplicates(docs, shingle=4, max_bits=4, carry={"d1": d1, "d2": d2})
     first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "d1", "d2")).alias("k"))
-    kept = Scratch(spark, "pipeline").write(first.select(F.col("k.doc_id").alias("i"), F.col("k.d1").alias("t1"),
-                                                         F.col("k.d2").alias("t2")), "kept")
-    keyed = docs.select(*COLUMNS, d1.alias("d1"), d2.alias("d2"))
-    same = keyed.doc_id.eqNullSafe(kept.i) & (keyed.d1 == kept.t1) & (keyed.d2 == kept.t2)
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "d1", "d2"]).select(*COLUMNS)
+    # The id as two columns that are never null: one exchange of the texts serves the join and what follows.
+    key = lambda i: [i.isNull().alias("none"), F.coalesce(i, F.lit(0)).alias("i")]
+    kept = Scratch(spark, "pipeline").write(first.select(*key(F.col("k.doc_id")), F.col("k.d1").alias("d1"),
+                                                         F.col("k.d2").alias("d2")), "kept")
+    keyed = docs.select(*COLUMNS, *key(F.col("doc_id")), d1.alias("d1"), d2.alias("d2"))
+    same = ["none", "i", "d1", "d2"]
+    return keyed.join(kept, same, "left_semi").dropDuplicates(same).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,3 +80,14 @@ def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = line_dedup.dedup_lines(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_texts_cross_the_exchange_once(spark):
+    df = spark.createDataFrame([(i, f"shared\nown {i}") for i in range(12)], "doc_id bigint, text string")
+    out = line_dedup.dedup_lines(df, min_docs=10, min_chars=1)
+    plan = out._jdf.queryExecution().optimizedPlan()
+    while "Join" not in plan.nodeName():
+        plan = plan.children().apply(0)
+    left = plan.children().apply(0).output()
+    assert [left.apply(i).name() for i in range(left.size())] == ["row", "d1", "d2"]
+    assert sorted(r.text for r in out.collect()) == sorted(f"own {i}" for i in range(12))

@@ -66,6 +66,18 @@ def test_edge_rows(spark):
         assert stage(spark, none, SF).count() == 0
 
 
+def test_texts_cross_one_exchange_to_lose_their_near_duplicates(spark):
+    rows = [(i, f"text number {i} of a few", "en", "s", 1) for i in range(50)] * 2
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.near_duplicates(spark, df, SF)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2  # of the texts, and of the rows to keep
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("op", [
     lambda d: line_dedup.dedup_lines(d), lambda d: simhash.near_duplicates(d), lambda d: packing.pack(d),
     lambda d: decontamination.decontaminate(d, d.select(F.col("doc_id").alias("item_id"), "text").where("doc_id = 9"))])

@@ -144,8 +144,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
                          .groupBy("d1", "d2").agg(F.sort_array(F.collect_set("pos")).alias("hits")), "hits")
     scratch.drop(lines)
 
-    row = docs.select(F.struct("*").alias("row"), text.alias("text"), *[c.alias(k) for k, c in by_text.items()])
-    joined = row.join(hits, ["d1", "d2"], "left").select("row", "hits", _lines(F.col("text")).alias("lines"))
+    # The exchange carries each text once, in its row.
+    row = docs.select(F.struct("*").alias("row"), *[c.alias(k) for k, c in by_text.items()])
+    own = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
+    joined = row.join(hits, ["d1", "d2"], "left").select("row", "hits", _lines(own).alias("lines"))
     cut = joined.select("row", F.size("lines").cast("bigint").alias("n_lines"),
                         F.when(F.col("hits").isNotNull(), _without(F.col("lines"), F.col("hits"))).alias("kept"))
     out = cut.select("row.*", F.struct(
