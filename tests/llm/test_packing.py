@@ -1,12 +1,14 @@
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from tidepool.llm import packing, queries
+from tidepool.llm import bpe, packing, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -126,3 +128,29 @@ def test_pieces_are_encoded_in_runs_with_the_ids_of_each():
     apart = packing.Encoder(P.path("byte_bpe_50k.json"))
     apart._n_bytes = apart._n_bytes * 0  # no end is found: each piece by itself
     assert apart.encode(pieces) == got
+
+
+def test_memory_of_encoding_does_not_grow_with_the_batch():
+    model = packing.Encoder(P.path("byte_bpe_50k.json"))
+    text = " ".join(["a few words of no great length and then some more"] * 40)
+    texts, memo = pa.array([text] * 4000), bpe.Memo(model.encode)  # 8 MB: it was one slice
+    tracemalloc.start()
+    n = sum(len(ids) for _, ids in model.documents(texts, 0, memo))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 4000 * (len(model._ids(text)) + 1)
+    assert peak < 24 << 20
+
+
+def test_ids_whatever_the_slices_and_the_pieces_gathered_at_a_time(monkeypatch):
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rnd = random.Random(13)
+    words = ["", "a", "\n", "x\n\ny", "é", "日本", "<|endoftext|>", "z\t", "🙂"]
+    texts = ["", " ", "one", *(" ".join(rnd.choice(words) for _ in range(rnd.randrange(60))) for _ in range(200))]
+    want = [[*e.ids, 0] for e in library.encode_batch(texts, add_special_tokens=False)]
+    model = packing.Encoder(P.path("byte_bpe_50k.json"))
+    for slice_bytes, gather in ((1, 1), (300, 7), (1 << 20, 1 << 16)):
+        monkeypatch.setattr(packing, "_SLICE_BYTES", slice_bytes)
+        monkeypatch.setattr(packing, "_GATHER", gather)
+        got = dict((row, ids.tolist()) for row, ids in model.documents(pa.array(texts), 0, bpe.Memo(model.encode)))
+        assert [got[i] for i in range(len(texts))] == want

@@ -41,6 +41,10 @@ _ARROW = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int
                     ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()),
                     ("sequence_id", pa.int64()), ("offset", pa.int64())])
 _RUN = 1024  # pieces encoded as one text
+#: Bounds on a worker's memory, not on results: texts are cut into pieces in slices
+#: of about so many bytes, and ids are gathered for so many pieces at a time.
+_SLICE_BYTES = 2 << 20
+_GATHER = 1 << 16
 _INNER = re.compile(r" \S(?:.*\S)?", re.DOTALL).fullmatch
 
 
@@ -168,7 +172,7 @@ class Encoder:
 
     def documents(self, texts: pa.Array, end: int, memo: bpe.Memo) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids with the end marker) for every text."""
-        for rows, parts in bpe.slices(texts):
+        for rows, parts in bpe.slices(texts, _SLICE_BYTES):
             codes, starts, distinct, firsts = bpe.pieces(parts)
             encoded = memo([" " + d for d in distinct])
             first = memo(firsts)
@@ -176,15 +180,19 @@ class Encoder:
             flat = np.frombuffer(b"".join(bits), np.uint32)
             sizes = np.array([len(b) >> 2 for b in bits], np.int64)
             begins = np.cumsum(sizes) - sizes
-            codes = codes.astype(np.int64)
+            codes = codes.copy()
             codes[starts[:-1]] = len(encoded) + np.arange(len(rows))
-            n = sizes[codes]
-            ends = np.cumsum(n)
-            take = np.repeat(begins[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-            ids = flat[take]
-            bounds = np.r_[0, ends][starts]
-            for i, row in enumerate(rows):
-                yield int(row), np.append(ids[bounds[i]:bounds[i + 1]], np.uint32(end))
+            totals = np.add.reduceat(sizes[codes], starts[:-1])
+            for row, lo, hi, total in zip(rows.tolist(), starts[:-1].tolist(), starts[1:].tolist(), totals.tolist()):
+                ids = np.empty(total + 1, np.uint32)
+                ids[-1], at = end, 0
+                for c in (codes[k:min(k + _GATHER, hi)] for k in range(lo, hi, _GATHER)):
+                    n = sizes[c]
+                    ends = np.cumsum(n)
+                    take = np.repeat(begins[c] - (ends - n), n) + np.arange(ends[-1])
+                    ids[at:at + len(take)] = flat[take]
+                    at += len(take)
+                yield row, ids
 
 
 @lru_cache(maxsize=2)
